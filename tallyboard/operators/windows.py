@@ -57,12 +57,15 @@ def with_event_table(
     """
     days = F.explode(F.sequence(day(start), day(end), F.expr("interval 1 day")))
     unfolded = windows.where(day(start) <= day(end)).select(
-        days.alias("_day"), F.struct(F.col(priority), F.col(event), F.col(factor).cast("double")).alias("_window")
+        days.alias("_day"),
+        F.struct(
+            F.col(priority).alias("priority"), F.col(event).alias("event"), F.col(factor).cast("double").alias("factor")
+        ).alias("_window"),
     )
     winners = unfolded.groupBy("_day").agg(F.min("_window").alias("_window"))
     joined = df.withColumn("_day", day(date)).join(winners, "_day", "left")
     return joined.select(
         *[F.col(c) for c in df.columns],
-        F.col(f"_window.{event}").alias("event"),
-        F.coalesce(F.col(f"_window.{factor}"), F.lit(NO_FACTOR)).alias("event_factor"),
+        F.col("_window.event").alias("event"),
+        F.coalesce(F.col("_window.factor"), F.lit(NO_FACTOR)).alias("event_factor"),
     )
