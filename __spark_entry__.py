@@ -14,10 +14,10 @@ from pyspark.sql import types as T
 
 from tallyboard.functions import calendar as cal
 from tallyboard.functions import scores, text
-from tallyboard.operators import clean, ranking, reconcile, slugs, stats, upsert, windows
+from tallyboard.operators import clean, datasets, ranking, reconcile, slugs, stats, upsert, windows
 from tallyboard.plans import charts, load, metrics
 from tallyboard.plans.charts import ChartSpec, Dataset, chart
-from tallyboard.scratch import new_folder, shared_folder
+from tallyboard.scratch import new_folder
 from tallyboard.sources import csv, json_rows, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -826,10 +826,9 @@ def json_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit('{"datasource": {"type": "table", "id": '), F.get_json_object("props", "$.k"), F.lit("}}")),
     ).otherwise(F.lit("{}"))
     made = _table(spark, sf_dir, "events").select("event_id", params.alias("p"), context.alias("q"))
-    return made.select(
-        "event_id", text.dataset_id("p", "q").alias("id"), text.dataset_id("p", "q", True).alias("nested_id"),
-        text.datasource_type("p", "q").alias("source_type"),
-    )
+    plain = datasets.with_dataset_id(made, "p", "q", id_column="id")
+    full = datasets.with_dataset_id(plain, "p", "q", True, "nested_id", "source_type")
+    return full.select("event_id", "id", "nested_id", "source_type")
 
 
 # --- driver contract ----------------------------------------------------------------------------------

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 # Fixed value: the blank-padded width of day and month names in the SQL template 'Day' / 'Month'.
@@ -30,7 +31,9 @@ def day(c: Column | str) -> Column:
 def _name(names: Sequence[str], position: Column, padded: bool) -> Column:
     """Look a name up by its 1-based position: far cheaper per row than formatting a date."""
     width = NAME_WIDTH if padded else 0
-    return F.element_at(F.array(*[F.lit(n.ljust(width)) for n in names]), position)
+    name = F.element_at(F.array(*[F.lit(n.ljust(width)) for n in names]), position)
+    # element_at counts as never null here, and would give the last name for a null position.
+    return F.when(position.isNotNull(), name)
 
 
 def day_name(c: Column | str, padded: bool = False) -> Column:
@@ -80,12 +83,25 @@ def day_spine(bounds: DataFrame, start: str, end: str, name: str = "day") -> Dat
     return bounds.select(*[c for c in bounds.columns if c not in (start, end)], F.explode(days).alias(name))
 
 
-def fill_days(daily: DataFrame, name: str, zeros: Sequence[str]) -> DataFrame:
-    """Give every day between the first and the last row of ``daily`` a row.
+def fill_days(daily: DataFrame, name: str, zeros: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
+    """Give every day between the first and the last row of ``daily``, per ``by``, a row.
 
-    ``daily`` holds one row per day already; the columns in ``zeros`` are 0 on added days,
-    other columns null.
+    ``daily`` holds one row per day (and ``by``) already; the columns in ``zeros`` are 0 on added
+    days, other columns null. Each row unfolds up to the day before the next one, so the rows are
+    read once and joined with nothing; the window sorts no more than one row per calendar day.
     """
-    bounds = daily.agg(F.min(name).alias("_first"), F.max(name).alias("_last"))
-    spine = day_spine(bounds, "_first", "_last", name)
-    return spine.join(daily, name, "left").fillna({c: 0 for c in zeros})
+    following = F.lead(name).over(W.partitionBy(*by).orderBy(name))
+    last = F.coalesce(F.date_sub(following, 1), F.col(name))
+    unfolded = daily.where(F.col(name).isNotNull()).withColumn("_last", last).withColumn(
+        "_day", F.explode(F.sequence(name, "_last", F.expr("interval 1 day")))
+    )
+
+    def value(c: str) -> Column:
+        if c == name:
+            return F.col("_day")
+        if c in by:
+            return F.col(c)
+        own = F.when(F.col("_day") == F.col(name), F.col(c))
+        return own.otherwise(F.lit(0).cast(daily.schema[c].dataType)) if c in zeros else own
+
+    return unfolded.select(*[value(c).alias(c) for c in daily.columns])

@@ -1,4 +1,4 @@
-"""Text columns: slugs and ids kept inside JSON text."""
+"""Text columns."""
 
 from __future__ import annotations
 
@@ -7,47 +7,7 @@ from pyspark.sql import functions as F
 
 from tallyboard.functions.calendar import as_column
 
-# The marker after a table id, and the two JSON paths that may hold it.
-TABLE_MARK = "__table"
-MARK_SEPARATOR = "__"
-DATASOURCE_PATH = "$.datasource"
-DATASOURCE_ID_PATH = "$.datasource.id"
-DATASOURCE_TYPE_PATH = "$.datasource.type"
-DEFAULT_TYPE = "table"
-
-
 def slugify(c: Column | str) -> Column:
     """Lower case, blanks and underscores to hyphens, then only a-z, 0-9 and hyphens."""
     hyphened = F.translate(F.lower(as_column(c)), " _", "--")
     return F.regexp_replace(hyphened, "[^a-z0-9-]", "")
-
-
-def _whole(c: Column) -> Column:
-    """Text to an id, with blanks around it allowed; anything else is null."""
-    return F.trim(c).try_cast("bigint")
-
-
-def dataset_id(params: Column | str, query_context: Column | str, nested_params: bool = False) -> Column:
-    """Dataset id from chart JSON: marked text in ``params``, else the object in the query context.
-
-    Malformed or missing JSON moves on to the next place and ends in null. With
-    ``nested_params`` an object in ``params`` is read as well, before the query context.
-    """
-    p, q = as_column(params), as_column(query_context)
-    source = F.get_json_object(p, DATASOURCE_PATH)
-    marked = F.when(source.contains(TABLE_MARK), _whole(F.split_part(source, F.lit(MARK_SEPARATOR), F.lit(1))))
-    places = [marked]
-    if nested_params:
-        places.append(F.when(~source.contains(TABLE_MARK), _whole(F.get_json_object(p, DATASOURCE_ID_PATH))))
-    places.append(_whole(F.get_json_object(q, DATASOURCE_ID_PATH)))
-    return F.coalesce(*places)
-
-
-def datasource_type(params: Column | str, query_context: Column | str) -> Column:
-    """Kind of the source the id came from, ``table`` where none is written."""
-    p, q = as_column(params), as_column(query_context)
-    from_params = dataset_id(p, F.lit(None).cast("string"), nested_params=True)
-    written = F.when(from_params.isNotNull(), F.get_json_object(p, DATASOURCE_TYPE_PATH)).otherwise(
-        F.get_json_object(q, DATASOURCE_TYPE_PATH)
-    )
-    return F.coalesce(written, F.lit(DEFAULT_TYPE))

@@ -10,10 +10,11 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tallyboard.operators.ranking import number_rows
-from tallyboard.scratch import drop_folder, new_folder, stage
-from tallyboard.sources.tables import BUCKETS, partition_kind, table_exists, with_partition, write_partitions
+from tallyboard.scratch import stage
+from tallyboard.sources.tables import BUCKETS, open_table, partition_kind, with_partition, write_partitions
 
 INSERTED, UPDATED, KEPT = "inserted", "updated", "kept"
+REPORT = (INSERTED, UPDATED, KEPT, "processed_records", "total_records")
 
 
 def last_rows(df: DataFrame, key: Sequence[str], seq: Sequence[str]) -> DataFrame:
@@ -36,16 +37,17 @@ def with_full_key(df: DataFrame, key: Sequence[str]) -> Column:
 def merge_rows(
     target: DataFrame, batch: DataFrame, key: Sequence[str], now: dt.datetime | None = None,
     created: str = "created_at", updated: str = "updated_at", status: str = "status",
+    on_insert: Sequence[str] = (),
 ) -> DataFrame:
     """``target`` after the upsert of ``batch``, with a ``status`` per row.
 
     ``batch`` holds one row per key and no null keys (see :func:`last_rows`). A row comes from the
     batch whenever its key is there, so nulls in the batch overwrite. Columns of the target that
-    the batch lacks keep their value on update and are null on insert. With ``now``, both time
-    columns are set on insert and only ``updated`` moves on update.
+    the batch lacks keep their value on update and are null on insert; columns in ``on_insert``
+    are taken from the batch on insert only. With ``now``, both time columns are set on insert
+    and only ``updated`` moves on update.
     """
     stamps = (created, updated) if now is not None else ()
-    values = [c for c in target.columns if c not in key and c not in stamps]
     old = target.select(
         *[F.col(c).alias(f"_old_{c}") for c in target.columns], F.lit(True).alias("_in_target")
     )
@@ -58,20 +60,19 @@ def merge_rows(
     in_target, in_batch = F.col("_in_target").isNotNull(), F.col("_in_batch").isNotNull()
 
     def value(c: str) -> Column:
-        kind = target.schema[c].dataType
+        old_value, stamp = F.col(f"_old_{c}"), F.lit(now).cast("timestamp_ntz")
+        new_value = F.col(f"_new_{c}") if c in batch.columns else old_value
+        if c in stamps:
+            new_value = stamp
         if c in key:
-            return F.coalesce(F.col(f"_new_{c}"), F.col(f"_old_{c}")).cast(kind)
-        if c in batch.columns:
-            return F.when(in_batch, F.col(f"_new_{c}")).otherwise(F.col(f"_old_{c}")).cast(kind)
-        return F.col(f"_old_{c}")
-
-    columns = {c: value(c) for c in target.columns if c in key or c in values}
-    if now is not None:
-        stamp = F.lit(now).cast("timestamp_ntz")
-        columns[created] = F.when(in_target, F.col(f"_old_{created}")).otherwise(stamp)
-        columns[updated] = F.when(in_batch, stamp).otherwise(F.col(f"_old_{updated}"))
+            return F.coalesce(new_value, old_value)
+        if c in on_insert or (c in stamps and c == created):
+            return F.when(in_target, old_value).otherwise(new_value)
+        return F.when(in_batch, new_value).otherwise(old_value)
+
     state = F.when(in_batch & in_target, UPDATED).when(in_batch, INSERTED).otherwise(KEPT)
-    return joined.select(*[columns[c].alias(c) for c in target.columns], state.alias(status))
+    merged = [value(c).cast(target.schema[c].dataType).alias(c) for c in target.columns]
+    return joined.select(*merged, state.alias(status))
 
 
 def merge_report(merged: DataFrame, status: str = "status") -> DataFrame:
@@ -97,11 +98,10 @@ def upsert_table(
     """Upsert ``batch`` into the parquet table at ``path`` and return the report.
 
     Rows with a null key are not loaded (see ``clean.key_violations``); ``seq`` orders the rows of
-    one key, and ``stored`` names the columns that go into the table (all by default). The table is partitioned by the month of a date key, else by a hash bucket of the
-    key (``buckets`` must stay the same for the life of a table), so a row never changes
-    partition. Only the partitions the batch
-    touches are read and rewritten, from a staged copy: a job that fails before the last step
-    leaves the table as it was, and a batch can be run again.
+    one key, and ``stored`` names the columns that go into the table (all by default). The table
+    is partitioned by the month of a date key, else by a hash bucket of the key (``buckets`` must
+    stay the same for the life of a table), so a row never changes partition. Only partitions
+    the batch touches are read and rewritten, and a batch can be run again after a failure.
     """
     key = list(key)
     loadable = batch.where(with_full_key(batch, key))
@@ -110,32 +110,32 @@ def upsert_table(
     incoming = stage(with_partition(incoming, key, kind, buckets), "batch")
     part = kind.column
     # Partition names only: at most one per month or bucket.
-    touched = [r[0] for r in incoming.select(part).distinct().collect()]
-
-    extra = [id_column] if id_column else []
-    highest = 0
-    if table_exists(spark, path):
-        table = spark.read.parquet(path)
-        if id_column:
-            highest = table.agg(F.max(id_column)).first()[0] or 0
-        target = table.where(F.col(part).isin(touched)) if touched else table.where(F.lit(False))
+    per_part = incoming.groupBy(part).agg(F.count(F.lit(1)).alias("rows")).collect()
+    touched, processed = [r[part] for r in per_part], sum(r["rows"] for r in per_part)
+
+    table = open_table(spark, path)
+    before, highest, known = 0, 0, None
+    if table is None:
+        extra = {id_column: "bigint"} if id_column else {}
+        extra |= {"created_at": "timestamp_ntz", "updated_at": "timestamp_ntz"}
+        target = incoming.where(F.lit(False)).withColumns({c: F.lit(None).cast(t) for c, t in extra.items()})
     else:
-        target = incoming.where(F.lit(False)).withColumns({
-            **{c: F.lit(None).cast("bigint") for c in extra},
-            "created_at": F.lit(None).cast("timestamp_ntz"), "updated_at": F.lit(None).cast("timestamp_ntz"),
-        })
-    staged_path = new_folder(spark, "merged")
-    merged = merge_rows(target, incoming, key, now)
-    merged.write.parquet(staged_path)
-    staged = spark.read.schema(merged.schema).parquet(staged_path)
-    counts = merge_report(staged)
-    report = spark.createDataFrame(counts.collect(), counts.schema)
-
-    result = staged.drop("status")
+        counts = table.agg(F.count(F.lit(1)).alias("rows"), *([F.max(id_column).alias("id")] if id_column else []))
+        before, *ids = counts.first()
+        highest = (ids or [0])[0] or 0
+        target = table.where(F.col(part).isin(touched))
+        known = target.select(*key)
+
+    fresh = incoming.select(*key)
+    if known is not None:
+        fresh = fresh.join(known, key, "left_anti")
     if id_column:
-        fresh = staged.where(F.col("status") == INSERTED).drop("status", id_column)
-        kept = staged.where(F.col("status") != INSERTED).drop("status")
-        result = kept.unionByName(assign_ids(fresh, key, highest, id_column))
-    write_partitions(result, path, part)
-    drop_folder(spark, staged_path)
-    return report
+        fresh = assign_ids(fresh, key, highest, id_column)
+        incoming = incoming.join(fresh, key, "left")
+    inserted = fresh.count()
+    if touched:
+        merged = merge_rows(target, incoming, key, now, on_insert=[id_column] if id_column else [])
+        write_partitions(merged.drop("status"), path, part)
+    total = before + inserted
+    figures = (inserted, processed - inserted, total - processed, processed, total)
+    return spark.createDataFrame([figures], ", ".join(f"{c} bigint not null" for c in REPORT))

@@ -39,21 +39,23 @@ def with_partition(df: DataFrame, key: Sequence[str], kind: PartitionKind, bucke
     return df.withColumn(kind.column, F.pmod(F.xxhash64(*key), F.lit(buckets)).cast(kind.type))
 
 
-def table_exists(spark: SparkSession, path: str) -> bool:
+def open_table(spark: SparkSession, path: str) -> DataFrame | None:
+    """The table with its layout column, or None where nothing was written yet."""
     try:
-        spark.read.parquet(path).schema
+        return spark.read.parquet(path)
     except AnalysisException as error:
         if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            return False
+            return None
         raise
-    return True
 
 
 def write_partitions(df: DataFrame, path: str, partition: str) -> None:
     """Replace the partitions that ``df`` has rows for; other partitions stay.
 
     The rebalance hint brings the rows of a partition together so that it is a few large files,
-    and splits a partition that is much larger than the others.
+    and splits a partition that is much larger than the others. A dynamic overwrite writes to a
+    staging folder first and swaps partitions in when all tasks are done, so ``df`` may read the
+    table it replaces, and a job that fails while writing leaves the table as it was.
     """
     (df.hint("rebalance", partition).write.mode("overwrite")
        .option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path))
@@ -61,7 +63,7 @@ def write_partitions(df: DataFrame, path: str, partition: str) -> None:
 
 def create_table(df: DataFrame, path: str, schema: T.StructType, key: Sequence[str], buckets: int = BUCKETS) -> None:
     """Write ``df`` with the types of ``schema`` unless the table is there already."""
-    if table_exists(df.sparkSession, path):
+    if open_table(df.sparkSession, path) is not None:
         return
     typed = conform(df, {f.name: f.dataType for f in schema}).select(*schema.names)
     kind = partition_kind(typed, key)
