@@ -241,7 +241,8 @@ def _fuse_key(data: Dataset, spec: ChartSpec, q: Query) -> tuple | None:
 
 def _long(df: DataFrame, keys: Sequence[str], cells: Sequence[tuple[str, str, str]]) -> DataFrame:
     """Long rows from columns; ``cells`` holds chart, metric label, column."""
-    x = F.concat_ws(" | ", *[F.col(quoted(k)).cast("string") for k in keys]) if keys else F.lit(None).cast("string")
+    xs = [F.col(quoted(k)).cast("string") for k in keys] or [F.lit(None).cast("string")]
+    x = xs[0] if len(xs) == 1 else F.concat_ws(" | ", *xs)
     args: list[Column] = []
     for name, label, column in cells:
         c = F.col(quoted(column))

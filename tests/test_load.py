@@ -1,0 +1,145 @@
+import datetime as dt
+import os
+from decimal import Decimal
+
+import pytest
+from pyspark.errors import AnalysisException, PySparkException
+
+from tallyboard.plans import load
+from tallyboard.sources import csv, json_rows, tables
+from tallyboard.scratch import drop_folder, new_folder
+
+T1, T2 = dt.datetime(2024, 9, 1), dt.datetime(2024, 9, 2)
+HEADER = "date,nps_score,csat_score,ces_score,response_rate,cx_composite_score"
+
+
+def write(tmp_path, name, *lines):
+    path = tmp_path / name
+    path.parent.mkdir(exist_ok=True)
+    path.write_text("\n".join(lines) + "\n")
+    return str(path)
+
+
+def test_prepare_order(spark, tmp_path):
+    """Nulls become 0 before the tier is set; absent columns get 0 or Unknown."""
+    path = write(tmp_path, "a.csv", HEADER, "2024-07-01,45.9,NA,7,78.25,82", "2024-12-30,,80,6,,", "2024-07-03,1,2,3,4,74.999")
+    raw = csv.read_csv(spark, path, load.SURVEY.raw_schema())
+    got = load.clean.conform(load.prepare(raw), load.SURVEY_TABLE)
+    assert got.columns == list(load.SURVEY_TABLE)
+    assert dict(got.dtypes)["value_score"] == "decimal(3,2)"
+    picked = got.select(
+        "date", "nps_score", "csat_score", "response_rate", "cx_composite_score", "day_of_week", "week_number",
+        "is_weekend", "value_score", "performance_tier",
+    )
+    assert sorted(tuple(r) for r in picked.collect()) == [
+        (dt.date(2024, 7, 1), 45, 0, Decimal("78.25"), Decimal("82.00"), "Unknown", 27, 0, Decimal("0.00"), "Excellent"),
+        (dt.date(2024, 7, 3), 1, 2, Decimal("4.00"), Decimal("75.00"), "Unknown", 27, 0, Decimal("0.00"), "Average"),
+        (dt.date(2024, 12, 30), 0, 80, Decimal("0.00"), Decimal("0.00"), "Unknown", 1, 0, Decimal("0.00"),
+         "Needs Improvement"),
+    ]
+
+
+def test_score_is_computed_where_absent(spark):
+    raw = spark.createDataFrame([("2024-07-01", 45, 75, 7, 78.0)], "date string, nps_score int, csat_score int, "
+                                "ces_score int, response_rate double")
+    assert load.prepare(raw).first()["cx_composite_score"] == 54.1
+    with pytest.raises(ValueError, match="cannot be computed without response_rate"):
+        load.prepare(raw.drop("response_rate"))
+
+
+def test_load_twice(spark, tmp_path):
+    table = new_folder(spark, "survey")
+    first = write(tmp_path, "one.csv", HEADER, "2024-07-01,10,20,7,50,80", "2024-07-02,20,30,7,50,70",
+                  "2024-07-01,30,40,7,50,75")
+    result = load.load(spark, first, table, T1)
+    assert tuple(result.report.first()) == (2, 0, 0, 2, 2)
+    assert [tuple(r) for r in result.violations.collect()] == [(dt.date(2024, 7, 1), "duplicate key", 2)]
+    assert tuple(result.summary.first())[:3] == (2, dt.date(2024, 7, 1), dt.date(2024, 7, 2))
+    assert [tuple(r) for r in result.tiers.collect()] == [("Average", 1, 50.0), ("Good", 1, 50.0)]
+    second = write(tmp_path, "two.csv", HEADER, "2024-08-01,1,1,1,1,1", "2024-07-02,99,30,7,50,")
+    assert tuple(load.load(spark, second, table, T2).report.first()) == (1, 1, 1, 2, 3)
+    stored = tables.read_table(spark, table).select(
+        "id", "date", "nps_score", "performance_tier", "created_at", "updated_at"
+    )
+    assert sorted(tuple(r) for r in stored.collect()) == [
+        (1, dt.date(2024, 7, 1), 30, "Good", T1, T1), (2, dt.date(2024, 7, 2), 99, "Needs Improvement", T1, T2),
+        (3, dt.date(2024, 8, 1), 1, "Needs Improvement", T2, T2),
+    ]
+
+
+def test_last_row_of_a_large_file_wins(spark, tmp_path):
+    """A file read in many blocks still has its rows in order."""
+    lines = [f"2024-07-{1 + i % 28:02d},{i % 100},{i % 90},7,50,{i % 80}" for i in range(6000)]
+    path = write(tmp_path, "big.csv", HEADER, *lines)
+    size = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    cost = spark.conf.get("spark.sql.files.openCostInBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8k")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        table = new_folder(spark, "survey")
+        load.load(spark, path, table, T1)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        spark.conf.set("spark.sql.files.openCostInBytes", cost)
+    want = {1 + i % 28: i % 100 for i in range(6000)}
+    got = {r["date"].day: r["nps_score"] for r in tables.read_table(spark, table).collect()}
+    assert got == want
+
+
+def test_overflow_stops_the_load(spark, tmp_path):
+    path = write(tmp_path, "old.csv", HEADER, "2025-07-01,45,80,56,80,50")
+    table = new_folder(spark, "survey")
+    with pytest.raises(PySparkException, match="does not fit"):
+        load.load(spark, path, table, T1)
+    assert tables.open_table(spark, table) is None
+
+
+def test_csv_columns_match_by_name_in_every_file(spark, tmp_path):
+    folder = str(tmp_path / "many")
+    write(tmp_path, "many/1.csv", "a,b", '1,"x, ""y"""')
+    write(tmp_path, "many/2.csv", "a,b", "2,null")
+    schema = load.T.StructType.fromDDL("b string, a int, c int")
+    got = csv.read_csv(spark, folder, schema)
+    assert got.dtypes == [("a", "int"), ("b", "string")]
+    assert sorted(tuple(r) for r in got.collect()) == [(1, 'x, "y"'), (2, None)]
+    write(tmp_path, "many/3.csv", "b,a", "z,3")
+    with pytest.raises(Exception, match="header does not conform"):
+        csv.read_csv(spark, folder, schema).collect()
+
+
+def test_csv_bad_cell_and_missing_path(spark, tmp_path):
+    path = write(tmp_path, "bad.csv", "a", "1", "abc")
+    with pytest.raises(PySparkException, match="does not fit"):
+        csv.read_csv(spark, path, load.T.StructType.fromDDL("a int")).collect()
+    with pytest.raises(AnalysisException, match="PATH_NOT_FOUND"):
+        csv.read_csv(spark, str(tmp_path / "gone.csv"), load.T.StructType.fromDDL("a int"))
+
+
+def test_inferred_csv(spark, tmp_path):
+    path = write(tmp_path, "i.csv", "a,d,x", "1,2024-01-01,2.5")
+    assert csv.read_csv(spark, path).dtypes == [("a", "int"), ("d", "date"), ("x", "double")]
+
+
+def test_create_table_only_once(spark):
+    path = new_folder(spark, "typed")
+    schema = load.T.StructType.fromDDL("k int, v decimal(3,2)")
+    tables.create_table(spark.createDataFrame([(1, 2.345)], "k int, v double"), path, schema, ["k"])
+    tables.create_table(spark.createDataFrame([(9, 9.0)], "k int, v double"), path, schema, ["k"])
+    assert [tuple(r) for r in tables.read_table(spark, path).collect()] == [(1, Decimal("2.35"))]
+
+
+def test_json_rows(spark, tmp_path):
+    df = spark.createDataFrame([(1, None)], "a int, b string")
+    assert json_rows.to_json_rows(df).first()[0] == '{"a":1,"b":null}'
+    json_rows.write_json(df, str(tmp_path / "j"))
+    assert spark.read.json(str(tmp_path / "j")).columns == ["a", "b"]
+
+
+def test_scratch_paths(spark):
+    path = new_folder(spark, "x")
+    assert path.startswith(spark.conf.get("spark.checkpoint.dir"))
+    spark.range(1).write.parquet(path)
+    drop_folder(spark, path)
+    assert not os.path.exists(path)
+    with pytest.raises(ValueError):
+        drop_folder(spark, "/data/other")
