@@ -9,17 +9,26 @@ from pyspark.sql import functions as F
 
 from tallyboard.functions.text import slugify
 from tallyboard.operators.ranking import rank_in_groups
-
-# A generated slug is base, hyphen, number without leading zeros; 18 digits always fit a bigint.
-_SUFFIXED = r"^(.*)-([1-9][0-9]{0,17})$"
-
-
-def _suffix_claims(slugs: DataFrame, slug: str) -> DataFrame:
-    """Slugs of the form base-N as claims on number N of that base."""
-    return slugs.where(F.col(slug).rlike(_SUFFIXED)).select(
-        F.regexp_extract(slug, _SUFFIXED, 1).alias("base"),
-        F.regexp_extract(slug, _SUFFIXED, 2).cast("bigint").alias("number"),
+from tallyboard.scratch import stage
+
+# The number at the end of a generated slug has no leading zeros; 18 digits always fit a bigint.
+_NUMBER = "^[1-9][0-9]{0,17}$"
+
+
+def _claims(slugs: DataFrame, slug: str, itself: bool) -> DataFrame:
+    """What a slug claims: number N of its base if it reads base-N, and number 0 of ``itself``."""
+    text = F.col(slug)
+    tail = F.substring_index(text, "-", -1)
+    generated = F.when(
+        text.contains("-") & tail.rlike(_NUMBER),
+        F.struct(
+            text.substr(F.lit(1), F.length(text) - F.length(tail) - 1).alias("base"),
+            tail.cast("bigint").alias("number"),
+        ),
     )
+    whole = F.struct(text.alias("base"), F.lit(0).cast("bigint").alias("number"))
+    pairs = F.array_compact(F.array(*([whole] if itself else []), generated))
+    return slugs.where(text.isNotNull()).select(F.explode(pairs).alias("claim")).select("claim.*")
 
 
 def unique_slugs(
@@ -37,10 +46,9 @@ def unique_slugs(
     rankings do this; no base, however frequent, is gathered in one task.
     """
     order = list(order)
-    named = rows.select(*order, slugify(title).alias("base"))
+    named = stage(rows.select(*order, slugify(title).alias("base")), "bases")
     bases = named.select("base").distinct()
-    held = taken.select(F.col(taken_slug).alias("base"), F.lit(0).cast("bigint").alias("number"))
-    claims = held.unionByName(_suffix_claims(taken, taken_slug)).unionByName(_suffix_claims(bases, "base"))
+    claims = _claims(taken, taken_slug, itself=True).unionByName(_claims(bases, "base", itself=False))
     claims = claims.distinct().join(bases, "base", "left_semi").withColumn("kind", F.lit(0))
     merged = claims.unionByName(named.withColumn("kind", F.lit(1)), allowMissingColumns=True)
     ranked = rank_in_groups(merged, ["base", "kind"], ["number", *order], "k")

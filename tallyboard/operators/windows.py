@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tallyboard.functions.calendar import day
 from tallyboard.functions.scores import first_case
+from tallyboard.scratch import stage
 
 
 @dataclass(frozen=True)
@@ -52,8 +53,10 @@ def with_event_table(
     """Add ``event`` and ``event_factor`` from a table of windows; the lowest ``priority`` wins.
 
     Windows are unfolded into days and reduced to one winner per day, each task on its own
-    windows first, which leaves at most one row per calendar day. The rows then meet that table
-    by equality on the day: no range join, and no row is multiplied by overlapping windows.
+    windows first, which leaves at most one row per calendar day. That table is written out, so
+    its true size is known when the join is planned: below Spark's broadcast threshold the rows
+    are not shuffled at all, and beyond it they meet by equality on the day. There is no range
+    join, and no row is multiplied by overlapping windows.
     """
     days = F.explode(F.sequence(day(start), day(end), F.expr("interval 1 day")))
     unfolded = windows.where(day(start) <= day(end)).select(
@@ -62,7 +65,7 @@ def with_event_table(
             F.col(priority).alias("priority"), F.col(event).alias("event"), F.col(factor).cast("double").alias("factor")
         ).alias("_window"),
     )
-    winners = unfolded.groupBy("_day").agg(F.min("_window").alias("_window"))
+    winners = stage(unfolded.groupBy("_day").agg(F.min("_window").alias("_window")), "event-days")
     joined = df.withColumn("_day", day(date)).join(winners, "_day", "left")
     return joined.select(
         *[F.col(c) for c in df.columns],

@@ -203,15 +203,18 @@ def _aggregate(rows: DataFrame, keys: Sequence[tuple[str, Column]], aggregates:
 
 
 def _limited(df: DataFrame, q: Query) -> DataFrame:
-    """Order by the x value, or by the first metric and then all keys, so that a limit is stable."""
-    if not q.keys:
+    """The first rows by x value, or by first metric and then all keys, so that a limit is stable.
+
+    Without a limit nothing is sorted: a chart needs no global order, and sorting would shuffle
+    every group once more.
+    """
+    if not q.keys or q.limit is None:
         return df
     names = [F.asc_nulls_last(quoted(n)) for n, _ in q.keys]
     if q.order == "metric":
         first = quoted(q.metrics[0].label)
         names = [F.desc_nulls_last(first) if q.descending else F.asc_nulls_last(first), *names]
-    ordered = df.orderBy(*names)
-    return ordered if q.limit is None else ordered.limit(q.limit)
+    return df.orderBy(*names).limit(q.limit)
 
 
 def chart(data: Dataset, spec: ChartSpec | Mapping[str, Any]) -> DataFrame:

@@ -9,6 +9,8 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # A hot key costs more than the extra shuffle that splitting it may need.
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.ansi.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",

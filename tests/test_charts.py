@@ -121,7 +121,7 @@ def test_bubble(data):
 
 def test_generic(data):
     spec = ChartSpec("n", "pie", ["COUNT(*)", "MAX(value)"], params={"groupby": ["tier"]})
-    assert rows(chart(data, spec)) == [("Good", 3, 5.0), ("Bad", 1, None), (None, 1, 4.0)]
+    assert set(rows(chart(data, spec))) == {("Good", 3, 5.0), ("Bad", 1, None), (None, 1, 4.0)}
     assert chart(data, ChartSpec("n", "pie", groupby_type="date")).columns == ["date", "count"]
     assert rows(chart(data, ChartSpec("n", "pie"))) == [(5,)]
 
