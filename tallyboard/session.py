@@ -13,6 +13,8 @@ SETTINGS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.ansi.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
+    # Column calls need no record of the line they came from; keeping it makes wide plans slow to build.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
