@@ -23,10 +23,10 @@ def _claims(slugs: DataFrame, slug: str, itself: bool) -> DataFrame:
         text.contains("-") & tail.rlike(_NUMBER),
         F.struct(
             text.substr(F.lit(1), F.length(text) - F.length(tail) - 1).alias("base"),
-            tail.cast("bigint").alias("number"),
+            tail.cast("bigint").alias("_claimed"),
         ),
     )
-    whole = F.struct(text.alias("base"), F.lit(0).cast("bigint").alias("number"))
+    whole = F.struct(text.alias("base"), F.lit(0).cast("bigint").alias("_claimed"))
     pairs = F.array_compact(F.array(*([whole] if itself else []), generated))
     return slugs.where(text.isNotNull()).select(F.explode(pairs).alias("claim")).select("claim.*")
 
@@ -49,10 +49,13 @@ def unique_slugs(
     named = stage(rows.select(*order, slugify(title).alias("base")), "bases")
     bases = named.select("base").distinct()
     claims = _claims(taken, taken_slug, itself=True).unionByName(_claims(bases, "base", itself=False))
-    claims = claims.distinct().join(bases, "base", "left_semi").withColumn("kind", F.lit(0))
-    merged = claims.unionByName(named.withColumn("kind", F.lit(1)), allowMissingColumns=True)
-    ranked = rank_in_groups(merged, ["base", "kind"], ["number", *order], "k")
-    place = F.when(F.col("kind") == 0, F.col("number") - F.col("k")).otherwise(F.col("k"))
-    placed = rank_in_groups(ranked.withColumn("place", place), ["base"], ["place", "kind", "number", *order], "n")
-    suffix = F.when(F.col("n") > 0, F.concat(F.lit("-"), F.col("n").cast("string"))).otherwise("")
-    return placed.where(F.col("kind") == 1).select(*order, "base", F.concat("base", suffix).alias("slug"))
+    claims = claims.distinct().join(bases, "base", "left_semi").withColumn("_kind", F.lit(0))
+    merged = claims.unionByName(named.withColumn("_kind", F.lit(1)), allowMissingColumns=True)
+    ranked = rank_in_groups(merged, ["base", "_kind"], ["_claimed", *order], "_rank")
+    place = F.when(F.col("_kind") == 0, F.col("_claimed") - F.col("_rank")).otherwise(F.col("_rank"))
+    placed = rank_in_groups(
+        ranked.withColumn("_place", place), ["base"], ["_place", "_kind", "_claimed", *order], "_taken"
+    )
+    number = F.col("_taken")
+    suffix = F.when(number > 0, F.concat(F.lit("-"), number.cast("string"))).otherwise("")
+    return placed.where(F.col("_kind") == 1).select(*order, "base", F.concat("base", suffix).alias("slug"))

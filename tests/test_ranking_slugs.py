@@ -82,7 +82,7 @@ def test_slugs_of_a_skewed_batch(spark):
     rng = random.Random(3)
     titles = [("Hot Title" if rng.random() < 0.4 else f"Title {rng.randrange(60)}") for _ in range(3000)]
     taken = ["hot-title", "hot-title-1", "hot-title-7", "hot-title-8", "hot-title-2000", "title-3", "title-3-1"]
-    rows = spark.createDataFrame(list(enumerate(titles)), "i int, title string").repartition(7)
+    rows = spark.createDataFrame(list(enumerate(titles)), "n int, title string").repartition(7)
     held = spark.createDataFrame([(s,) for s in taken], "slug string")
-    got = {r["i"]: r["slug"] for r in unique_slugs(rows, "title", ["i"], held).collect()}
+    got = {r["n"]: r["slug"] for r in unique_slugs(rows, "title", ["n"], held).collect()}
     assert [got[i] for i in range(len(titles))] == one_by_one(titles, taken)
