@@ -55,7 +55,8 @@ def write_partitions(df: DataFrame, path: str, partition: str) -> None:
     The rebalance hint brings the rows of a partition together so that it is a few large files,
     and splits a partition that is much larger than the others. A dynamic overwrite writes to a
     staging folder first and swaps partitions in when all tasks are done, so ``df`` may read the
-    table it replaces, and a job that fails while writing leaves the table as it was.
+    table it replaces, and a job whose tasks fail leaves the table as it was. The swap itself
+    goes partition by partition; a driver lost in the middle of it is repaired by a second run.
     """
     (df.hint("rebalance", partition).write.mode("overwrite")
        .option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path))
