@@ -839,9 +839,27 @@ def entry(spark: SparkSession) -> DataFrame:
     return series_weekday(spark, "/root/testdata/sf0.001")
 
 
-def queries() -> dict[str, Query]:
+def _training_data() -> tuple[dict[str, Query], dict[str, str]]:
+    """Queries and SQL of the training-data subpackage and its pipeline, if they are installed."""
+    try:
+        import corpus_pipeline
+        from tallyboard.llm import queries as llm
+    except ModuleNotFoundError as missing:
+        if missing.name not in ("corpus_pipeline", "tallyboard.llm"):
+            raise
+        return {}, {}
+    sql = {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}
+    return {**llm.QUERIES, "pipeline": corpus_pipeline.run}, {**llm.SQL, **sql}
+
+
+def base_queries() -> dict[str, Query]:
+    """The reference's own operators."""
     return dict(_QUERIES)
 
 
+def queries() -> dict[str, Query]:
+    return {**_QUERIES, **_training_data()[0]}
+
+
 def oracle_sql() -> dict[str, str]:
-    return {name: sql.strip() for name, sql in _SQL.items()}
+    return {name: sql.strip() for name, sql in _SQL.items()} | _training_data()[1]

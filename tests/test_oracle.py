@@ -15,12 +15,12 @@ def con():
 
 
 def test_every_query_has_sql():
-    assert set(SQL) == set(binding.queries())
+    assert set(binding.base_queries()) <= set(SQL)
 
 
-@pytest.mark.parametrize("name", sorted(binding.queries()))
+@pytest.mark.parametrize("name", sorted(binding.base_queries()))
 def test_matches_sql(spark, con, name):
-    assert compare(spark, con, SF_DIR, binding.queries()[name], SQL[name]) is None
+    assert compare(spark, con, SF_DIR, binding.base_queries()[name], SQL[name]) is None
 
 
 def test_entry(spark):

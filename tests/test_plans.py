@@ -15,9 +15,9 @@ def plan_of(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(binding.queries()))
+@pytest.mark.parametrize("name", sorted(binding.base_queries()))
 def test_no_python_no_cross_join_no_global_window(spark, name):
-    plan = plan_of(binding.queries()[name](spark, SF_DIR))
+    plan = plan_of(binding.base_queries()[name](spark, SF_DIR))
     for node in ("Python", "ArrowEval", "MapInPandas", "CartesianProduct", "BroadcastNestedLoopJoin", "ExistingRDD["):
         assert node not in plan
     if name not in SMALL_WINDOWS:
@@ -30,7 +30,7 @@ def test_no_python_no_cross_join_no_global_window(spark, name):
     ("where_having", {"o_custkey", "o_totalprice", "o_orderstatus"}),
 ])
 def test_scans_read_only_what_they_need(spark, name, columns):
-    schema = re.search(r"ReadSchema: struct<(.*?)>\n", plan_of(binding.queries()[name](spark, SF_DIR)))[1]
+    schema = re.search(r"ReadSchema: struct<(.*?)>\n", plan_of(binding.base_queries()[name](spark, SF_DIR)))[1]
     assert set(re.findall(r"(\w+):", schema)) == columns
 
 
@@ -40,11 +40,11 @@ def test_scans_read_only_what_they_need(spark, name, columns):
     ("new_rows", "GreaterThanOrEqual(o_orderdate,1995-01-01T00:00"),
 ])
 def test_filters_reach_the_scan(spark, name, pushed):
-    df = binding.queries()[name](spark, SF_DIR)
+    df = binding.base_queries()[name](spark, SF_DIR)
     formatted = df._sc._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
     assert pushed in formatted
 
 
 @pytest.mark.parametrize("name", ["bubble_top100", "series_weekday", "sample_head", "first_match"])
 def test_limits_are_top_k(spark, name):
-    assert "TakeOrderedAndProject" in plan_of(binding.queries()[name](spark, SF_DIR))
+    assert "TakeOrderedAndProject" in plan_of(binding.base_queries()[name](spark, SF_DIR))
