@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyboard.llm import line_dedup, packing
+from tallyboard.llm import bpe, line_dedup, packing
 from tallyboard.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -56,3 +56,13 @@ def packed(docs: DataFrame) -> DataFrame:
 @bind()
 def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed(table(spark, sf_dir, "documents"))
+
+
+@bind()
+def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = bpe.encode(table(spark, sf_dir, "documents"), keep=["doc_id"])
+    return coded.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )

@@ -10,7 +10,7 @@ import re
 #: Fixed value: how byte-level BPE vocabularies of this kind cut text before merging.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Texts of these characters alone are cut alike by every regular expression library; others go to the slow path.
-PLAIN = re.compile(r"[\t\n\r\x20-\x7eÀ-ɏ]*")
+PLAIN = re.compile(r"[\t\n\r\x20-\x7e¡§«°»¿À-ɏ–—‘’“”…€]*")
 #: The same cuts for such texts, for Python's own faster library.
 PLAIN_WORDS = re.compile(r"'(?:[stmd]|re|ve|ll)| ?[^\W\d_]+| ?[0-9]+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+")
 
@@ -54,6 +54,17 @@ class Vocabulary:
         """Whether the fast path cuts this text as the library does."""
         return PLAIN.fullmatch(text) is not None and not any(s in text for s in self.special)
 
+    def split_special(self, text: str) -> list[str]:
+        """The text cut at special tokens, which stay as parts."""
+        if not self.special:
+            return [text]
+        return re.split("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")", text)
+
+    def merge(self, piece: bytes) -> list[int]:
+        """Ids of one piece: itself if it is a token, else merged pair by pair, lowest rank first."""
+        known = self.ranks.get(piece)
+        return [known] if known is not None else self.fast._encode_single_piece(piece)
+
     @functools.cached_property
     def library(self):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
