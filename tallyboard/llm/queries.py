@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyboard.llm import bpe, line_dedup, packing
+from tallyboard.llm import ann, bpe, line_dedup, packing
 from tallyboard.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -66,3 +66,9 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
+
+
+@bind()
+def op3_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return ann.nearest(vectors, vectors.where(F.col("vec_id") % 20 == 0))
