@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyboard.llm import ann, bpe, line_dedup, packing
+from tallyboard.llm import ann, bpe, chats, line_dedup, packing
 from tallyboard.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -72,3 +72,22 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
     return ann.nearest(vectors, vectors.where(F.col("vec_id") % 20 == 0))
+
+
+@bind("""
+WITH t AS (SELECT DISTINCT conv_id, turn, role, text FROM conversations WHERE conv_id IS NOT NULL),
+p AS (
+  SELECT conv_id, list({'r': role, 't': text}) OVER w AS turns, count(*) OVER w AS place,
+         count(*) OVER (PARTITION BY conv_id) AS n_turns
+  FROM t WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST
+                      ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
+whole AS (
+  SELECT turns, min(conv_id) AS conv_id, any_value(n_turns) AS n_turns, count(*) AS n_copies
+  FROM p WHERE place = n_turns GROUP BY turns)
+SELECT conv_id, n_turns, n_copies,
+       array_to_string(list_transform(turns, lambda x:
+         '<|' || coalesce(x.r, '') || '|>' || chr(10) || coalesce(x.t, '') || chr(10)), '') AS rendered
+FROM whole ANTI JOIN (SELECT DISTINCT turns FROM p WHERE place < n_turns) USING (turns)
+""")
+def op5_chat_collapse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chats.maximal(table(spark, sf_dir, "conversations"))
