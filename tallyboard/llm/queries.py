@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyboard.llm import ann, bpe, chats, line_dedup, packing
+from tallyboard.llm import ann, bpe, chats, line_dedup, packing, quality
 from tallyboard.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -91,3 +91,24 @@ FROM whole ANTI JOIN (SELECT DISTINCT turns FROM p WHERE place < n_turns) USING
 """)
 def op5_chat_collapse(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chats.maximal(table(spark, sf_dir, "conversations"))
+
+
+def fold() -> Column:
+    """0 for rows that nothing learns from."""
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5
+
+
+#: Documents that score at least this are taken as good.
+GOOD = 0.3
+
+
+def quality_weights(spark: SparkSession, docs: DataFrame, sf_dir: str):
+    labels = table(spark, sf_dir, "labels").select("doc_id", "quality").where(fold() != 0)
+    return quality.train(docs.select("doc_id", "text"), labels)
+
+
+@bind()
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = quality.score(docs, quality_weights(spark, docs, sf_dir), keep=["doc_id"])
+    return scored.select("doc_id", (fold() == 0).alias("held_out"), "score", (F.col("score") >= GOOD).cast("int").alias("predicted"))
