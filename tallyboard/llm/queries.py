@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyboard.llm import ann, bpe, chats, line_dedup, packing, quality
+from tallyboard.llm import ann, bpe, chats, jaccard, line_dedup, packing, quality
 from tallyboard.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -112,3 +112,28 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     scored = quality.score(docs, quality_weights(spark, docs, sf_dir), keep=["doc_id"])
     return scored.select("doc_id", (fold() == 0).alias("held_out"), "score", (F.col("score") >= GOOD).cast("int").alias("predicted"))
+
+
+@bind(f"""
+WITH w AS (
+  SELECT doc_id, list_filter(string_split_regex({_LOWER.format("coalesce(text, '')")}, '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w
+  FROM documents),
+s AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(w) - 1), lambda k: w[k] || ' ' || w[k + 1] || ' ' || w[k + 2])) END AS s
+  FROM w),
+one AS (SELECT doc_id, len(s) AS n, unnest(s) AS g FROM s),
+rare AS (SELECT g FROM one GROUP BY g HAVING count(*) > 1),
+shared AS (SELECT one.* FROM one SEMI JOIN rare USING (g)),
+pairs AS (
+  SELECT a.doc_id AS a, b.doc_id AS b FROM shared AS a JOIN shared AS b USING (g) WHERE a.doc_id <> b.doc_id
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 90 * (a.n + b.n - count(*))),
+reach AS (
+  WITH RECURSIVE r(id, seen) AS (
+    SELECT doc_id, doc_id FROM documents UNION SELECT r.id, pairs.b FROM r JOIN pairs ON pairs.a = r.seen)
+  SELECT id, min(seen) AS component_id FROM r GROUP BY id)
+SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, component_id FROM s JOIN reach ON id = doc_id
+""")
+def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = jaccard.similar_groups(table(spark, sf_dir, "documents"), words=3, percent=90)
+    return found.select(F.col("id").alias("doc_id"), "n_shingles", "component_id")
