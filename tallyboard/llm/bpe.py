@@ -21,11 +21,12 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyboard.llm import tokens
 from tallyboard.llm.common import chunked, col, without
+from tallyboard.scratch import stage
 
 LEXICON_WORDS = 1 << 16
 #: Words held by a counting task, and by a worker's memo, before they are passed on or dropped.
@@ -91,7 +92,7 @@ def compile_lexicon(entries: Iterable[tuple[bytes, list[int]]]) -> bytes:
             before += count_of[to]
     parts = [
         np.array(keys, "<i8"), np.array(targets, "<i8"), np.array(numbers, "<i8"),
-        np.array(ends, "<i8"), np.array(bounds, "<i8"), np.array(table, "<i8"),
+        np.array(ends, "<i8"), np.array(bounds, "<i8"), np.array(table, "<i4"),
     ]
     return struct.pack("<7q", root, *map(len, parts)) + b"".join(p.tobytes() for p in parts)
 
@@ -103,12 +104,12 @@ class Lexicon:
         with tempfile.TemporaryFile() as f:  # has no name, so nothing is left behind
             f.write(packed)
             f.flush()
-            held = np.memmap(f, "<i8", "r")
-        self.root, sizes, at = int(held[0]), held[1:7], 7
-        parts = []
-        for n in sizes:
-            parts.append(held[at : at + int(n)])
-            at += int(n)
+            held = np.asarray(np.memmap(f, np.uint8, "r"))
+        self.root, *sizes = struct.unpack("<7q", held[:56].tobytes())
+        parts, at = [], 56
+        for n, kind in zip(sizes, ("<i8", "<i8", "<i8", "<i8", "<i8", "<i4"), strict=True):
+            parts.append(held[at : at + n * int(kind[2])].view(kind))
+            at += n * int(kind[2])
         self.keys, self.targets, self.numbers, self.ends, self.bounds, self.table = parts
 
     def places(self, words: list[bytes]) -> np.ndarray:
@@ -133,8 +134,9 @@ class Lexicon:
         place[(place >= 0) & (self.ends[state] == 0)] = -1
         return place
 
-    def ids(self, place: int) -> tuple[int, ...]:
-        return tuple(self.table[self.bounds[place] : self.bounds[place + 1]].tolist())
+    def ids(self, place: int) -> bytes:
+        """Little-endian 32-bit numbers."""
+        return self.table[self.bounds[place] : self.bounds[place + 1]].tobytes()
 
 
 # --- encoding -----------------------------------------------------------------------------------
@@ -178,29 +180,38 @@ def _count(path: str):
 class Encoder:
     def __init__(self, words: tokens.Vocabulary, lexicon: Lexicon):
         self.words, self.lexicon = words, lexicon
-        self.memo: dict[str, tuple[int, ...]] = {}
+        self.memo: dict[str, bytes] = {}
 
-    def learn(self, wanted: set[str]) -> dict[str, tuple[int, ...]]:
+    def learn(self, wanted: set[str]) -> dict[str, bytes]:
         """Ids of words that the memo lacks: from the lexicon, else by exact merging."""
         new = list(wanted)
         coded = [w.encode() for w in new]
-        found = {}
+        found, special, merge = {}, self.words.special, self.words.merge
         for w, b, place in zip(new, coded, self.lexicon.places(coded).tolist(), strict=True):
-            if w in self.words.special:
-                found[w] = (self.words.special[w],)
+            if place >= 0:
+                found[w] = self.lexicon.ids(place)
+            elif w in special:
+                found[w] = struct.pack("<i", special[w])
             else:
-                found[w] = self.lexicon.ids(place) if place >= 0 else tuple(self.words.merge(b))
+                ids = merge(b)
+                found[w] = struct.pack(f"<{len(ids)}i", *ids)
         return found
 
-    def encode(self, texts: list[str | None]) -> list[list[int]]:
+    def encode(self, texts: list[str | None]) -> list[bytes]:
+        """The ids of each text as little-endian 32-bit numbers."""
         cut = [pieces(self.words, t) if t else [] for t in texts]
-        wanted = set(chain.from_iterable(cut)).difference(self.memo)
-        if len(self.memo) + len(wanted) > HELD:
-            self.memo = {}
-            wanted = set(chain.from_iterable(cut))
-        self.memo.update(self.learn(wanted))
-        get = self.memo.__getitem__
-        return [list(chain.from_iterable(map(get, c))) for c in cut]
+        get = self.memo.get
+        coded = [list(map(get, c)) for c in cut]
+        lacking = [k for k, c in enumerate(coded) if None in c]
+        if lacking:
+            wanted = {w for k in lacking for w, x in zip(cut[k], coded[k], strict=True) if x is None}
+            if len(self.memo) + len(wanted) > HELD:
+                self.memo.clear()
+                wanted = set(chain.from_iterable(cut[k] for k in lacking))
+            self.memo.update(self.learn(wanted))
+            for k in lacking:
+                coded[k] = map(get, cut[k])
+        return list(map(b"".join, coded))
 
 
 _ENCODERS: dict[tuple[str, int], Encoder] = {}
@@ -215,31 +226,50 @@ def _encoder(path: str, packed: bytes) -> Encoder:
     return _ENCODERS[key]
 
 
+def decode(flat: np.ndarray, bounds: np.ndarray, letters: np.ndarray, starts: np.ndarray) -> list[str]:
+    """The texts of id lists: ``bounds`` cut ``flat``; ``starts`` cut ``letters`` into the bytes of each id."""
+    sizes = starts[flat + 1] - starts[flat]
+    ends = np.concatenate(([0], np.cumsum(sizes)))
+    data = letters[np.arange(ends[-1]) + np.repeat(starts[flat] - ends[:-1], sizes)].tobytes()
+    cuts = ends[bounds].tolist()
+    return [data[a:b].decode("utf-8", "replace") for a, b in zip(cuts, cuts[1:], strict=False)]
+
+
 def _code(path: str, sent):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(path, sent.value)
-        bytes_of = encoder.words.bytes_of.__getitem__
+        bytes_of = encoder.words.bytes_of
+        letters = np.frombuffer(b"".join(bytes_of), np.uint8)
+        starts = np.concatenate(([0], np.cumsum(list(map(len, bytes_of)))))
         for whole in batches:
             at = whole.num_columns - 1
-            for start in range(0, whole.num_rows, 1000):
-                batch = whole.slice(start, 1000)
+            for start in range(0, whole.num_rows, 500):
+                batch = whole.slice(start, 500)
                 ids = encoder.encode(batch.column(at).to_pylist())
-                bounds = np.concatenate(([0], np.cumsum([len(x) for x in ids]))).astype(np.int32)
-                flat = np.fromiter(chain.from_iterable(ids), np.int32, int(bounds[-1]))
-                decoded = [b"".join(map(bytes_of, x)).decode("utf-8", "replace") for x in ids]
+                bounds = np.concatenate(([0], np.cumsum(list(map(len, ids))))) // 4
+                flat = np.frombuffer(b"".join(ids), "<i4")
                 columns = [batch.column(k) for k in range(at)]
-                columns += [pa.ListArray.from_arrays(pa.array(bounds), pa.array(flat)), pa.array(decoded, pa.string())]
+                columns.append(pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(flat)))
+                columns.append(pa.array(decode(flat, bounds, letters, starts), pa.string()))
                 yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names[:-1], *ADDED])
 
     return run
 
 
 def build_lexicon(texts: DataFrame, path: str, lexicon_words: int = LEXICON_WORDS) -> bytes:
-    """The automaton of the most frequent words of column ``text``. Only these words come to the driver."""
-    counts = texts.mapInArrow(_count(path), "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    top = counts.orderBy(F.col("n").desc(), "word").limit(lexicon_words)
+    """The automaton of the most frequent words of column ``text``: as many whole frequencies as give at most ``lexicon_words``.
+
+    Only those words, and how many words each frequency has, come to the driver.
+    """
+    counts = stage(texts.mapInArrow(_count(path), "word string, n long").groupBy("word").agg(F.sum("n").alias("n")), "words")
+    sizes = counts.groupBy("n").agg(F.count(F.lit(1)).alias("words"))
+    order = Window.orderBy(F.col("n").desc())
+    # One row a frequency: few, as a table of m words has at most the square root of 2 m frequencies.
+    enough = sizes.withColumn("so_far", F.sum("words").over(order)).where(F.col("so_far") <= lexicon_words)
+    least = enough.agg(F.min("n")).first()[0]
     words = tokens.vocabulary(path)
-    coded = sorted(r.word.encode() for r in top.select("word").collect())
+    top = counts.where(F.col("n") >= least).select("word").collect() if least is not None else []
+    coded = sorted(r.word.encode() for r in top)
     return compile_lexicon((w, words.merge(w)) for w in coded)
 
 

@@ -63,7 +63,11 @@ class Vocabulary:
     def merge(self, piece: bytes) -> list[int]:
         """Ids of one piece: itself if it is a token, else merged pair by pair, lowest rank first."""
         known = self.ranks.get(piece)
-        return [known] if known is not None else self.fast._encode_single_piece(piece)
+        return [known] if known is not None else self.merger(piece)
+
+    @functools.cached_property
+    def merger(self):
+        return self.fast._core_bpe.encode_single_piece
 
     @functools.cached_property
     def library(self):
