@@ -1,16 +1,18 @@
 """Documents whose word shingles overlap enough, by T-occurrence search (DivideSkip) inside small buckets.
 
 1. Shingles are 64-bit hashes. Documents with equal sets form a class; one member stands for it.
-2. Prefix filter: in any common order of shingles, two sets of Jaccard similarity t share one of their first
-   ``n - ceil(t n) + 1``. The order puts rare shingles first: a share of all shingles is counted over
-   all documents, those found in two documents are put into a Bloom filter of bounded size, and
-   shingles that it lacks come first. They are in one document only, so they are never sent on. A full
-   filter makes the order worse, not the result.
-3. Documents that share a prefix shingle make a cluster. A small cluster is a bucket. A large one (a big
-   group of near copies) is dealt by each document's rarest shared shingle into buckets of bounded size, each
-   with a few anchors that tie the buckets together. Shingles that still have documents of different
-   components are then searched in pairs of blocks: nothing is left out.
-4. In a bucket, documents are searched one after the other: short inverted lists are merged with a heap,
+2. Prefix filter: in any common order of shingles, two sets of Jaccard similarity t share at least l of
+   their first ``n - ceil(t n) + l``; l is a twentieth of the set here. The order puts rare shingles first:
+   a share of all shingles is counted over all documents, those found in two documents are put into a
+   Bloom filter of bounded size, and shingles that it lacks come first. They are in one document only,
+   so they are never sent on. A full filter makes the order worse, not the result.
+3. Shingles with the same list of documents become one list with a weight. In each list, documents
+   that share lists of weight l are joined to a cluster; a very long list joins all its documents.
+4. A cluster of bounded size is a bucket. A large one (a big group of near copies) is dealt by each
+   document's first list into buckets of bounded size, each with a few anchors that tie the buckets
+   together. Lists that still have documents of different components are then searched in pairs of
+   blocks: nothing is left out.
+5. In a bucket, documents are searched one after the other: short inverted lists are merged with a heap,
    the longest ones are only probed by binary search, and a document that reaches the required overlap is
    a link. A component that is linked already is not searched again, so a bucket gives fewer links
    than documents, however many pairs are alike.
@@ -45,6 +47,8 @@ PROBES = 3
 #: Shingles in a bucket, and documents.
 BUCKET_SHINGLES, BUCKET_DOCS = 500_000, 2000
 ANCHORS = 8
+#: Documents of a list that are compared by their lists; a longer list is one cluster.
+LIST_DOCS = 500
 #: Shingles that a counting task holds before it passes them on.
 HELD = 1 << 21
 
@@ -59,9 +63,18 @@ def shingles(text: str | None, words: int) -> np.ndarray:
 # --- the order of shingles ------------------------------------------------------------------------
 
 
+def wanted_overlap(n: int) -> int:
+    """How many prefix shingles a similar pair shares at least, ``n`` being the size of its smaller set."""
+    return max(1, n // 20)
+
+
+def smallest_partner(n: int, percent: int) -> int:
+    return -(-percent * n // 100)
+
+
 def counted_share(percent: int) -> int:
     """Eighths of all shingles that are counted: enough that the rare ones among them fill the prefix."""
-    return min(8, math.ceil(8 * 2.5 * (100 - percent) / 100))
+    return min(8, -(-8 * 5 * (100 - percent + 5) // 200))
 
 
 def _counted(words: int, eighths: int, segment_bits: int):
@@ -146,13 +159,14 @@ def prefix(s: np.ndarray, filled: np.ndarray, eighths: int, percent: int) -> np.
     """The prefix of a set in the common order, without shingles that no other document has."""
     if not len(s):
         return s
-    n = len(s) - -(-percent * len(s) // 100) + 1
+    n = len(s) - smallest_partner(len(s), percent) + wanted_overlap(len(s))
     counted = (s & np.uint64(7)) < eighths
     bits = bits_of(s, len(filled) * 8)
     common = ((filled[(bits >> np.uint64(3)).astype(np.int64)] >> (bits & np.uint64(7)).astype(np.uint8)) & 1).all(axis=1)
     rank = np.where(counted, common, 2)
     first = np.argsort(rank, kind="stable")[:n]
-    return s[first[rank[first] > 0]]
+    first = first[rank[first] > 0]
+    return s[first] if len(first) >= wanted_overlap(smallest_partner(len(s), percent)) else s[:0]
 
 
 def _describe(words: int, eighths: int, percent: int, sent):
@@ -198,7 +212,7 @@ class Bucket:
     def search(self, found: list[int], done: set[int]) -> Iterator[int]:
         """One similar set of every component that is not in ``done``."""
         n = len(found)
-        least = -(-self.percent * n // 100)
+        least = smallest_partner(n, self.percent)
         lists = sorted((self.lists[x] for x in found if x in self.lists), key=len)
         if len(lists) < least or not self.roots - done:
             return
@@ -263,17 +277,68 @@ def _searched(rows: DataFrame, keys: list[str], percent: int) -> DataFrame:
     return rows.groupBy(*keys).applyInArrow(_search(percent), "a long, b long")
 
 
+def _joined(percent: int):
+    """Documents of one list that share lists of enough weight, as edges of a forest."""
+
+    def run(key, part):
+        held = sorted(zip(part.column("n").to_pylist(), part.column("rep").to_pylist(), part.column("lists").to_pylist(), strict=True), key=lambda r: r[:2])
+        parents = list(range(len(held)))
+        index: dict[int, list[int]] = {}
+        a, b = [], []
+
+        def root(k: int) -> int:
+            while parents[k] != k:
+                parents[k] = parents[parents[k]]
+                k = parents[k]
+            return k
+
+        for k, (n, rep, lists) in enumerate(held):
+            weights: dict[int, int] = {}
+            for x in lists:
+                for other in index.get(x["list"], ()):
+                    weights[other] = weights.get(other, 0) + x["weight"]
+                index.setdefault(x["list"], []).append(k)
+            for other, weight in weights.items():
+                m = held[other][0]
+                if 100 * m >= percent * n and weight >= wanted_overlap(m) and root(other) != root(k):
+                    parents[root(other)] = root(k)
+                    a.append(held[other][1])
+                    b.append(rep)
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    return run
+
+
+def shared_lists(described: DataFrame, percent: int) -> DataFrame:
+    """(rep, n, list, weight, docs, least): the different lists of documents that share prefix shingles.
+
+    ``weight`` shingles have just these ``docs`` documents, of which ``least`` is the smallest.
+    """
+    every = described.select("rep", "n", F.explode("tokens").alias("token"))
+    tokens = every.groupBy("token").agg(
+        F.count(F.lit(1)).alias("docs"), F.min("rep").alias("least"),
+        F.bit_xor(F.xxhash64("rep")).alias("x"), F.bit_xor(F.xxhash64("rep", F.lit(1))).alias("y"),
+    ).where("docs > 1")
+    lists = tokens.groupBy("docs", "least", "x", "y").agg(F.min("token").alias("token"), F.count(F.lit(1)).alias("weight"))
+    held = every.join(lists.select("token", "weight", "docs", "least"), "token").withColumnRenamed("token", "list")
+    # A document whose lists do not reach its overlap together has no partner.
+    enough = held.groupBy("rep").agg(F.sum("weight").alias("all"), F.first("n").alias("n"))
+    partner = F.ceil(F.col("n") * percent / 100)
+    enough = enough.where(F.col("all") >= F.greatest(F.lit(1), F.floor(partner / 20)))
+    return held.join(enough.select("rep"), "rep", "left_semi")
+
+
 def links(described: DataFrame, percent: int) -> DataFrame:
     """(a, b): enough similar pairs that their components are those of all similar pairs. One row a class comes in."""
-    every = described.where("tokens IS NOT NULL").select("rep", F.posexplode("tokens").alias("place", "token"), "n")
-    shared = every.groupBy("token").agg(F.count(F.lit(1)).alias("df"), F.min("rep").alias("least")).where("df > 1")
-    postings = stage(every.join(shared, "token"), "postings")
+    held = stage(shared_lists(described, percent), "lists")
     sets = described.select("rep", "n", "shingles")
 
-    clusters = components(postings.where("rep != least").select(F.col("least").alias("a"), F.col("rep").alias("b")))
-    clusters = clusters.withColumnsRenamed({"id": "rep", "component": "cluster"})
-    sized = clusters.join(sets.select("rep", "n"), "rep")
-    sizes = sized.groupBy("cluster").agg(F.sum("n").alias("weight"), F.count(F.lit(1)).alias("docs"))
+    own = held.where(F.col("docs") <= LIST_DOCS).groupBy("rep").agg(F.collect_list(F.struct("list", "weight")).alias("lists"))
+    compared = held.where(F.col("docs") <= LIST_DOCS).select("list", "rep", "n").join(own, "rep")
+    edges = compared.groupBy("list").applyInArrow(_joined(percent), "a long, b long")
+    edges = edges.union(held.where((F.col("docs") > LIST_DOCS) & (F.col("rep") != F.col("least"))).select("least", "rep"))
+    clusters = components(edges).withColumnsRenamed({"id": "rep", "component": "cluster"})
+    sizes = clusters.join(sets.select("rep", "n"), "rep").groupBy("cluster").agg(F.sum("n").alias("weight"), F.count(F.lit(1)).alias("docs"))
     small = (F.col("weight") <= BUCKET_SHINGLES) & (F.col("docs") <= BUCKET_DOCS)
     clusters = stage(clusters.join(sizes, "cluster").select("rep", "cluster", small.alias("small")), "clusters")
     whole = sets.join(clusters.where("small"), "rep").withColumn("label", F.col("rep"))
@@ -282,33 +347,31 @@ def links(described: DataFrame, percent: int) -> DataFrame:
         return found
     found = stage(found, "links")
 
-    # Large clusters: each document goes with its first shared shingle, and a few anchors go with all.
-    postings = stage(postings.join(clusters.where("NOT small").select("rep"), "rep", "left_semi"), "postings")
-    home = postings.groupBy("rep").agg(F.min_by("token", "place").alias("token"), F.first("n").alias("n"))
-    load = home.groupBy("token").agg(F.sum("n").alias("weight"), F.count(F.lit(1)).alias("docs"))
+    # Large clusters: each document goes with its first list, and a few anchors go with all.
+    held = stage(held.join(clusters.where("NOT small").select("rep"), "rep", "left_semi"), "lists")
+    home = held.groupBy("rep").agg(F.min("list").alias("list"), F.first("n").alias("n"))
+    load = home.groupBy("list").agg(F.sum("n").alias("weight"), F.count(F.lit(1)).alias("docs"))
     blocks = F.ceil(F.greatest(2 * F.col("weight") / BUCKET_SHINGLES, 2 * F.col("docs") / BUCKET_DOCS)).cast("int")
-    load = load.select("token", blocks.alias("blocks"))
-    dealt = home.join(load, "token").withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
-    order = Window.partitionBy("token").orderBy(F.xxhash64("rep", F.lit(1)), "rep")
+    dealt = home.join(load.select("list", blocks.alias("blocks")), "list")
+    dealt = dealt.withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
+    order = Window.partitionBy("list").orderBy(F.xxhash64("rep", F.lit(1)), "rep")
     anchors = dealt.where("blocks > 1").withColumn("k", F.row_number().over(order)).where(F.col("k") <= ANCHORS)
     anchors = anchors.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    routed = dealt.select("token", "block", "rep").union(anchors.select("token", "block", "rep")).distinct()
+    routed = dealt.select("list", "block", "rep").union(anchors.select("list", "block", "rep")).distinct()
     with_sets = routed.join(sets, "rep").withColumn("label", F.col("rep"))
-    first = stage(_searched(with_sets, ["token", "block"], percent), "links")
+    first = stage(_searched(with_sets, ["list", "block"], percent), "links")
 
-    # Shingles whose documents are not yet of one component: all pairs of their blocks.
+    # Lists whose documents are not yet of one component: all pairs of their blocks.
     labels = components(first).withColumnsRenamed({"id": "rep", "component": "found"})
-    postings = postings.join(labels, "rep", "left").withColumn("label", F.coalesce("found", "rep")).drop("found")
-    open_ = postings.groupBy("token").agg(
+    held = held.join(labels, "rep", "left").withColumn("label", F.coalesce("found", "rep")).drop("found")
+    open_ = held.groupBy("list").agg(
         F.min("label").alias("low"), F.max("label").alias("high"), F.sum("n").alias("weight"), F.count(F.lit(1)).alias("docs"),
-        F.bit_xor(F.xxhash64("rep")).alias("same"), F.sum(F.pmod(F.xxhash64("rep", F.lit(2)), F.lit(1 << 31))).alias("too"),
     ).where("low != high")
-    # Shingles of the same documents need one search.
-    open_ = open_.groupBy("docs", "weight", "same", "too").agg(F.min("token").alias("token")).select("token", blocks.alias("blocks"))
-    rest = postings.join(open_, "token").withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    rest = rest.withColumn("other", other).withColumns({"low": F.least("block", "other"), "high": F.greatest("block", "other")})
-    last = _searched(rest.select("token", "low", "high", "rep", "label").join(sets, "rep"), ["token", "low", "high"], percent)
+    rest = held.select("rep", "label", "list").join(open_.select("list", blocks.alias("blocks")), "list")
+    rest = rest.withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
+    rest = rest.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    rest = rest.withColumns({"low": F.least("block", "other"), "high": F.greatest("block", "other")})
+    last = _searched(rest.select("list", "low", "high", "rep", "label").join(sets, "rep"), ["list", "low", "high"], percent)
     return found.union(first).union(last)
 
 
