@@ -79,3 +79,22 @@ def sequence_hashes(words: np.ndarray, n: int) -> np.ndarray:
     for k in range(n):
         total = mix(total * _ODD + words[k : k + m])
     return total
+
+
+_POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+
+
+def rolling_hashes(words: np.ndarray, n: int, seed: int) -> np.ndarray:
+    """Hashes of each run of ``n`` consecutive word hashes, as a polynomial: the cost does not grow with ``n``."""
+    m = len(words) - n + 1
+    if m <= 0:
+        return np.empty(0, np.uint64)
+    if seed not in _POWERS or len(_POWERS[seed][0]) < len(words):
+        base = (seed * 0x9E3779B97F4A7C15 | 5) & ~2 & (2**64 - 1)  # odd, so it has an inverse
+        size = max(1 << 12, 2 * len(words))
+        up = np.cumprod(np.full(size, base, np.uint64)) * np.uint64(pow(base, -1, 2**64))
+        down = np.cumprod(np.full(size, pow(base, -1, 2**64), np.uint64)) * np.uint64(base)
+        _POWERS[seed] = up, down
+    up, down = _POWERS[seed]
+    sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(mix(words ^ np.uint64(seed)) * up[: len(words)])))
+    return mix((sums[n:] - sums[:-n]) * down[:m])

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyboard.llm import ann, bpe, chats, jaccard, line_dedup, packing, quality
+from tallyboard.llm import ann, bpe, chats, jaccard, line_dedup, packing, passages, quality
 from tallyboard.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -137,3 +137,9 @@ SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, component_id FROM s JOIN re
 def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = jaccard.similar_groups(table(spark, sf_dir, "documents"), words=3, percent=90)
     return found.select(F.col("id").alias("doc_id"), "n_shingles", "component_id")
+
+
+@bind()
+def op8_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = passages.drop_repeated_passages(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
