@@ -10,8 +10,8 @@
    that share lists of weight l are joined to a cluster; a very long list joins all its documents.
 4. A cluster of bounded size is a bucket. A large one (a big group of near copies) is dealt by each
    document's first list into buckets of bounded size, each with a few anchors that tie the buckets
-   together. Lists that still have documents of different components are then searched in pairs of
-   blocks: nothing is left out.
+   together. Where documents of a cluster are then still of different components, all pairs of blocks
+   are searched but for those of one component: nothing is left out.
 5. In a bucket, documents are searched one after the other: short inverted lists are merged with a heap,
    the longest ones are only probed by binary search, and a document that reaches the required overlap is
    a link. A component that is linked already is not searched again, so a bucket gives fewer links
@@ -48,7 +48,7 @@ PROBES = 3
 BUCKET_SHINGLES, BUCKET_DOCS = 500_000, 2000
 ANCHORS = 8
 #: Documents of a list that are compared by their lists; a longer list is one cluster.
-LIST_DOCS = 500
+LIST_DOCS = 2000
 #: Shingles that a counting task holds before it passes them on.
 HELD = 1 << 21
 
@@ -277,34 +277,42 @@ def _searched(rows: DataFrame, keys: list[str], percent: int) -> DataFrame:
     return rows.groupBy(*keys).applyInArrow(_search(percent), "a long, b long")
 
 
-def _joined(percent: int):
-    """Documents of one list that share lists of enough weight, as edges of a forest."""
+def alike(sizes: np.ndarray, bounds: np.ndarray, lists: np.ndarray, weights: np.ndarray, percent: int) -> np.ndarray:
+    """For documents with their lists (``bounds`` cut ``lists`` and ``weights``): the first document of each one's component.
 
-    def run(key, part):
-        held = sorted(zip(part.column("n").to_pylist(), part.column("rep").to_pylist(), part.column("lists").to_pylist(), strict=True), key=lambda r: r[:2])
-        parents = list(range(len(held)))
-        index: dict[int, list[int]] = {}
-        a, b = [], []
+    Two documents are joined if they share lists of enough weight and their sizes allow the similarity.
+    """
+    n = len(sizes)
+    owner = np.repeat(np.arange(n), np.diff(bounds))
+    _, place, number = np.unique(lists, return_inverse=True, return_counts=True)
+    common = number[place] > 1
+    columns, column = np.unique(place[common], return_inverse=True)
+    held = np.zeros((n, len(columns)), np.float32)
+    held[owner[common], column] = 1
+    of = np.zeros(len(columns), np.float32)
+    of[column] = weights[common]
+    small = np.minimum(sizes[:, None], sizes)
+    joined = ((held * of) @ held.T >= np.maximum(1, small // 20)) & (100 * small >= percent * np.maximum(sizes[:, None], sizes))
+    first = np.full(n, -1)
+    for k in range(n):
+        if first[k] < 0:
+            front = np.zeros(n, bool)
+            front[k] = True
+            while front.any():
+                first[front] = k
+                front = joined[front].any(axis=0) & (first < 0)
+    return first
 
-        def root(k: int) -> int:
-            while parents[k] != k:
-                parents[k] = parents[parents[k]]
-                k = parents[k]
-            return k
-
-        for k, (n, rep, lists) in enumerate(held):
-            weights: dict[int, int] = {}
-            for x in lists:
-                for other in index.get(x["list"], ()):
-                    weights[other] = weights.get(other, 0) + x["weight"]
-                index.setdefault(x["list"], []).append(k)
-            for other, weight in weights.items():
-                m = held[other][0]
-                if 100 * m >= percent * n and weight >= wanted_overlap(m) and root(other) != root(k):
-                    parents[root(other)] = root(k)
-                    a.append(held[other][1])
-                    b.append(rep)
-        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+def _joined(percent: int):
+    def run(key, part):
+        part = part.combine_chunks()
+        reps = part.column("rep").to_numpy()
+        lists = part.column("lists").chunk(0)
+        bounds = lists.offsets.to_numpy() - lists.offsets[0].as_py()
+        first = alike(part.column("n").to_numpy(), bounds, lists.flatten().to_numpy(), part.column("weights").chunk(0).flatten().to_numpy(), percent)
+        other = first != np.arange(len(first))
+        return pa.table({"a": reps[first[other]], "b": reps[other]})
 
     return run
 
@@ -333,8 +341,13 @@ def links(described: DataFrame, percent: int) -> DataFrame:
     held = stage(shared_lists(described, percent), "lists")
     sets = described.select("rep", "n", "shingles")
 
-    own = held.where(F.col("docs") <= LIST_DOCS).groupBy("rep").agg(F.collect_list(F.struct("list", "weight")).alias("lists"))
-    compared = held.where(F.col("docs") <= LIST_DOCS).select("list", "rep", "n").join(own, "rep")
+    short = held.where(F.col("docs") <= LIST_DOCS)
+    # 32 bits of a list are enough here: a collision can only join too much.
+    own = short.groupBy("rep").agg(F.collect_list(F.struct(
+        F.col("list").bitwiseAND(F.lit(0x7FFFFFFF)).cast("int").alias("list"), F.col("weight").cast("int").alias("weight"),
+    )).alias("own"))
+    own = own.select("rep", F.col("own.list").alias("lists"), F.col("own.weight").alias("weights"))
+    compared = short.select("list", "rep", "n").join(own, "rep")
     edges = compared.groupBy("list").applyInArrow(_joined(percent), "a long, b long")
     edges = edges.union(held.where((F.col("docs") > LIST_DOCS) & (F.col("rep") != F.col("least"))).select("least", "rep"))
     clusters = components(edges).withColumnsRenamed({"id": "rep", "component": "cluster"})
@@ -361,17 +374,27 @@ def links(described: DataFrame, percent: int) -> DataFrame:
     with_sets = routed.join(sets, "rep").withColumn("label", F.col("rep"))
     first = stage(_searched(with_sets, ["list", "block"], percent), "links")
 
-    # Lists whose documents are not yet of one component: all pairs of their blocks.
+    # Clusters that are not yet of one component: all pairs of blocks, but for those of one component.
     labels = components(first).withColumnsRenamed({"id": "rep", "component": "found"})
-    held = held.join(labels, "rep", "left").withColumn("label", F.coalesce("found", "rep")).drop("found")
-    open_ = held.groupBy("list").agg(
-        F.min("label").alias("low"), F.max("label").alias("high"), F.sum("n").alias("weight"), F.count(F.lit(1)).alias("docs"),
-    ).where("low != high")
-    rest = held.select("rep", "label", "list").join(open_.select("list", blocks.alias("blocks")), "list")
-    rest = rest.withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
-    rest = rest.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    rest = rest.withColumns({"low": F.least("block", "other"), "high": F.greatest("block", "other")})
-    last = _searched(rest.select("list", "low", "high", "rep", "label").join(sets, "rep"), ["list", "low", "high"], percent)
+    placed = clusters.where("NOT small").select("rep", "cluster").join(labels, "rep", "left")
+    placed = placed.withColumn("label", F.coalesce("found", "rep")).drop("found").join(sets.select("rep", "n"), "rep")
+    heavy = placed.groupBy("cluster", "label").agg(F.sum("n").alias("weight"), F.count(F.lit(1)).alias("docs"))
+    open_ = heavy.groupBy("cluster").agg(F.count(F.lit(1)).alias("labels")).where("labels > 1").select("cluster")
+    heavy = heavy.join(open_, "cluster").withColumn("team", F.when(blocks > 1, F.col("label")))  # null: all light labels
+    teams = heavy.groupBy("cluster", "team").agg(F.sum("weight").alias("weight"), F.sum("docs").alias("docs"))
+    teams = teams.select("cluster", "team", blocks.alias("blocks"))
+    dealt = placed.join(heavy.select("cluster", "label", "team"), ["cluster", "label"])
+    dealt = dealt.join(teams, (dealt["cluster"] == teams["cluster"]) & dealt["team"].eqNullSafe(teams["team"])).select(
+        dealt["cluster"], dealt["team"], "rep", "label", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int").alias("block")
+    )
+    block = teams.select("cluster", "team", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"))
+    block = block.select("cluster", F.struct("team", "block").alias("of"))
+    pairs = block.withColumnRenamed("of", "low").join(block.withColumnRenamed("of", "high"), "cluster").where(
+        (F.col("low") <= F.col("high")) & (F.col("low.team").isNull() | ~F.col("low.team").eqNullSafe(F.col("high.team")))
+    )
+    ends = pairs.select("cluster", "low", "high", F.explode(F.array_distinct(F.array("low", "high"))).alias("of"))
+    rows = dealt.select("cluster", F.struct("team", "block").alias("of"), "rep", "label").join(ends, ["cluster", "of"])
+    last = _searched(rows.select("cluster", "low", "high", "rep", "label").join(sets, "rep"), ["cluster", "low", "high"], percent)
     return found.union(first).union(last)
 
 
