@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyboard.llm import ann, bpe, chats, jaccard, line_dedup, packing, passages, quality
+from tallyboard.llm import ann, bpe, chats, jaccard, line_dedup, packing, passages, pii, quality
 from tallyboard.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -143,3 +143,23 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = passages.drop_repeated_passages(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
+def listed(spans: Column) -> Column:
+    """kind:start:end of each span, comma-joined."""
+    names = F.array(*[F.lit(k) for k in pii.KINDS])
+    return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", F.element_at(names, s["kind"] + 1), s["start"], s["end"])), ",")
+
+
+def _is(kind: int) -> Callable[[Column], Column]:
+    return lambda k: (k == kind).cast("int")
+
+
+@bind()
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = pii.with_spans(docs, pii.learn(docs)).select("doc_id", "pii_spans")
+    base = F.filter("pii_spans", lambda s: s["base"])
+    kinds = F.transform(base, lambda s: s["kind"])
+    numbers = [F.size(F.array_remove(F.transform(kinds, _is(k)), 0)).cast("long").alias(f"n_{kind}") for k, kind in enumerate(pii.BASE)]
+    return found.select("doc_id", *numbers, F.sha2(listed(base), 256).alias("base_sha256"), listed(F.col("pii_spans")).alias("spans"))
