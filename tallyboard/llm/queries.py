@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyboard.llm import ann, bpe, chats, jaccard, line_dedup, packing, passages, pii, quality
+from tallyboard.llm import ann, bpe, chats, fingerprint, jaccard, line_dedup, packing, passages, pii, quality
 from tallyboard.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -163,3 +163,8 @@ def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     kinds = F.transform(base, lambda s: s["kind"])
     numbers = [F.size(F.array_remove(F.transform(kinds, _is(k)), 0)).cast("long").alias(f"n_{kind}") for k, kind in enumerate(pii.BASE)]
     return found.select("doc_id", *numbers, F.sha2(listed(base), 256).alias("base_sha256"), listed(F.col("pii_spans")).alias("spans"))
+
+
+@bind()
+def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.compare_with_edit(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
