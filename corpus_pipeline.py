@@ -1,28 +1,64 @@
-"""Corpus cleaning in stages, each one of the training-data operators."""
+"""Corpus cleaning in stages, each one of the training-data operators over all that the one before kept."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tallyboard.llm import line_dedup
+from tallyboard.llm import jaccard, line_dedup, pii, quality
+from tallyboard.llm.queries import GOOD, packed, quality_weights
 from tallyboard.scratch import stage
 
 
+def _as_before(changed: DataFrame, docs: DataFrame) -> DataFrame:
+    """The columns of ``docs``; the number of characters is that of the changed text."""
+    if "n_chars" in docs.columns:
+        changed = changed.withColumn("n_chars", F.length(F.coalesce("text", F.lit(""))).cast("long"))
+    return changed.select(*docs.columns)
+
+
+def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier does not reject."""
+    scored = quality.score(docs, quality_weights(spark, docs, sf_dir))
+    return scored.where(F.col("score") >= GOOD).select(*docs.columns)
+
+
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Boilerplate lines stay in one document only."""
-    return line_dedup.drop_repeated_lines(docs).select(*docs.columns)
+    return _as_before(line_dedup.drop_repeated_lines(docs), docs)
+
+
+def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of every group of near copies (five words, similarity 0.8) the document with the smallest id.
+
+    Rows that repeat an id go only if all of them are copies of others; rows without an id stay.
+    """
+    groups = jaccard.similar_groups(docs, words=5, percent=80)
+    gone = groups.groupBy("id").agg(F.max(F.col("id") == F.col("component_id")).alias("first")).where("NOT first")
+    return docs.join(gone.select(F.col("id").alias("doc_id")), "doc_id", "left_anti").select(*docs.columns)
+
+
+def mask_personal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Personal data is replaced by the name of its kind."""
+    return _as_before(pii.mask(docs), docs)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of training sequences."""
+    return packed(docs)
 
 
-STAGES = [("line dedup", drop_lines)]
+STAGES = [
+    ("quality classifier", keep_good), ("line dedup", drop_lines), ("n-gram Jaccard join", one_of_each),
+    ("PII", mask_personal), ("packing", pack),
+]
 
-#: DuckDB cannot express the learnt and the numeric stages.
+#: SQL can express neither the learnt stages nor the tokenizer.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for k, (name, step) in enumerate(STAGES):
-        docs = step(spark, docs, sf_dir)
-        if k + 1 < len(STAGES):
-            docs = stage(docs, name.replace(" ", "-"))
-    return docs
+    for name, step in STAGES[:-1]:
+        docs = stage(step(spark, docs, sf_dir), name.replace(" ", "-"))
+    return STAGES[-1][1](spark, docs, sf_dir)
