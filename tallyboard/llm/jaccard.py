@@ -3,8 +3,8 @@
 1. Shingles are 64-bit hashes. Documents with equal sets form a class; one member stands for it.
 2. Prefix filter: in any common order of shingles, two sets of Jaccard similarity t share at least l of
    their first ``n - ceil(t n) + l``; l is a twentieth of the set here. The order puts rare shingles first:
-   a share of all shingles is counted over all documents, those found in two documents are put into a
-   Bloom filter of bounded size, and shingles that it lacks come first. They are in one document only,
+   a share of all shingles is counted over all documents, and those found in 2, 8, 32... documents are put
+   into Bloom filters of bounded size. Shingles in no filter come first; they are in one document only,
    so they are never sent on. A full filter makes the order worse, not the result.
 3. Shingles with the same list of documents become one list with a weight. In each list, documents
    that share lists of weight l are joined to a cluster; a very long list joins all its documents.
@@ -44,6 +44,8 @@ from tallyboard.scratch import stage
 #: Bits of the largest filter that is sent to every task: 64 MB.
 MOST_BITS = 1 << 29
 PROBES = 3
+#: Shingles in at least so many documents are told apart.
+LEVELS = (2, 8, 32, 128, 512, 2048)
 #: Shingles in a bucket, and documents.
 BUCKET_SHINGLES, BUCKET_DOCS = 500_000, 2000
 ANCHORS = 8
@@ -78,16 +80,15 @@ def counted_share(percent: int) -> int:
 
 
 def _counted(words: int, eighths: int, segment_bits: int):
-    schema = pa.schema([("segment", pa.int32()), ("hashes", pa.binary())])
+    schema = pa.schema([("segment", pa.int32()), ("hashes", pa.binary()), ("numbers", pa.binary())])
 
     def passed(held: list[np.ndarray]) -> Iterator[tuple]:
-        """Each hash once, or twice if it was met more often, cut by its highest bits."""
+        """Each hash and its number of documents, cut by the highest bits."""
         found, number = np.unique(np.concatenate(held), return_counts=True)
-        found = np.repeat(found, np.minimum(number, 2))
         segments = (found >> np.uint64(64 - segment_bits)).astype(np.int64)
         cuts = np.flatnonzero(np.diff(segments)) + 1
-        for part in np.split(found, cuts):
-            yield int(part[0] >> np.uint64(64 - segment_bits)), part.astype("<u8").tobytes()
+        for part, n in zip(np.split(found, cuts), np.split(np.minimum(number, 65_535).astype("<u2"), cuts), strict=True):
+            yield int(part[0] >> np.uint64(64 - segment_bits)), part.astype("<u8").tobytes(), zlib.compress(n.tobytes(), 1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows():
@@ -108,9 +109,16 @@ def _counted(words: int, eighths: int, segment_bits: int):
 
 
 def _repeated(key, part):
-    found, number = np.unique(np.frombuffer(b"".join(part.column("hashes").to_pylist()), "<u8"), return_counts=True)
-    found = found[number > 1]
-    return pa.table({"n": pa.array([len(found)], pa.int64()), "hashes": pa.array([found.tobytes()], pa.binary())})
+    hashes = np.frombuffer(b"".join(part.column("hashes").to_pylist()), "<u8")
+    numbers = np.frombuffer(b"".join(map(zlib.decompress, part.column("numbers").to_pylist())), "<u2")
+    found, place = np.unique(hashes, return_inverse=True)
+    number = np.bincount(place, numbers, len(found))
+    level = np.searchsorted(LEVELS, number, side="right")
+    rows = [(k, found[level > k]) for k in range(len(LEVELS))]
+    return pa.table({
+        "level": pa.array([k for k, _ in rows], pa.int32()), "n": pa.array([len(x) for _, x in rows], pa.int64()),
+        "hashes": pa.array([x.tobytes() for _, x in rows], pa.binary()),
+    })
 
 
 def bits_of(hashes: np.ndarray, size: int) -> np.ndarray:
@@ -138,32 +146,46 @@ def _merge_parts(key, part):
     return pa.table({"part": pa.array([key[0].as_py()], pa.int32()), "bits": pa.array([zlib.compress(merged.tobytes(), 1)], pa.binary())})
 
 
-def repeated_filter(texts: DataFrame, words: int, eighths: int) -> np.ndarray:
-    """A Bloom filter of the counted shingles that are in two documents or more."""
+def repeated_filters(texts: DataFrame, words: int, eighths: int) -> list[np.ndarray]:
+    """For each level a Bloom filter of the counted shingles in so many documents or more."""
     files = texts.rdd.getNumPartitions()
     segment_bits = min(16, max(4, math.ceil(math.log2(4 * max(1, files)))))
-    counted = texts.mapInArrow(_counted(words, eighths, segment_bits), "segment int, hashes binary")
-    repeated = stage(counted.groupBy("segment").applyInArrow(_repeated, "n long, hashes binary"), "repeated-shingles")
-    number = repeated.agg(F.sum("n")).first()[0] or 0
-    size = min(MOST_BITS, 1 << max(13, math.ceil(math.log2(max(1, 12 * number)))))
-    parts = max(1, size // 8 >> 20)
-    bits = repeated.select("hashes").coalesce(8).mapInArrow(_filter_part(size, parts), "part int, bits binary")
-    out = np.zeros(size // 8, np.uint8)
-    for r in bits.groupBy("part").applyInArrow(_merge_parts, "part int, bits binary").toLocalIterator():
-        piece = np.frombuffer(zlib.decompress(bytes(r.bits)), np.uint8)
-        out[r.part * len(piece) : (r.part + 1) * len(piece)] = piece
+    counted = texts.mapInArrow(_counted(words, eighths, segment_bits), "segment int, hashes binary, numbers binary")
+    repeated = stage(counted.groupBy("segment").applyInArrow(_repeated, "level int, n long, hashes binary"), "repeated-shingles")
+    sizes = {r.level: r.n for r in repeated.groupBy("level").agg(F.sum("n").alias("n")).collect()}
+    out = []
+    for level in range(len(LEVELS)):
+        number = sizes.get(level, 0)
+        size = min(MOST_BITS, 1 << max(13, math.ceil(math.log2(max(1, 12 * number)))))
+        out.append(np.zeros(size // 8, np.uint8))
+        if not number:
+            continue
+        parts = max(1, size // 8 >> 20)
+        bits = repeated.where(F.col("level") == level).select("hashes").coalesce(8).mapInArrow(_filter_part(size, parts), "part int, bits binary")
+        for r in bits.groupBy("part").applyInArrow(_merge_parts, "part int, bits binary").toLocalIterator():
+            piece = np.frombuffer(zlib.decompress(bytes(r.bits)), np.uint8)
+            out[-1][r.part * len(piece) : (r.part + 1) * len(piece)] = piece
     return out
 
 
-def prefix(s: np.ndarray, filled: np.ndarray, eighths: int, percent: int) -> np.ndarray:
+def ranks(s: np.ndarray, filters: list[np.ndarray], eighths: int) -> np.ndarray:
+    """The common order: 0 for shingles of one document, then by level; uncounted ones come last."""
+    out = np.where((s & np.uint64(7)) < eighths, 0, len(LEVELS) + 1)
+    left = np.flatnonzero(out == 0)
+    for level, filled in enumerate(filters):
+        bits = bits_of(s[left], len(filled) * 8)
+        inside = ((filled[(bits >> np.uint64(3)).astype(np.int64)] >> (bits & np.uint64(7)).astype(np.uint8)) & 1).all(axis=1)
+        left = left[inside]
+        out[left] = level + 1
+    return out
+
+
+def prefix(s: np.ndarray, filters: list[np.ndarray], eighths: int, percent: int) -> np.ndarray:
     """The prefix of a set in the common order, without shingles that no other document has."""
     if not len(s):
         return s
     n = len(s) - smallest_partner(len(s), percent) + wanted_overlap(len(s))
-    counted = (s & np.uint64(7)) < eighths
-    bits = bits_of(s, len(filled) * 8)
-    common = ((filled[(bits >> np.uint64(3)).astype(np.int64)] >> (bits & np.uint64(7)).astype(np.uint8)) & 1).all(axis=1)
-    rank = np.where(counted, common, 2)
+    rank = ranks(s, filters, eighths)
     first = np.argsort(rank, kind="stable")[:n]
     first = first[rank[first] > 0]
     return s[first] if len(first) >= wanted_overlap(smallest_partner(len(s), percent)) else s[:0]
@@ -403,7 +425,7 @@ def similar_groups(docs: DataFrame, id_column: str = "doc_id", text_column: str
     spark = docs.sparkSession
     source = docs.select(col(id_column).cast("long").alias("id"), col(text_column).alias("text"))
     eighths = counted_share(percent)
-    sent = spark.sparkContext.broadcast(repeated_filter(source.select("text"), words, eighths))
+    sent = spark.sparkContext.broadcast(repeated_filters(source.select("text"), words, eighths))
     described = stage(
         source.mapInArrow(_describe(words, eighths, percent, sent), "id long, n long, digest binary, tokens array<long>, shingles binary"),
         "shingles",
