@@ -9,7 +9,7 @@ A passage is a window of so many consecutive words that also starts in a documen
 3. Documents that hold a recurring phrase are dealt into shards of bounded size by id. Each shard compiles
    its phrases into an automaton over words and streams its documents through it, which confirms phrases
    word for word and finds every place of each.
-4. Windows around these places are compared over all documents by 128-bit hashes; a window whose smallest
+4. Windows around these places are compared over all documents by 96-bit hashes; a window whose smallest
    document is another one removes its words.
 
 Other documents need no automaton: by step 2 they hold no repeated window.
@@ -48,8 +48,8 @@ def hashes_of(words: list[bytes]) -> np.ndarray:
 
 
 def mark_of(words: list[bytes]) -> int:
-    """Stands for the words of a document, together with its id or number of words."""
-    return int(np.frombuffer(xxhash.xxh3_128_digest(b" ".join(words)), "<i8")[0])
+    """32 bits that tell texts of one id apart."""
+    return int(np.frombuffer(xxhash.xxh3_128_digest(b" ".join(words)), "<i4")[0])
 
 
 def window_minima(values: np.ndarray, size: int) -> np.ndarray:
@@ -77,7 +77,7 @@ def picked(hashed: np.ndarray, window: int) -> np.ndarray:
 
 
 def _describe(window: int):
-    schema = pa.schema([("id", pa.int64()), ("digest", pa.binary()), ("mark", pa.int64()), ("n", pa.int64()), ("phrases", pa.list_(pa.int64()))])
+    schema = pa.schema([("id", pa.int64()), ("digest", pa.binary()), ("mark", pa.int32()), ("n", pa.int64()), ("phrases", pa.list_(pa.int64()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows():
@@ -165,11 +165,11 @@ def _locate(window: int):
             if len(starts):
                 hashed = hashes_of(words)
                 parts["a"].append(rolling_hashes(hashed, window, 2)[starts].view(np.int64))
-                parts["b"].append(rolling_hashes(hashed, window, 3)[starts].view(np.int64))
+                parts["b"].append((rolling_hashes(hashed, window, 3)[starts] >> np.uint64(32)).astype(np.uint32).view(np.int32))
                 parts["id"].append(np.full(len(starts), i.as_py(), np.int64))
-                parts["mark"].append(np.full(len(starts), mark.as_py(), np.int64))
+                parts["mark"].append(np.full(len(starts), mark.as_py(), np.int32))
                 parts["place"].append(starts.astype(np.int32))
-        kinds = {"place": np.int32}
+        kinds = dict.fromkeys(("b", "mark", "place"), np.int32)
         return pa.table({c: np.concatenate(v) if v else np.empty(0, kinds.get(c, np.int64)) for c, v in parts.items()})
 
     return run
@@ -182,7 +182,7 @@ def repeated_windows(source: DataFrame, described: DataFrame, window: int) -> Da
     held = stage(every.join(recurring.select("phrase", "owner"), "phrase"), "phrases")
     mine = F.struct("id", "mark") == F.col("owner")
     wanted = held.groupBy("id", "mark").agg(F.collect_list(F.when(mine, F.col("phrase"))).alias("owned"))
-    schema = "id long, text string, mark long, owned array<long>"
+    schema = "id long, text string, mark int, owned array<long>"
     texts = stage(source.join(wanted, "id").select("id", "text", "mark", "owned").mapInArrow(_own_text, schema), "texts")
 
     size = texts.agg(F.sum(F.length("text"))).first()[0] or 0
@@ -190,7 +190,7 @@ def repeated_windows(source: DataFrame, described: DataFrame, window: int) -> Da
     written = texts.mapInArrow(_phrase_texts(window), "phrase long, words string").dropDuplicates(["phrase"])
     needed = held.select("phrase", shard).distinct().join(written, "phrase").select("shard", "words")
     found = texts.select("id", "mark", "text", shard).groupBy("shard").cogroup(needed.groupBy("shard")).applyInArrow(
-        _locate(window), "a long, b long, id long, mark long, place int"
+        _locate(window), "a long, b int, id long, mark int, place int"
     )
     found = stage(found, "windows")
     repeated = found.groupBy("a", "b").agg(F.min("id").alias("first"), F.max("id").alias("last")).where("first < last")
@@ -237,7 +237,7 @@ def drop_repeated_passages(docs: DataFrame, id_column: str = "doc_id", text_colu
     """``docs`` with repeated passages removed from the text, and ``n_words`` (before) and ``n_removed``."""
     docs = without(docs, ADDED)
     source = docs.select(col(id_column).cast("long").alias("id"), col(text_column).alias("text"))
-    kinds = "id long, digest binary, mark long, n long, phrases array<long>"
+    kinds = "id long, digest binary, mark int, n long, phrases array<long>"
     described = stage(source.mapInArrow(_describe(window), kinds), "words")
     classes = described.groupBy("digest", "n").agg(F.min("id").alias("first"))
     placed = described.join(classes, ["digest", "n"])
