@@ -181,33 +181,46 @@ def generic_date(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @_bind("""
-WITH weekday AS (
+WITH o AS (SELECT *, CASE WHEN o_orderstatus <> 'P' THEN o_orderstatus END AS day FROM orders),
+weekday AS (
   SELECT rpad(strftime(o_orderdate, '%A'), 9, ' ') AS x, round(avg(o_totalprice), 2) AS mean,
          max(o_totalprice) AS highest, count(*) AS n
-  FROM orders GROUP BY 1),
+  FROM o GROUP BY 1),
 daily AS (
   SELECT CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS x, round(sum(o_totalprice), 2) AS total
-  FROM orders GROUP BY 1 ORDER BY 1 LIMIT 10000)
+  FROM o GROUP BY 1 ORDER BY 1 LIMIT 10000),
+shift AS (SELECT day AS x, round(sum(o_totalprice), 2) AS total FROM o GROUP BY 1),
+both_ AS (SELECT to_json([day, o_orderpriority])::VARCHAR AS x, count(*) AS n, max(o_orderkey) AS k FROM o GROUP BY day, o_orderpriority)
 SELECT 'Mean' AS chart, x, 'AVG(o_totalprice)' AS metric, mean AS value, CAST(NULL AS VARCHAR) AS text FROM weekday
 UNION ALL SELECT 'Highest', x, 'MAX(o_totalprice)', highest, NULL FROM weekday
-UNION ALL SELECT 'Rows', x, 'COUNT(*)', CAST(n AS DOUBLE), NULL FROM weekday
+UNION ALL SELECT 'Rows', x, 'COUNT(*)', CAST(n AS DOUBLE), CAST(n AS VARCHAR) FROM weekday
 UNION ALL SELECT 'Daily', x, 'SUM(o_totalprice)', total, NULL FROM daily
-UNION ALL SELECT 'Total', NULL, 'count', CAST(count(*) AS DOUBLE), NULL FROM orders
-UNION ALL SELECT 'First', NULL, 'MIN(o_orderstatus)', NULL, min(o_orderstatus) FROM orders
+UNION ALL SELECT 'By shift', x, 'SUM(o_totalprice)', total, NULL FROM shift
+UNION ALL SELECT 'Both', x, 'COUNT(*)', CAST(n AS DOUBLE), CAST(n AS VARCHAR) FROM both_
+UNION ALL SELECT 'Last', x, 'MAX(o_orderkey)', CAST(k AS DOUBLE), CAST(k AS VARCHAR) FROM both_
+UNION ALL SELECT 'Total', NULL, 'count', CAST(count(*) AS DOUBLE), CAST(count(*) AS VARCHAR) FROM o
+UNION ALL SELECT 'First', NULL, 'MIN(o_orderstatus)', NULL, min(o_orderstatus) FROM o
 """)
 def chart_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A real column called day stands beside the day of a bar chart; keys may be null, and two together."""
     weekday = {"viz_type": "line", "x_axis": "day_of_week"}
+    both = {"viz_type": "table", "custom_params": {"groupby": ["day", "o_orderpriority"]}}
     specs = [
         {"name": "Mean", "metric": "AVG(o_totalprice)", **weekday},
         {"name": "Highest", "metric": "MAX(o_totalprice)", **weekday},
         {"name": "Rows", "metric": "COUNT(*)", **weekday},
         {"name": "Daily", "viz_type": "bar", "metric": "o_totalprice"},
+        {"name": "By shift", "viz_type": "line", "metric": "SUM(o_totalprice)", "x_axis": "day"},
+        {"name": "Both", "metric": "COUNT(*)", **both},
+        {"name": "Last", "metric": "MAX(o_orderkey)", **both},
         {"name": "Total", "viz_type": "big_number_total"},
         {"name": "First", "viz_type": "big_number_total", "metric": "MIN(o_orderstatus)"},
         {"name": "Broken", "viz_type": "bar", "metric": "count"},
+        {"name": "Number for a metric", "viz_type": "bar", "metric": 5},
         {"viz_type": "line"},
     ]
-    long, _rejected = charts.chart_batch(Dataset(_table(spark, sf_dir, "orders")), specs)
+    shift = F.when(F.col("o_orderstatus") != "P", F.col("o_orderstatus"))
+    long, _rejected = charts.chart_batch(Dataset(_table(spark, sf_dir, "orders").withColumn("day", shift)), specs)
     return _rounded(long, "value")
 
 
@@ -238,6 +251,35 @@ def where_having(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chart(Dataset(_table(spark, sf_dir, "orders")), spec)
 
 
+@_bind("""
+SELECT CAST(o_orderdate AS DATE) AS day, round(sum(o_totalprice), 2) AS "SUM(o_totalprice)"
+FROM orders GROUP BY 1 ORDER BY 1 DESC LIMIT 30
+""")
+def series_desc_limit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last days of a daily series."""
+    spec = {"name": "Latest", "viz_type": "bar", "metric": "o_totalprice", "order_desc": True, "custom_params": {"row_limit": 30}}
+    return _rounded(chart(Dataset(_table(spark, sf_dir, "orders")), spec), "SUM(o_totalprice)")
+
+
+@_bind("""
+SELECT event_type, count(*) AS "COUNT(*)", max(value) AS "MAX(value)" FROM events
+WHERE ts >= TIMESTAMP '2024-01-10' AND ts < TIMESTAMP '2024-01-20' AND event_type IN ('click', 'view', 'error') AND value > 10
+GROUP BY 1
+""")
+def filter_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    spec = {
+        "name": "Filtered", "viz_type": "table", "metric": ["COUNT(*)", "MAX(value)"], "time_range": "No filter",
+        "custom_params": {"groupby": ["event_type"]},
+        "filters": [
+            {"col": "ts", "op": "TEMPORAL_RANGE", "val": "2024-01-10 : 2024-01-20"},
+            {"col": "ts", "op": "TEMPORAL_RANGE", "val": "No filter"},
+            {"clause": "WHERE", "subject": "event_type", "operator": "IN", "comparator": ["click", "view", "error"], "expressionType": "SIMPLE"},
+            {"col": "value", "op": ">", "val": 10},
+        ],
+    }
+    return chart(Dataset(_table(spark, sf_dir, "events"), date_column="ts"), spec)
+
+
 @_bind("SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderpriority = '1-URGENT'")
 def equality_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     urgent = charts.equals(_table(spark, sf_dir, "orders"), "o_orderpriority", "1-URGENT")

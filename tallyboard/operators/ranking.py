@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -16,9 +16,12 @@ _PART = "_part"
 _ROW_BITS = 33
 
 
-def _number(df: DataFrame, order: Sequence[str], name: str, start: Column) -> DataFrame:
+Stage = Callable[[DataFrame, str], DataFrame]
+
+
+def _number(df: DataFrame, order: Sequence[str], name: str, start: Column, place: Stage = stage) -> DataFrame:
     ranged = df.repartitionByRange(*order).sortWithinPartitions(*order)
-    placed = stage(ranged.withColumn(_POSITION, F.monotonically_increasing_id()), "numbered")
+    placed = place(ranged.withColumn(_POSITION, F.monotonically_increasing_id()), "numbered")
     placed = placed.withColumn(_PART, F.shiftright(_POSITION, _ROW_BITS))
     # One row per range partition, so the window below and the broadcast stay small.
     earlier = W.orderBy(_PART).rowsBetween(W.unboundedPreceding, -1)
@@ -31,14 +34,14 @@ def _number(df: DataFrame, order: Sequence[str], name: str, start: Column) -> Da
     )
 
 
-def number_rows(df: DataFrame, order: Sequence[str], name: str = "id", start: int = 1) -> DataFrame:
+def number_rows(df: DataFrame, order: Sequence[str], name: str = "id", start: int = 1, place: Stage = stage) -> DataFrame:
     """Contiguous numbers from ``start`` in the order of ``order``, which must be unique per row.
 
     Rows are range-partitioned and sorted once; a row's number is its place in its partition plus
     the size of the partitions before. The placed rows are written out first, as range bounds are
-    sampled and a second sampling could move rows.
+    sampled and a second sampling could move rows; ``place`` says where to.
     """
-    return _number(df, order, name, F.lit(start)).drop(_PART)
+    return _number(df, order, name, F.lit(start), place).drop(_PART)
 
 
 def rank_in_groups(df: DataFrame, groups: Sequence[str], order: Sequence[str], name: str = "rank") -> DataFrame:

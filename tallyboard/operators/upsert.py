@@ -4,17 +4,22 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Sequence
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from tallyboard.operators.clean import conform
 from tallyboard.operators.ranking import number_rows
-from tallyboard.scratch import stage
-from tallyboard.sources.tables import BUCKETS, open_table, partition_kind, with_partition, write_partitions
+from tallyboard.scratch import Scratch
+from tallyboard.sources import tables
+from tallyboard.sources.tables import PART, Manifest, TableError
 
 INSERTED, UPDATED, KEPT = "inserted", "updated", "kept"
-REPORT = (INSERTED, UPDATED, KEPT, "processed_records", "total_records")
+REPORT = (INSERTED, UPDATED, KEPT, "processed_records", "total_records", "rejected")
+FAIL, SKIP = "fail", "skip"
 
 
 def last_rows(df: DataFrame, key: Sequence[str], seq: Sequence[str]) -> DataFrame:
@@ -45,8 +50,11 @@ def merge_rows(
     batch whenever its key is there, so nulls in the batch overwrite. Columns of the target that
     the batch lacks keep their value on update and are null on insert; columns in ``on_insert``
     are taken from the batch on insert only. With ``now``, both time columns are set on insert
-    and only ``updated`` moves on update.
+    and only ``updated`` moves on update. A batch column that the target lacks is an error.
     """
+    unknown = [c for c in batch.columns if c not in target.columns]
+    if unknown:
+        raise ValueError(f"the table has no column {', '.join(unknown)}")
     stamps = (created, updated) if now is not None else ()
     old = target.select(
         *[F.col(c).alias(f"_old_{c}") for c in target.columns], F.lit(True).alias("_in_target")
@@ -86,56 +94,88 @@ def merge_report(merged: DataFrame, status: str = "status") -> DataFrame:
     )
 
 
-def assign_ids(rows: DataFrame, order: Sequence[str], highest: int, name: str = "id") -> DataFrame:
+def assign_ids(rows: DataFrame, order: Sequence[str], highest: int, name: str = "id", **place) -> DataFrame:
     """Ids above ``highest`` in the order of ``order``, without gaps."""
-    return number_rows(rows, order, name, start=highest + 1)
+    return number_rows(rows, order, name, start=highest + 1, **place)
+
+
+def _table_for(
+    spark: SparkSession, path: str, batch: DataFrame, key: Sequence[str], id_column: str | None, buckets: int | None, grain: str | None
+) -> Manifest:
+    """The table's newest version, or a first one made for the batch."""
+    extra = {id_column: T.LongType()} if id_column else {}
+    extra |= {"created_at": T.TimestampNTZType(), "updated_at": T.TimestampNTZType()}
+    made = tables.current(spark, path)
+    if made is None:
+        fields = [T.StructField(f.name, f.dataType) for f in batch.schema]
+        made = tables.layout(T.StructType(fields), key, grain, buckets)
+    elif tuple(key) != made.key or grain not in (None, made.grain) or buckets not in (None, made.buckets):
+        raise TableError(f"{path} is kept by {', '.join(made.key)}, {made.grain}, {made.buckets} buckets")
+    schema = made.types()
+    unknown = [c for c in batch.columns if c not in schema.names]
+    if unknown:
+        raise TableError(f"{path} has no column {', '.join(unknown)}")
+    for name, kind in extra.items():
+        if name not in schema.names:
+            schema = schema.add(name, kind)
+    return replace(made, schema=schema.json())
 
 
 def upsert_table(
     spark: SparkSession, path: str, batch: DataFrame, key: Sequence[str], seq: Sequence[str],
-    now: dt.datetime, id_column: str | None = "id", stored: Sequence[str] | None = None, buckets: int = BUCKETS,
+    now: dt.datetime, id_column: str | None = "id", stored: Sequence[str] | None = None,
+    buckets: int | None = None, grain: str | None = None, null_keys: str = FAIL,
 ) -> DataFrame:
-    """Upsert ``batch`` into the parquet table at ``path`` and return the report.
+    """Upsert ``batch`` into the table at ``path`` and return the report.
 
-    Rows with a null key are not loaded (see ``clean.key_violations``); ``seq`` orders the rows of
-    one key, and ``stored`` names the columns that go into the table (all by default). The table
-    is partitioned by the month of a date key, else by a hash bucket of the key (``buckets`` must
-    stay the same for the life of a table), so a row never changes partition. Only partitions
-    the batch touches are read and rewritten, and a batch can be run again after a failure.
+    ``seq`` orders the rows of one key, and ``stored`` names the columns that go into the table (all by
+    default). A new table is partitioned by month (or year, with ``grain``) of the first date in the key, else
+    by hash bucket; later batches take key, types and layout from the table, and are refused if they name
+    others. Rows with a null key stop the job before anything is written, or, with
+    ``null_keys="skip"``, are left out and counted as ``rejected``.
+
+    Only partitions the batch touches are read. They are written to a new folder, and one manifest
+    switches the table: a job that stops before that changes nothing and can be run again, as can one
+    that lost against another writer.
     """
+    if null_keys not in (FAIL, SKIP):
+        raise ValueError(f"null_keys is {FAIL!r} or {SKIP!r}, not {null_keys!r}")
     key = list(key)
-    loadable = batch.where(with_full_key(batch, key))
-    incoming = last_rows(loadable, key, seq).select(*(stored or batch.columns))
-    kind = partition_kind(incoming, key)
-    incoming = stage(with_partition(incoming, key, kind, buckets), "batch")
-    part = kind.column
-    # Partition names only: at most one per month or bucket.
-    per_part = incoming.groupBy(part).agg(F.count(F.lit(1)).alias("rows")).collect()
-    touched, processed = [r[part] for r in per_part], sum(r["rows"] for r in per_part)
-
-    table = open_table(spark, path)
-    before, highest, known = 0, 0, None
-    if table is None:
-        extra = {id_column: "bigint"} if id_column else {}
-        extra |= {"created_at": "timestamp_ntz", "updated_at": "timestamp_ntz"}
-        target = incoming.where(F.lit(False)).withColumns({c: F.lit(None).cast(t) for c, t in extra.items()})
-    else:
-        counts = table.agg(F.count(F.lit(1)).alias("rows"), *([F.max(id_column).alias("id")] if id_column else []))
-        before, *ids = counts.first()
-        highest = (ids or [0])[0] or 0
-        target = table.where(F.col(part).isin(touched))
-        known = target.select(*key)
-
-    fresh = incoming.select(*key)
-    if known is not None:
-        fresh = fresh.join(known, key, "left_anti")
-    if id_column:
-        fresh = assign_ids(fresh, key, highest, id_column)
-        incoming = incoming.join(fresh, key, "left")
-    inserted = fresh.count()
-    if touched:
-        merged = merge_rows(target, incoming, key, now, on_insert=[id_column] if id_column else [])
-        write_partitions(merged.drop("status"), path, part)
-    total = before + inserted
-    figures = (inserted, processed - inserted, total - processed, processed, total)
-    return spark.createDataFrame([figures], ", ".join(f"{c} bigint not null" for c in REPORT))
+    columns = list(stored or batch.columns)
+    made = _table_for(spark, path, batch.select(*columns), key, id_column, buckets, grain)
+    types = made.types()
+    typed = conform(batch, {c: types[c].dataType for c in columns if batch.schema[c].dataType != types[c].dataType})
+    with Scratch(spark) as scratch:
+        # Rows without a key are one group here, so one of them arrives at most for each task.
+        newest = last_rows(typed, key, seq).select(*columns).withColumn(PART, made.part_of())
+        newest = scratch.stage(newest, "batch")
+        whole = with_full_key(newest, key)
+        # Partition names only: at most one for each month or bucket.
+        touched = newest.groupBy(PART).agg(F.count_if(whole).alias("rows"), F.count_if(~whole).alias("keyless")).collect()
+        rejected = 0
+        if any(r["keyless"] for r in touched):
+            if null_keys == FAIL:
+                raise ValueError(f"rows without a key ({', '.join(key)}); null_keys='skip' leaves them out")
+            rejected = batch.where(~with_full_key(batch, key)).count()
+        names = [str(r[PART]) for r in touched if r["rows"]]
+        figures = dict.fromkeys((INSERTED, UPDATED, KEPT), 0)
+        if names:
+            old = tables.read_parts(spark, path, made, names)
+            merged = merge_rows(old, newest.where(whole).drop(PART), key, now, on_insert=[id_column] if id_column else [])
+            merged = scratch.stage(merged.withColumn(PART, made.part_of()), "merged")
+            counted = merged.groupBy(PART, "status").agg(F.count(F.lit(1)).alias("rows")).collect()
+            rows = dict.fromkeys(names, 0)
+            for r in counted:
+                rows[str(r[PART])] += r["rows"]
+                figures[r["status"]] += r["rows"]
+            fresh = merged.where(F.col("status") == INSERTED)
+            result = merged
+            if id_column and figures[INSERTED]:
+                ids = assign_ids(fresh.select(*key), key, made.highest, id_column, place=scratch.stage)
+                result = fresh.drop(id_column).join(ids, key).unionByName(merged.where(F.col("status") != INSERTED))
+            folder = tables.write_parts(result.select(*types.names, PART), path)
+            tables.switch(spark, path, tables.replaced(made, folder, rows, highest=made.highest + figures[INSERTED]))
+            made = tables.current(spark, path)
+    total, processed = made.rows(), figures[INSERTED] + figures[UPDATED]
+    report = (figures[INSERTED], figures[UPDATED], total - processed, processed, total, rejected)
+    return spark.createDataFrame([report], ", ".join(f"{c} bigint not null" for c in REPORT))

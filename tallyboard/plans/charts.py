@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import re
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
@@ -14,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyboard.functions.calendar import day, day_name, month_name
+from tallyboard.functions.ranges import between
 from tallyboard.plans import metrics as M
 
 # Words looked for in lower-cased column names.
@@ -31,6 +33,9 @@ BAR_METRIC = "nps_score"
 SERIES_LIMIT = 10000
 BUBBLE_LIMIT = 100
 BIG_NUMBER, LINE, BARS, BUBBLE = "big_number_total", "line", ("dist_bar", "bar"), "bubble"
+# A time range that keeps all rows, and the operator of a time range in a filter object.
+NO_FILTER = "No filter"
+TEMPORAL_RANGE = "TEMPORAL_RANGE"
 
 
 class ChartError(ValueError):
@@ -65,6 +70,44 @@ class Dataset:
         return found
 
 
+TimeRange = tuple[dt.date | dt.datetime | None, dt.date | dt.datetime | None]
+
+
+@dataclass(frozen=True)
+class Filter:
+    """One condition on a column, as a spec's filter object says it."""
+
+    column: str
+    operator: str
+    value: Any = None
+
+    @classmethod
+    def from_dict(cls, spec: Any) -> Filter:
+        """``col, op, val`` or ``subject, operator, comparator``."""
+        if not isinstance(spec, Mapping):
+            raise ChartError(f"a filter is an object, not {spec!r}")
+        column, operator = spec.get("col", spec.get("subject")), spec.get("op", spec.get("operator"))
+        if not isinstance(column, str) or not isinstance(operator, str):
+            raise ChartError(f"filter without column or operator: {dict(spec)}")
+        value = spec.get("val", spec.get("comparator"))
+        return cls(column, operator, time_range(value) if operator == TEMPORAL_RANGE else value)
+
+
+def time_range(value: Any) -> TimeRange | None:
+    """A pair of bounds, either open, or text ``start : end``; nothing or "No filter" keeps all rows."""
+    if value is None or value == NO_FILTER:
+        return None
+    if isinstance(value, str):
+        ends = [e.strip() for e in re.split(r"\s+:\s*|\s*:\s+", f" {value} ")]
+        try:
+            value = [dt.datetime.fromisoformat(e) if e else None for e in ends]
+        except ValueError as error:
+            raise ChartError(f"time range {value!r}: {error}") from None
+    if not isinstance(value, (list, tuple)) or len(value) != 2 or not all(v is None or isinstance(v, dt.date) for v in value):
+        raise ChartError(f"a time range is two dates, not {value!r}")
+    return tuple(value)
+
+
 @dataclass(frozen=True)
 class ChartSpec:
     """What to show: a metric (or several), what to split it by, and which rows count."""
@@ -75,31 +118,66 @@ class ChartSpec:
     x_axis: str | None = None
     groupby_type: str | None = None
     params: Mapping[str, Any] = field(default_factory=dict)
-    time_range: tuple[dt.date | dt.datetime | None, dt.date | dt.datetime | None] | None = None
+    time_range: TimeRange | None = None
     where: str = ""
     having: str = ""
+    filters: tuple[Filter, ...] = ()
+    # The order in which a limit takes rows; None is what the chart type does by itself.
+    order_desc: bool | None = None
 
     @classmethod
     def from_dict(cls, spec: Mapping[str, Any]) -> ChartSpec:
+        if not isinstance(spec, Mapping):
+            raise ChartError(f"a chart spec is an object, not {spec!r}")
         missing = [k for k in ("name", "viz_type") if k not in spec]
         if missing:
             raise ChartError(f"chart spec without {' and '.join(missing)}: {dict(spec)}")
+        params, filters = spec.get("custom_params") or {}, spec.get("filters", spec.get("adhoc_filters")) or ()
+        kinds = {
+            "name": (spec["name"], str), "viz_type": (spec["viz_type"], str), "x_axis": (spec.get("x_axis"), (str, type(None))),
+            "groupby_type": (spec.get("groupby_type"), (str, type(None))), "custom_params": (params, Mapping),
+            "where": (spec.get("where", ""), str), "having": (spec.get("having", ""), str),
+            "filters": (filters, (list, tuple)), "order_desc": (spec.get("order_desc"), (bool, type(None))),
+        }
+        for key, (value, kind) in kinds.items():
+            if not isinstance(value, kind):
+                raise ChartError(f"{key} of chart {spec['name']!r} cannot be {value!r}")
         return cls(
-            spec["name"], spec["viz_type"], spec.get("metric"), spec.get("x_axis"), spec.get("groupby_type"),
-            spec.get("custom_params") or {}, spec.get("time_range"), spec.get("where", ""), spec.get("having", ""),
+            spec["name"], spec["viz_type"], spec.get("metric"), spec.get("x_axis"), spec.get("groupby_type"), params,
+            time_range(spec.get("time_range")), spec.get("where", ""), spec.get("having", ""),
+            tuple(Filter.from_dict(f) for f in filters), spec.get("order_desc"),
         )
 
 
+@dataclass(frozen=True)
+class Key:
+    """What a chart is split by. ``origin`` tells keys of one name apart: a column, or what is derived from which one."""
+
+    name: str
+    column: Column
+    origin: str
+
+    @classmethod
+    def of(cls, name: str) -> Key:
+        return cls(name, F.col(quoted(name)), f"column {name}")
+
+
 @dataclass(frozen=True)
 class Query:
     """A chart query in the terms of a DataFrame: rows, keys, aggregates, order, limit."""
 
-    keys: tuple[tuple[str, Column], ...]
+    keys: tuple[Key, ...]
     metrics: tuple[M.Metric, ...]
     order: str = "keys"
     descending: bool = False
     limit: int | None = None
 
+    def __post_init__(self) -> None:
+        names = [k.name for k in self.keys] + [m.label for m in self.metrics]
+        twice = {n for n in names if names.count(n) > 1}
+        if twice:
+            raise ChartError(f"two columns of one chart are called {', '.join(sorted(twice))}")
+
 
 def quoted(name: str) -> str:
     return f"`{name.replace('`', '``')}`"
@@ -108,14 +186,9 @@ def quoted(name: str) -> str:
 # --- filters ---------------------------------------------------------------------------------
 
 
-def in_time_range(df: DataFrame, column: str, bounds: tuple | None) -> DataFrame:
-    """Rows with ``start <= column < end``; no bounds, or an open end, adds no filter."""
-    start, end = bounds or (None, None)
-    if start is not None:
-        df = df.where(F.col(column) >= F.lit(start))
-    if end is not None:
-        df = df.where(F.col(column) < F.lit(end))
-    return df
+def in_time_range(df: DataFrame, column: str, bounds: Any) -> DataFrame:
+    """Rows with ``start <= column < end``; no bounds, "No filter" or an open end adds no filter."""
+    return between(df, column, *(time_range(bounds) or (None, None)))
 
 
 def where_text(df: DataFrame, text: str) -> DataFrame:
@@ -123,7 +196,7 @@ def where_text(df: DataFrame, text: str) -> DataFrame:
 
 
 def equals(df: DataFrame, column: str, value: Any) -> DataFrame:
-    return df.where(F.col(column) == F.lit(value))
+    return df.where(F.col(quoted(column)) == F.lit(value))
 
 
 def with_expression(df: DataFrame, sql: str, label: str) -> DataFrame:
@@ -131,9 +204,31 @@ def with_expression(df: DataFrame, sql: str, label: str) -> DataFrame:
     return df.withColumn(label, F.expr(sql))
 
 
+def filtered(df: DataFrame, condition: Filter) -> DataFrame:
+    """Rows that meet a filter object."""
+    if condition.column not in df.columns:
+        raise ChartError(f"no column {condition.column!r} to filter by")
+    if condition.operator == TEMPORAL_RANGE:
+        return in_time_range(df, condition.column, condition.value)
+    c, value, operator = F.col(quoted(condition.column)), condition.value, condition.operator.upper()
+    if operator in ("IN", "NOT IN"):
+        if not isinstance(value, (list, tuple)):
+            raise ChartError(f"{condition.operator} takes a list, not {value!r}")
+        return df.where(c.isin(*value) if operator == "IN" else ~c.isin(*value))
+    if operator in ("IS NULL", "IS NOT NULL"):
+        return df.where(c.isNull() if operator == "IS NULL" else c.isNotNull())
+    compared = {
+        "==": lambda: c == value, "=": lambda: c == value, "!=": lambda: c != value, "<>": lambda: c != value, "<": lambda: c < value,
+        "<=": lambda: c <= value, ">": lambda: c > value, ">=": lambda: c >= value, "LIKE": lambda: c.like(value),
+    }
+    if operator not in compared:
+        raise ChartError(f"no filter operator {condition.operator!r}")
+    return df.where(compared[operator]())
+
+
 def source_rows(data: Dataset, spec: ChartSpec) -> DataFrame:
-    df = in_time_range(data.df, data.date(), spec.time_range) if spec.time_range else data.df
-    return where_text(df, spec.where)
+    df = in_time_range(data.df, data.date(), spec.time_range) if time_range(spec.time_range) else data.df
+    return where_text(reduce(filtered, spec.filters, df), spec.where)
 
 
 # --- one query per chart type ------------------------------------------------------------------
@@ -141,33 +236,52 @@ def source_rows(data: Dataset, spec: ChartSpec) -> DataFrame:
 
 def _resolve_all(metric: Any, bare: str, data: Dataset) -> tuple[M.Metric, ...]:
     several = metric if isinstance(metric, (list, tuple)) else [metric]
+    wrong = [m for m in several if not isinstance(m, (str, Mapping))]
+    if wrong:
+        raise ChartError(f"a metric is text or an object, not {wrong[0]!r}")
     return tuple(M.resolve(m, bare, data.metrics) for m in several)
 
 
+def _limit(spec: ChartSpec, default: int | None) -> int | None:
+    """The row limit of a spec; None there means all rows."""
+    limit = spec.params.get("row_limit", default)
+    if limit is not None and (not isinstance(limit, int) or isinstance(limit, bool) or limit < 0):
+        raise ChartError(f"row_limit cannot be {limit!r}")
+    return limit
+
+
+def _descending(spec: ChartSpec, default: bool) -> bool:
+    return default if spec.order_desc is None else spec.order_desc
+
+
 def big_number(data: Dataset, spec: ChartSpec) -> Query:
     return Query((), _resolve_all(spec.metric or DEFAULT_METRIC, M.NAMED, data))
 
 
+def _day_key(data: Dataset) -> Key:
+    return Key(DAY_LABEL, day(data.date()), f"day of {data.date()}")
+
+
 def line(data: Dataset, spec: ChartSpec) -> Query:
     padded = not spec.params.get("trim", False)
     x = spec.x_axis
     # Weekday and month are always derived from the date, even where a column has that name.
     if x == "day_of_week":
-        key = (WEEKDAY_LABEL, day_name(data.date(), padded))
+        key = Key(WEEKDAY_LABEL, day_name(data.date(), padded), f"weekday of {data.date()}, padded {padded}")
     elif x == "month":
-        key = (MONTH_LABEL, month_name(data.date(), padded))
+        key = Key(MONTH_LABEL, month_name(data.date(), padded), f"month of {data.date()}, padded {padded}")
     elif (x or "date") in data.df.columns:
-        key = (x or "date", F.col(quoted(x or "date")))
+        key = Key.of(x or "date")
     else:
-        key = (DAY_LABEL, day(data.date()))
+        key = _day_key(data)
     metrics = _resolve_all(spec.metric or LINE_METRIC, M.AVERAGE, data)
-    return Query((key,), metrics, limit=spec.params.get("row_limit", SERIES_LIMIT))
+    return Query((key,), metrics, descending=_descending(spec, False), limit=_limit(spec, SERIES_LIMIT))
 
 
 def bar(data: Dataset, spec: ChartSpec) -> Query:
     """A bar chart is the daily total of its metric; any group-by is ignored."""
     metrics = _resolve_all(spec.metric or BAR_METRIC, M.TOTAL, data)
-    return Query(((DAY_LABEL, day(data.date())),), metrics, limit=SERIES_LIMIT)
+    return Query((_day_key(data),), metrics, descending=_descending(spec, False), limit=_limit(spec, SERIES_LIMIT))
 
 
 def bubble(data: Dataset, spec: ChartSpec) -> Query:
@@ -177,9 +291,9 @@ def bubble(data: Dataset, spec: ChartSpec) -> Query:
         p.get("y") or select_column(columns, "numeric"),
         p.get("series") or select_column(columns, "category"),
     ]
-    keys = tuple((c, F.col(quoted(c))) for c in dict.fromkeys(wanted) if c)
+    keys = tuple(Key.of(c) for c in dict.fromkeys(wanted) if c)
     size = p.get("size", spec.metric or DEFAULT_METRIC)
-    return Query(keys, _resolve_all(size, M.NAMED, data), "metric", True, p.get("row_limit", BUBBLE_LIMIT))
+    return Query(keys, _resolve_all(size, M.NAMED, data), "metric", _descending(spec, True), _limit(spec, BUBBLE_LIMIT))
 
 
 def generic(data: Dataset, spec: ChartSpec) -> Query:
@@ -187,7 +301,7 @@ def generic(data: Dataset, spec: ChartSpec) -> Query:
     picked = (data.date_column if kind == "date" else None) or select_column(data.df.columns, kind or "")
     by = spec.params.get("groupby") or ([picked] if picked else [])
     metrics = _resolve_all(spec.params.get("metrics") or spec.metric or DEFAULT_METRIC, M.NAMED, data)
-    return Query(tuple((c, F.col(quoted(c))) for c in by), metrics, "metric", True, spec.params.get("row_limit"))
+    return Query(tuple(Key.of(c) for c in by), metrics, "metric", _descending(spec, True), _limit(spec, None))
 
 
 def plan_query(data: Dataset, spec: ChartSpec) -> Query:
@@ -196,10 +310,10 @@ def plan_query(data: Dataset, spec: ChartSpec) -> Query:
     return builders.get(spec.viz_type, generic)(data, spec)
 
 
-def _aggregate(rows: DataFrame, keys: Sequence[tuple[str, Column]], aggregates: Sequence[Column]) -> DataFrame:
+def _aggregate(rows: DataFrame, keys: Sequence[Key], aggregates: Sequence[Column]) -> DataFrame:
     if not keys:
         return rows.agg(*aggregates)
-    return rows.groupBy(*[c.alias(n) for n, c in keys]).agg(*aggregates)
+    return rows.groupBy(*[k.column.alias(k.name) for k in keys]).agg(*aggregates)
 
 
 def _limited(df: DataFrame, q: Query) -> DataFrame:
@@ -210,10 +324,11 @@ def _limited(df: DataFrame, q: Query) -> DataFrame:
     """
     if not q.keys or q.limit is None:
         return df
-    names = [F.asc_nulls_last(quoted(n)) for n, _ in q.keys]
+    ordered = F.desc_nulls_last if q.descending else F.asc_nulls_last
     if q.order == "metric":
-        first = quoted(q.metrics[0].label)
-        names = [F.desc_nulls_last(first) if q.descending else F.asc_nulls_last(first), *names]
+        names = [ordered(quoted(q.metrics[0].label)), *[F.asc_nulls_last(quoted(k.name)) for k in q.keys]]
+    else:
+        names = [ordered(quoted(k.name)) for k in q.keys]
     return df.orderBy(*names).limit(q.limit)
 
 
@@ -234,37 +349,41 @@ class Rejected:
     reason: str
 
 
-def _fuse_key(data: Dataset, spec: ChartSpec, q: Query) -> tuple | None:
+def _fuse_key(spec: ChartSpec, q: Query) -> tuple | None:
     """Charts with equal keys read the same rows the same way; None if the chart stands alone."""
     if spec.having.strip() or (q.order == "metric" and q.limit is not None):
         return None
-    names = tuple(n for n, _ in q.keys)
-    return names, spec.params.get("trim", False), q.limit, spec.time_range, spec.where.strip()
+    keys = tuple((k.name, k.origin) for k in q.keys)
+    filters = tuple((f.column, f.operator, repr(f.value)) for f in spec.filters)
+    return keys, q.descending, q.limit, repr(spec.time_range), spec.where.strip(), filters
 
 
 def _long(df: DataFrame, keys: Sequence[str], cells: Sequence[tuple[str, str, str]]) -> DataFrame:
     """Long rows from columns; ``cells`` holds chart, metric label, column."""
     xs = [F.col(quoted(k)).cast("string") for k in keys] or [F.lit(None).cast("string")]
-    x = xs[0] if len(xs) == 1 else F.concat_ws(" | ", *xs)
+    # Several keys are a JSON array, which tells nulls and separators inside a key apart.
+    x = xs[0] if len(xs) == 1 else F.to_json(F.array(*xs))
     args: list[Column] = []
     for name, label, column in cells:
-        c = F.col(quoted(column))
-        number, text = F.lit(None).cast("double"), F.lit(None).cast("string")
-        if isinstance(df.schema[column].dataType, T.NumericType):
-            number = c.cast("double")
-        else:
-            text = c.cast("string")
+        c, kind = F.col(quoted(column)), df.schema[column].dataType
+        number = c.cast("double") if isinstance(kind, T.NumericType) else F.lit(None).cast("double")
+        text = F.lit(None).cast("string") if isinstance(kind, T.FractionalType) and not isinstance(kind, T.DecimalType) else c.cast("string")
         args += [F.lit(name), F.lit(label), number, text]
     stacked = F.stack(F.lit(len(cells)), *args).alias("chart", "metric", "value", "text")
     return df.select(x.alias("x"), stacked).select("chart", "x", "metric", "value", "text")
 
 
+def _alone(data: Dataset, spec: ChartSpec, q: Query) -> DataFrame:
+    return _long(chart(data, spec), [k.name for k in q.keys], [(spec.name, m.label, m.label) for m in q.metrics])
+
+
 def chart_batch(
     data: Dataset, specs: Sequence[ChartSpec | Mapping[str, Any]]
 ) -> tuple[DataFrame | None, list[Rejected]]:
     """All charts in long form, and the specs that cannot be answered.
 
-    The long form has columns chart, x, metric, value and text; ``text`` holds what is no number.
+    The long form has columns chart, x, metric, value and text. ``x`` is the key, or a JSON array of several
+    keys. ``text`` holds whole numbers and decimals digit for digit, and what is no number.
 
     Charts with the same keys, filters and limit share one aggregation, so a dashboard of many
     metrics reads its table once per grouping and not once per chart. Bad specs are found while
@@ -273,25 +392,23 @@ def chart_batch(
     rejected: list[Rejected] = []
     fused: dict[Any, list[tuple[ChartSpec, Query]]] = {}
     for i, raw in enumerate(specs):
-        name = raw.name if isinstance(raw, ChartSpec) else raw.get("name")
+        name = raw.name if isinstance(raw, ChartSpec) else raw.get("name") if isinstance(raw, Mapping) else None
         try:
             spec = raw if isinstance(raw, ChartSpec) else ChartSpec.from_dict(raw)
-            chart(data, spec)
             q = plan_query(data, spec)
-            fused.setdefault(_fuse_key(data, spec, q) or i, []).append((spec, q))
-        except (ChartError, M.MetricError, AnalysisException) as error:
+            _alone(data, spec, q)
+            fused.setdefault(_fuse_key(spec, q) or i, []).append((spec, q))
+        except (ChartError, M.MetricError, AnalysisException, TypeError, ValueError) as error:
             rejected.append(Rejected(name, str(error).splitlines()[0]))
     parts = []
     for members in fused.values():
         spec, q = members[0]
         if len(members) == 1:
-            wide = chart(data, spec)
-            cells = [(spec.name, m.label, m.label) for m in q.metrics]
-        else:
-            numbered = [(s, m) for s, mq in members for m in mq.metrics]
-            aggregates = [m.aliased(f"_m{j}") for j, (_, m) in enumerate(numbered)]
-            grouped = _aggregate(source_rows(data, spec), q.keys, aggregates)
-            wide = _limited(grouped, Query(q.keys, (), "keys", limit=q.limit))
-            cells = [(s.name, m.label, f"_m{j}") for j, (s, m) in enumerate(numbered)]
-        parts.append(_long(wide, [n for n, _ in q.keys], cells))
+            parts.append(_alone(data, spec, q))
+            continue
+        numbered = [(s, m) for s, mq in members for m in mq.metrics]
+        aggregates = [m.aliased(f"_m{j}") for j, (_, m) in enumerate(numbered)]
+        grouped = _aggregate(source_rows(data, spec), q.keys, aggregates)
+        wide = _limited(grouped, Query(q.keys, (), "keys", q.descending, q.limit))
+        parts.append(_long(wide, [k.name for k in q.keys], [(s.name, m.label, f"_m{j}") for j, (s, m) in enumerate(numbered)]))
     return (reduce(DataFrame.unionByName, parts) if parts else None), rejected

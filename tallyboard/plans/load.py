@@ -16,6 +16,7 @@ from tallyboard.functions.scores import composite, tier
 from tallyboard.operators import clean
 from tallyboard.operators.stats import load_summary, share_of_total
 from tallyboard.operators.upsert import upsert_table
+from tallyboard.scratch import stage
 from tallyboard.sources.csv import read_csv
 from tallyboard.sources.tables import read_table
 
@@ -140,7 +141,8 @@ def load_frame(
 ) -> LoadResult:
     """Load raw rows; ``seq`` is the column that orders the rows of one date."""
     spark = raw.sparkSession
-    typed = clean.conform(prepare(raw, profile, keep=[seq]), profile.table)
+    # Written once: the violations below are those of the rows that were loaded.
+    typed = stage(clean.conform(prepare(raw, profile, keep=[seq]), profile.table), "typed")
     report = upsert_table(spark, table_path, typed, [profile.date], [seq], now, stored=list(profile.table))
     table = read_table(spark, table_path)
     numbers = [c for c in ("nps_score", "csat_score", profile.score) if c in table.columns]

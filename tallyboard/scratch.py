@@ -39,11 +39,33 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     Cuts the lineage, freezes values that a recomputation could change (row positions, range
     bounds), survives the loss of executors, and keeps column pruning for later reads.
     """
-    path = new_folder(df.sparkSession, label)
+    return _staged(df, new_folder(df.sparkSession, label))
+
+
+def _staged(df: DataFrame, path: str) -> DataFrame:
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+class Scratch:
+    """Tables staged for one operation; leaving the block removes them."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.paths: list[str] = []
+
+    def stage(self, df: DataFrame, label: str) -> DataFrame:
+        self.paths.append(new_folder(self.spark, label))
+        return _staged(df, self.paths[-1])
+
+    def __enter__(self) -> Scratch:
+        return self
+
+    def __exit__(self, *_: object) -> None:
+        for path in self.paths:
+            drop_folder(self.spark, path)
+
+
 def drop_folder(spark: SparkSession, path: str) -> None:
     """Remove a path made by :func:`new_folder`, wherever it is stored."""
     if "/tallyboard/" not in path:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -34,11 +34,11 @@ def read_csv(
     place = F.struct("_metadata.file_path", "_metadata.file_block_start", F.monotonically_increasing_id())
     placed = [place.alias(position)] if position else []
     if schema is None:
-        return reader.option("inferSchema", True).csv(path).select("*", *placed)
+        inferred = reader.option("inferSchema", True).csv(path).schema
+        return _checked(reader.schema(_with_raw(inferred)), path, inferred.names).select(*inferred.names, *placed)
     names = reader.csv(path).columns
-    raw = reader.option("enforceSchema", False).schema(
-        T.StructType([T.StructField(n, T.StringType()) for n in names])
-    ).csv(path)
+    text = T.StructType([T.StructField(n, T.StringType()) for n in names])
+    raw = _checked(reader.option("enforceSchema", False).schema(_with_raw(text)), path, names)
     kinds = {f.name: f.dataType for f in schema}
 
     def cell(name: str):
@@ -48,6 +48,29 @@ def read_csv(
     return raw.select(*[cell(n).alias(n) for n in names], *placed)
 
 
+#: Holds the line of a row that has not as many cells as the header.
+RAW = "_raw_line"
+
+
+def _with_raw(schema: T.StructType) -> T.StructType:
+    return T.StructType([*schema.fields, T.StructField(RAW, T.StringType())])
+
+
+def _checked(reader: DataFrameReader, path: str, names: Sequence[str]) -> DataFrame:
+    """The rows; one with more cells than the header fails the job, in one with fewer the rest is null.
+
+    An empty cell after the last comma holds nothing and is let pass.
+    """
+    cells = T.StructType([T.StructField(f"c{k}", T.StringType()) for k in range(len(names) + 1)])
+    options = {"escape": '"'}
+    surplus = F.from_csv(F.col(RAW), cells.simpleString().removeprefix("struct<").removesuffix(">").replace(":", " "), options)[f"c{len(names)}"]
+    # All cells are named, as rows are only checked while all of them are parsed.
+    first = F.coalesce(*[F.col("`" + n.replace("`", "``") + "`").cast("string") for n in names], F.lit(""))
+    message = F.concat(F.lit(f"more than {len(names)} cells after "), first, F.lit(": "), F.col(RAW))
+    fits = F.when(F.col(RAW).isNotNull() & surplus.isNotNull(), F.raise_error(message).cast("boolean")).otherwise(True)
+    return reader.option("columnNameOfCorruptRecord", RAW).csv(path).where(fits)
+
+
 def write_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
     """A folder of CSV files with header rows, one per task."""
     df.write.mode(mode).option("header", True).option("escape", '"').csv(path)

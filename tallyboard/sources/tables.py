@@ -1,92 +1,241 @@
-"""Typed parquet tables, partitioned by a function of their key."""
+"""Typed parquet tables, partitioned by a function of their key, switched by a manifest.
+
+A table is a folder with data in ``data/<version>/part=<name>/`` and one small JSON manifest for each version. The
+manifest names the folder of every partition and its rows, the key, the types, the layout and the
+highest id. A change writes new folders first and then creates the next manifest, which fails if another
+writer was first. Nothing is moved or overwritten: a job that stops at any point leaves the table as
+it was, and a reader sees one version or the next.
+"""
 
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
-from dataclasses import dataclass
-
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+import json
+import uuid
+from collections.abc import Iterable, Mapping, Sequence
+from dataclasses import asdict, dataclass, field, replace
+from functools import reduce
+
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tallyboard.functions.ranges import between
 from tallyboard.operators.clean import conform
 
+MONTH, YEAR, BUCKET = "month", "year", "bucket"
+BUCKETS = 64
+#: The folder column; also the name of a partition in the manifest.
+PART = "part"
+_MANIFESTS = "_manifests"
+_DATES = (T.DateType, T.TimestampType, T.TimestampNTZType)
+
+
+class TableError(ValueError):
+    """A table that does not fit what is asked of it, or that another writer has changed meanwhile."""
+
 
 @dataclass(frozen=True)
-class PartitionKind:
-    """How rows are laid out: by month of the key date or by hash bucket."""
+class Part:
+    folder: str
+    rows: int
 
-    column: str
-    type: str
 
+@dataclass(frozen=True)
+class Manifest:
+    """One version of a table."""
 
-# A month is the whole number 202401: text such as 2024-01 would be read back as a date.
-BY_MONTH = PartitionKind("key_month", "int")
-BY_BUCKET = PartitionKind("key_bucket", "int")
-BUCKETS = 64
+    key: tuple[str, ...]
+    grain: str
+    buckets: int
+    schema: str
+    version: int = 0
+    highest: int = 0
+    parts: Mapping[str, Part] = field(default_factory=dict)
 
+    def types(self) -> T.StructType:
+        return T.StructType.fromJson(json.loads(self.schema))
 
-def partition_kind(df: DataFrame, key: Sequence[str]) -> PartitionKind:
-    first = df.schema[key[0]].dataType
-    return BY_MONTH if isinstance(first, (T.DateType, T.TimestampType, T.TimestampNTZType)) else BY_BUCKET
+    def rows(self) -> int:
+        return sum(p.rows for p in self.parts.values())
 
+    def part_of(self) -> Column:
+        """The partition of a row, from its key in the table's types."""
+        if self.grain == BUCKET:
+            return F.pmod(F.xxhash64(*self.key), F.lit(self.buckets)).cast("int")
+        date = _date_of(self.types(), self.key)
+        month = F.year(date) * 100 + F.month(date) if self.grain == MONTH else F.year(date)
+        return month.cast("int")
 
-def with_partition(df: DataFrame, key: Sequence[str], kind: PartitionKind, buckets: int = BUCKETS) -> DataFrame:
-    if kind == BY_MONTH:
-        return df.withColumn(kind.column, (F.year(key[0]) * 100 + F.month(key[0])).cast(kind.type))
-    return df.withColumn(kind.column, F.pmod(F.xxhash64(*key), F.lit(buckets)).cast(kind.type))
+    def text(self) -> str:
+        return json.dumps(asdict(self))
 
+    @classmethod
+    def of(cls, text: str) -> Manifest:
+        held = json.loads(text)
+        parts = {k: Part(**v) for k, v in held.pop("parts").items()}
+        return cls(**held | {"key": tuple(held["key"]), "parts": parts})
 
-def open_table(spark: SparkSession, path: str) -> DataFrame | None:
-    """The table with its layout column, or None where nothing was written yet."""
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            return None
-        raise
+
+def _date_of(schema: T.StructType, key: Sequence[str]) -> str | None:
+    return next((k for k in key if isinstance(schema[k].dataType, _DATES)), None)
+
+
+def layout(schema: T.StructType, key: Sequence[str], grain: str | None = None, buckets: int | None = None) -> Manifest:
+    """The manifest of a new table: by month of the first date in the key (or by year), else by hash bucket.
+
+    Choose ``buckets`` for the size that the table will have: a partition is rewritten as a whole.
+    """
+    grain = grain or (MONTH if _date_of(schema, key) else BUCKET)
+    if grain not in (MONTH, YEAR, BUCKET) or (grain != BUCKET and not _date_of(schema, key)):
+        raise TableError(f"no table by {grain} with the key {', '.join(key)}")
+    return Manifest(tuple(key), grain, buckets or BUCKETS, schema.json())
 
 
-def write_partitions(df: DataFrame, path: str, partition: str) -> None:
-    """Replace the partitions that ``df`` has rows for; other partitions stay.
+# --- manifests ----------------------------------------------------------------------------------
+
+
+def _files(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), jvm.org.apache.hadoop.fs.Path
+
+
+def _manifest_name(version: int) -> str:
+    return f"{version:010d}.json"
+
+
+def current(spark: SparkSession, path: str) -> Manifest | None:
+    """The newest version, or None where there is no table."""
+    files, at = _files(spark, path)
+    folder = at(f"{path}/{_MANIFESTS}")
+    if not files.exists(folder):
+        return None
+    names = sorted(s.getPath().getName() for s in files.listStatus(folder))
+    names = [n for n in names if n.endswith(".json")]
+    if not names:
+        return None
+    stream = files.open(at(f"{path}/{_MANIFESTS}/{names[-1]}"))
+    try:
+        text = spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+    return Manifest.of(text)
+
+
+def switch(spark: SparkSession, path: str, manifest: Manifest) -> None:
+    """Make ``manifest`` the newest version; fails if that version is there already."""
+    files, at = _files(spark, path)
+    jvm = spark.sparkContext._jvm
+    name = f"{path}/{_MANIFESTS}/{_manifest_name(manifest.version)}"
+    # Written aside first, so no reader meets half a manifest.
+    aside = f"{path}/{_MANIFESTS}/.{uuid.uuid4().hex}"
+    stream = files.create(at(aside), False)
+    try:
+        jvm.org.apache.commons.io.IOUtils.write(manifest.text(), stream, "UTF-8")
+    finally:
+        stream.close()
+    try:
+        # A rename onto an existing file is refused or gives false.
+        done = not files.exists(at(name)) and files.rename(at(aside), at(name))
+    except Py4JJavaError:
+        done = False
+    if not done:
+        files.delete(at(aside), False)
+        raise TableError(f"version {manifest.version} of {path} was written by another job; run this one again")
+
+
+def drop_unused(spark: SparkSession, path: str, keep: int = 2) -> None:
+    """Remove all but the last ``keep`` versions and the data that only older ones use. No job may be running."""
+    files, at = _files(spark, path)
+    folder = at(f"{path}/{_MANIFESTS}")
+    names = sorted(s.getPath().getName() for s in files.listStatus(folder) if s.getPath().getName().endswith(".json"))
+    used: set[str] = set()
+    for name in names[-keep:]:
+        stream = files.open(at(f"{path}/{_MANIFESTS}/{name}"))
+        used |= {p.folder for p in Manifest.of(spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")).parts.values()}
+        stream.close()
+    if files.exists(at(f"{path}/data")):
+        for version in files.listStatus(at(f"{path}/data")):
+            for part in files.listStatus(version.getPath()):
+                kept = f"data/{version.getPath().getName()}/{part.getPath().getName()}"
+                if kept not in used:
+                    files.delete(part.getPath(), True)
+    for name in names[:-keep]:
+        files.delete(at(f"{path}/{_MANIFESTS}/{name}"), False)
+
+
+# --- reading and writing --------------------------------------------------------------------------
+
+
+def read_parts(spark: SparkSession, path: str, manifest: Manifest, parts: Iterable[str] | None = None) -> DataFrame:
+    """The rows of some partitions (all by default), in the types of the manifest."""
+    wanted = manifest.parts if parts is None else [p for p in parts if p in manifest.parts]
+    folders = [f"{path}/{manifest.parts[p].folder}" for p in wanted]
+    if not folders:
+        return spark.createDataFrame([], manifest.types())
+    return spark.read.schema(manifest.types()).parquet(*folders)
+
+
+def write_parts(df: DataFrame, path: str) -> str:
+    """Write rows with their partition in column ``part`` into a new version folder; gives its name.
 
     The rebalance hint brings the rows of a partition together so that it is a few large files,
-    and splits a partition that is much larger than the others. A dynamic overwrite writes to a
-    staging folder first and swaps partitions in when all tasks are done, so ``df`` may read the
-    table it replaces, and a job whose tasks fail leaves the table as it was. The swap itself
-    goes partition by partition; a driver lost in the middle of it is repaired by a second run.
+    and splits a partition that is much larger than the others.
     """
-    (df.hint("rebalance", partition).write.mode("overwrite")
-       .option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path))
+    folder = f"data/{uuid.uuid4().hex}"
+    df.hint("rebalance", PART).write.partitionBy(PART).parquet(f"{path}/{folder}")
+    return folder
+
+
+def replaced(manifest: Manifest, folder: str, rows: Mapping[str, int], **changes) -> Manifest:
+    """The next version, in which the partitions of ``rows`` are those of ``folder``."""
+    parts = dict(manifest.parts) | {name: Part(f"{folder}/{PART}={name}", n) for name, n in rows.items()}
+    return replace(manifest, version=manifest.version + 1, parts=parts, **changes)
+
+
+def open_table(spark: SparkSession, path: str) -> DataFrame | None:
+    """The whole table, or None where there is none."""
+    manifest = current(spark, path)
+    return None if manifest is None else read_parts(spark, path, manifest)
 
 
-def create_table(df: DataFrame, path: str, schema: T.StructType, key: Sequence[str], buckets: int = BUCKETS) -> None:
-    """Write ``df`` with the types of ``schema`` unless the table is there already."""
-    if open_table(df.sparkSession, path) is not None:
+def create_table(
+    df: DataFrame, path: str, schema: T.StructType, key: Sequence[str], buckets: int | None = None, grain: str | None = None
+) -> None:
+    """Write ``df`` with the types of ``schema`` unless the table is there already. Without rows the types are kept too."""
+    spark = df.sparkSession
+    if current(spark, path) is not None:
         return
     typed = conform(df, {f.name: f.dataType for f in schema}).select(*schema.names)
-    kind = partition_kind(typed, key)
-    write_partitions(with_partition(typed, key, kind, buckets), path, kind.column)
+    made = layout(T.StructType([T.StructField(f.name, f.dataType) for f in schema]), key, grain, buckets)
+    placed = typed.withColumn(PART, made.part_of())
+    folder = write_parts(placed, path)
+    written = spark.read.schema(T.StructType([*made.types().fields, T.StructField(PART, T.IntegerType())])).parquet(f"{path}/{folder}")
+    keyless = F.count_if(reduce(Column.__or__, [F.col(k).isNull() for k in key]))
+    found = written.groupBy(PART).agg(F.count(F.lit(1)).alias("n"), keyless.alias("keyless")).collect()
+    if any(r["keyless"] for r in found):
+        raise TableError(f"{sum(r['keyless'] for r in found)} rows without a key ({', '.join(key)})")
+    rows = {str(r[PART]): r["n"] for r in found}
+    switch(spark, path, replaced(made, folder, rows))
 
 
 def read_table(
     spark: SparkSession, path: str, key: str | None = None, start: dt.date | None = None, end: dt.date | None = None
 ) -> DataFrame:
-    """The table without its layout column, optionally only the days of ``key`` in [start, end).
+    """The table, optionally only the days of ``key`` in [start, end).
 
-    For a table by month the range is also put on the layout column, so other months are not
-    even listed for reading.
+    For a table by month or year, partitions outside the range are not even listed for reading. Bounds take the
+    column's type, so the session's time zone does not move them.
     """
-    df = spark.read.parquet(path)
-    month = BY_MONTH.column
-    if key and start:
-        df = df.where(F.col(key) >= F.lit(start))
-        if month in df.columns:
-            df = df.where(F.col(month) >= start.year * 100 + start.month)
-    if key and end:
-        df = df.where(F.col(key) < F.lit(end))
-        if month in df.columns:
-            df = df.where(F.col(month) <= end.year * 100 + end.month)
-    return df.drop(month, BY_BUCKET.column)
+    manifest = current(spark, path)
+    if manifest is None:
+        raise TableError(f"no table at {path}")
+    parts = list(manifest.parts)
+    if key and manifest.grain != BUCKET and key == _date_of(manifest.types(), manifest.key):
+        number = lambda d: d.year * 100 + d.month if manifest.grain == MONTH else d.year
+        known = [p for p in parts if p.isdigit()]
+        parts = [p for p in known if (not start or int(p) >= number(start)) and (not end or int(p) <= number(end))]
+    df = read_parts(spark, path, manifest, parts)
+    return between(df, key, start, end) if key else df

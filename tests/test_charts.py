@@ -1,4 +1,5 @@
 import datetime as dt
+from decimal import Decimal
 
 import pytest
 from pyspark.errors import AnalysisException
@@ -150,11 +151,100 @@ def test_batch_keeps_good_charts(data):
     assert [r.name for r in rejected] == ["no type", "bad column", "bad function", "bad name", "bad filter"]
     got = sorted(rows(long), key=str)
     assert got == sorted([
-        ("total", None, "count", 5.0, None), ("last", None, "MAX(date)", None, "2024-02-05"),
-        ("a", "Bad", "COUNT(*)", 1.0, None), ("a", "Good", "COUNT(*)", 3.0, None), ("a", None, "COUNT(*)", 1.0, None),
+        ("total", None, "count", 5.0, "5"), ("last", None, "MAX(date)", None, "2024-02-05"),
+        ("a", "Bad", "COUNT(*)", 1.0, "1"), ("a", "Good", "COUNT(*)", 3.0, "3"), ("a", None, "COUNT(*)", 1.0, "1"),
         ("b", "Bad", "AVG(nps_score)", 30.0, None), ("b", "Good", "AVG(nps_score)", 35.0, None),
-        ("b", None, "AVG(nps_score)", 10.0, None), ("c", "Bad", "COUNT(*)", 1.0, None),
+        ("b", None, "AVG(nps_score)", 10.0, None), ("c", "Bad", "COUNT(*)", 1.0, "1"),
     ], key=str)
     plan = long._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1]
     assert plan.count("Exchange hashpartitioning") == 2 and plan.count("Exchange SinglePartition") == 1
     assert charts.chart_batch(data, [{"name": "x"}])[0] is None
+
+
+def test_keys_of_one_name_are_not_mixed(spark):
+    """A real column called day, the day of a date, and derived names beside columns of that name."""
+    df = spark.createDataFrame(
+        [("early", dt.date(2024, 1, 1), "x", 1), ("late", dt.date(2024, 1, 1), "x", 2), ("early", dt.date(2024, 1, 2), "y", 4)],
+        "day string, date date, Month string, v int",
+    )
+    daily = {"name": "daily", "viz_type": "bar", "metric": "v"}
+    by_shift = {"name": "by shift", "viz_type": "line", "metric": "SUM(v)", "x_axis": "day"}
+    column = {"name": "column", "viz_type": "line", "metric": "SUM(v)", "x_axis": "Month"}
+    derived = {"name": "derived", "viz_type": "line", "metric": "SUM(v)", "x_axis": "month"}
+    want = {
+        ("daily", "2024-01-01", "3"), ("daily", "2024-01-02", "4"), ("by shift", "early", "5"), ("by shift", "late", "2"),
+        ("column", "x", "3"), ("column", "y", "4"), ("derived", "January  ", "7"),
+    }
+    for specs in ([daily, by_shift, column, derived], [derived, column, by_shift, daily]):
+        long, rejected = charts.chart_batch(Dataset(df), specs)
+        assert rejected == [] and {(r.chart, r.x, r.text) for r in long.collect()} == want
+
+
+def test_batch_keeps_digits_and_null_keys(spark):
+    df = spark.createDataFrame(
+        [("a", None, 9007199254740993, Decimal("0.12345678901234567890")), (None, "a", 1, Decimal("1")), ("a | b", "c", 1, None), ("a", "b | c", 1, None)],
+        "p string, q string, v bigint, d decimal(30,20)",
+    )
+    spec = {"name": "both", "viz_type": "table", "metric": ["SUM(v)", "MAX(d)"], "custom_params": {"groupby": ["p", "q"]}}
+    long, _ = charts.chart_batch(Dataset(df), [spec, {**spec, "name": "again", "metric": "SUM(v)"}])
+    got = {(r.chart, r.x, r.metric): r.text for r in long.collect()}
+    assert got["both", '["a",null]', "SUM(v)"] == "9007199254740993"
+    assert got["both", '["a",null]', "MAX(d)"] == "0.12345678901234567890"
+    assert len({x for c, x, _ in got if c == "again"}) == 4
+
+
+def test_bad_specs_are_rejected_one_by_one(data):
+    bad = [
+        line(name="number", metric=5), line(name="range", time_range=["2024"]), line(name="range text", time_range="soon"),
+        {"name": "labels", "viz_type": "table", "metric": ["COUNT(*)", "count(*)"]},
+        {"name": "key", "viz_type": "table", "metric": [{"sqlExpression": "COUNT(*)", "label": "tier"}], "custom_params": {"groupby": ["tier"]}},
+        {"name": "params", "viz_type": "bar", "custom_params": [1]}, {"name": 7, "viz_type": "bar"}, "text",
+        line(name="limit", custom_params={"row_limit": "many"}), line(name="filter", filters=[{"col": "nope", "op": "==", "val": 1}]),
+        line(name="operator", filters=[{"col": "tier", "op": "~", "val": 1}]), line(name="order", order_desc="yes"),
+    ]
+    good = line(name="good", metric="COUNT(*)", x_axis="tier", time_range="No filter")
+    long, rejected = charts.chart_batch(data, [*bad[:6], good, *bad[6:]])
+    assert len(rejected) == len(bad) and all(r.reason for r in rejected)
+    assert {r.chart for r in long.collect()} == {"good"}
+
+
+def test_order_and_limits(spark):
+    df = spark.createDataFrame([(dt.date(2024, 1, 1) + dt.timedelta(k), k % 3, 1) for k in range(40)], "date date, g int, v int")
+    data = Dataset(df)
+    bar = {"name": "b", "viz_type": "bar", "metric": "v", "custom_params": {"row_limit": 2}}
+    assert [r.day.day for r in chart(data, {**bar, "order_desc": True}).collect()] == [9, 8]
+    assert [r.day.day for r in chart(data, bar).collect()] == [1, 2]
+    assert "Limit" not in plan(chart(data, {**bar, "custom_params": {"row_limit": None}}))
+    table = {"name": "t", "viz_type": "table", "metric": "COUNT(*)", "custom_params": {"groupby": ["g"], "row_limit": 1}}
+    assert [r.g for r in chart(data, table).collect()] == [0]
+    assert [r.g for r in chart(data, {**table, "order_desc": False}).collect()] == [1]
+
+
+def plan(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York", "Asia/Tokyo"])
+def test_time_range_stays_in_any_zone(spark, zone):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    times = [dt.datetime(2024, 1, 9, 22), dt.datetime(2024, 1, 10), dt.datetime(2024, 1, 11, 23), dt.datetime(2024, 1, 12)]
+    df = spark.createDataFrame([(t, t.date()) for t in times], "`my ts` timestamp_ntz, d date")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        for bounds in ((dt.date(2024, 1, 10), dt.date(2024, 1, 12)), (dt.datetime(2024, 1, 10), dt.datetime(2024, 1, 12)), "2024-01-10 : 2024-01-12"):
+            assert charts.in_time_range(df, "my ts", bounds).count() == 2
+            assert charts.in_time_range(df, "d", bounds).count() == 2
+        assert charts.in_time_range(df, "d", "No filter").count() == 4
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
+def test_filter_objects(data):
+    def kept(*filters):
+        return chart(data, {"name": "f", "viz_type": "big_number_total", "filters": list(filters)}).first()[0]
+
+    every = kept()
+    assert kept({"col": "date", "op": "TEMPORAL_RANGE", "val": "No filter"}) == every
+    assert kept({"subject": "tier", "operator": "IS NULL"}) + kept({"col": "tier", "op": "IS NOT NULL"}) == every
+    assert kept({"col": "tier", "op": "IN", "val": ["Good"]}) + kept({"col": "tier", "op": "NOT IN", "val": ["Good"]}) == kept({"col": "tier", "op": "IS NOT NULL"})
+    assert kept({"col": "tier", "op": "LIKE", "val": "G%"}) == kept({"col": "tier", "op": "==", "val": "Good"})

@@ -52,12 +52,12 @@ def test_load_twice(spark, tmp_path):
     first = write(tmp_path, "one.csv", HEADER, "2024-07-01,10,20,7,50,80", "2024-07-02,20,30,7,50,70",
                   "2024-07-01,30,40,7,50,75")
     result = load.load(spark, first, table, T1)
-    assert tuple(result.report.first()) == (2, 0, 0, 2, 2)
+    assert tuple(result.report.first()) == (2, 0, 0, 2, 2, 0)
     assert [tuple(r) for r in result.violations.collect()] == [(dt.date(2024, 7, 1), "duplicate key", 2)]
     assert tuple(result.summary.first())[:3] == (2, dt.date(2024, 7, 1), dt.date(2024, 7, 2))
     assert [tuple(r) for r in result.tiers.collect()] == [("Average", 1, 50.0), ("Good", 1, 50.0)]
     second = write(tmp_path, "two.csv", HEADER, "2024-08-01,1,1,1,1,1", "2024-07-02,99,30,7,50,")
-    assert tuple(load.load(spark, second, table, T2).report.first()) == (1, 1, 1, 2, 3)
+    assert tuple(load.load(spark, second, table, T2).report.first()) == (1, 1, 1, 2, 3, 0)
     stored = tables.read_table(spark, table).select(
         "id", "date", "nps_score", "performance_tier", "created_at", "updated_at"
     )
@@ -115,6 +115,20 @@ def test_csv_bad_cell_and_missing_path(spark, tmp_path):
         csv.read_csv(spark, str(tmp_path / "gone.csv"), load.T.StructType.fromDDL("a int"))
 
 
+def test_rows_with_surplus_cells_fail(spark, tmp_path):
+    schema = load.T.StructType.fromDDL("a int, b int")
+    short = write(tmp_path, "short.csv", "a,b", "1", '2,"3"')
+    assert sorted((r.a, r.b) for r in csv.read_csv(spark, short, schema).collect()) == [(1, None), (2, 3)]
+    for name, row in (("long.csv", "1,2,3"), ("quoted.csv", '"1",2,"x,y"')):
+        path = write(tmp_path, name, "a,b", "4,5", row)
+        with pytest.raises(PySparkException, match="more than 2 cells"):
+            csv.read_csv(spark, path, schema).collect()
+        with pytest.raises(PySparkException, match="more than 2 cells"):
+            csv.read_csv(spark, path, schema).select("a").count()
+        with pytest.raises(PySparkException, match="more than 2 cells"):
+            csv.read_csv(spark, path).collect()
+
+
 def test_inferred_csv(spark, tmp_path):
     path = write(tmp_path, "i.csv", "a,d,x", "1,2024-01-01,2.5")
     assert csv.read_csv(spark, path).dtypes == [("a", "int"), ("d", "date"), ("x", "double")]

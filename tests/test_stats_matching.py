@@ -138,3 +138,10 @@ def test_dataset_ids(spark):
     assert full.columns == ["i", "p", "q", "dataset_id", "kind"]
     got = {r["i"]: (r["dataset_id"], r["kind"]) for r in full.collect()}
     assert [got[i] for i in range(len(CHARTS))] == [c[3:] for c in CHARTS]
+
+
+def test_dataset_ids_of_any_length(spark):
+    texts = ["9223372036854775807__table", "9223372036854775808__table", "-9223372036854775808__table", "0012__table", "x9__table"]
+    df = spark.createDataFrame([(k, f'{{"datasource": "{t}"}}', f'{{"datasource": {{"id": {k}{"0" * 17}}}}}') for k, t in enumerate(texts, 1)], "i int, p string, q string")
+    got = {r["i"]: r["dataset_id"] for r in datasets.with_dataset_id(df, "p", "q").collect()}
+    assert got == {1: 2**63 - 1, 2: 2 * 10**17, 3: -(2**63), 4: 12, 5: 5 * 10**17}
