@@ -314,19 +314,51 @@ def calendar_dims(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @_bind("""
-WITH daily AS (
-  SELECT CAST(o_orderdate AS DATE) AS day, count(*) AS orders, max(o_totalprice) AS highest
-  FROM orders WHERE o_totalprice > 400000 GROUP BY 1),
-days AS (SELECT unnest(generate_series(min(day), max(day), INTERVAL 1 DAY)) AS day FROM daily)
+WITH weekly AS (
+  SELECT CAST(date_trunc('week', o_orderdate) AS DATE) AS day, count(*) AS orders, max(o_totalprice) AS highest
+  FROM orders GROUP BY 1),
+days AS (SELECT unnest(generate_series(min(day), max(day), INTERVAL 1 DAY)) AS day FROM weekly)
 SELECT CAST(days.day AS DATE) AS day, coalesce(orders, 0) AS orders, highest
-FROM days LEFT JOIN daily ON daily.day = CAST(days.day AS DATE)
+FROM days LEFT JOIN weekly ON weekly.day = CAST(days.day AS DATE)
 """)
 def calendar_spine_gapfill(spark: SparkSession, sf_dir: str) -> DataFrame:
-    large = _table(spark, sf_dir, "orders").where(F.col("o_totalprice") > 400000)
-    daily = large.groupBy(cal.day("o_orderdate").alias("day")).agg(
+    """Orders of a week stand on its Monday; the other days are filled in."""
+    monday = F.date_trunc("week", "o_orderdate").cast("date")
+    weekly = _table(spark, sf_dir, "orders").groupBy(monday.alias("day")).agg(
+        F.count(F.lit(1)).alias("orders"), F.max("o_totalprice").alias("highest")
+    )
+    return cal.fill_days(weekly, "day", ["orders"])
+
+
+@_bind("""
+WITH daily AS (
+  SELECT o_orderpriority, o_orderstatus, CAST(o_orderdate AS DATE) AS day, count(*) AS orders, max(o_totalprice) AS highest
+  FROM orders GROUP BY ALL),
+days AS (
+  SELECT o_orderpriority, o_orderstatus, unnest(s) AS day FROM (
+    SELECT o_orderpriority, o_orderstatus, generate_series(min(day), max(day), INTERVAL 1 DAY) AS s FROM daily GROUP BY 1, 2))
+SELECT o_orderpriority, o_orderstatus, CAST(days.day AS DATE) AS day, coalesce(orders, 0) AS orders, highest
+FROM (SELECT o_orderpriority, o_orderstatus, CAST(day AS DATE) AS day FROM days) AS days
+LEFT JOIN daily USING (o_orderpriority, o_orderstatus, day)
+""")
+def gapfill_by_group(spark: SparkSession, sf_dir: str) -> DataFrame:
+    by = ["o_orderpriority", "o_orderstatus"]
+    daily = _table(spark, sf_dir, "orders").groupBy(*by, cal.day("o_orderdate").alias("day")).agg(
         F.count(F.lit(1)).alias("orders"), F.max("o_totalprice").alias("highest")
     )
-    return cal.fill_days(daily, "day", ["orders"])
+    return cal.fill_days(daily, "day", ["orders"], by)
+
+
+@_bind("""
+SELECT o_orderpriority, CAST(unnest(s) AS DATE) AS day FROM (
+  SELECT o_orderpriority, generate_series(min(o_orderdate)::DATE, max(o_orderdate)::DATE, INTERVAL 1 DAY) AS s FROM orders GROUP BY 1)
+""")
+def calendar_spine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every day between the first and the last order of each priority."""
+    bounds = _table(spark, sf_dir, "orders").groupBy("o_orderpriority").agg(
+        F.min("o_orderdate").alias("first"), F.max("o_orderdate").alias("last")
+    )
+    return cal.day_spine(bounds, "first", "last")
 
 
 @_bind("""
@@ -342,6 +374,27 @@ def calendar_factor(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _table(spark, sf_dir, "orders").select("o_orderkey", factor.alias("factor"))
 
 
+@_bind("""
+WITH d AS (SELECT o_orderkey, make_date(2024, month(o_orderdate), least(day(o_orderdate), 28)) AS d FROM orders)
+SELECT o_orderkey, round(
+  CASE WHEN isodow(d) >= 6 THEN CAST(0.95 AS DOUBLE) ELSE CAST(1 AS DOUBLE) END
+  * (1 + (month(d) - 7) / CAST(5 AS DOUBLE) * CAST(0.15 AS DOUBLE))
+  * CASE WHEN month(d) IN (11, 12) THEN CAST(0.92 AS DOUBLE)
+         WHEN month(d) IN (7, 8) THEN CAST(1.05 AS DOUBLE) ELSE CAST(1 AS DOUBLE) END
+  * CASE WHEN d BETWEEN DATE '2024-08-15' AND DATE '2024-08-25' THEN CAST(1.12 AS DOUBLE)
+         WHEN d BETWEEN DATE '2024-09-10' AND DATE '2024-09-15' THEN CAST(0.75 AS DOUBLE)
+         WHEN d BETWEEN DATE '2024-11-25' AND DATE '2024-12-05' THEN CAST(1.08 AS DOUBLE)
+         WHEN d BETWEEN DATE '2024-12-20' AND DATE '2024-12-30' THEN CAST(0.88 AS DOUBLE) ELSE CAST(1 AS DOUBLE) END, 6) AS factor
+FROM d
+""")
+def calendar_event_factor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Calendar factor times the factor of the year's events; orders are put into that year."""
+    moved = F.make_date(F.lit(2024), F.month("o_orderdate"), F.least(F.dayofmonth("o_orderdate"), F.lit(28)))
+    dated = _table(spark, sf_dir, "orders").select("o_orderkey", moved.alias("d"))
+    matched = windows.with_listed_events(dated, "d", windows.EVENTS_2024)
+    return matched.select("o_orderkey", F.round(scores.calendar_factor("d", F.col("event_factor")), 6).alias("factor"))
+
+
 @_bind("""
 SELECT event_id,
        CASE WHEN CAST(ts AS DATE) BETWEEN DATE '2024-01-05' AND DATE '2024-01-10' THEN 'launch'
@@ -365,8 +418,8 @@ def event_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_bind("""
 WITH w AS (
   SELECT o_orderkey AS priority, o_orderpriority AS event, CAST(o_orderdate AS DATE) AS first_day,
-         CAST(o_orderdate AS DATE) + 5 AS last_day, o_totalprice / 400000 AS factor
-  FROM orders WHERE o_totalprice > 490000),
+         CAST(o_orderdate AS DATE) + CAST(o_orderkey % 6 - 1 AS INTEGER) AS last_day, o_totalprice / 400000 AS factor
+  FROM orders),
 winner AS (
   SELECT d.day, arg_min(w.event, w.priority) AS event, arg_min(w.factor, w.priority) AS factor
   FROM (SELECT DISTINCT CAST(l_shipdate AS DATE) AS day FROM lineitem) d
@@ -377,10 +430,11 @@ FROM lineitem LEFT JOIN winner ON CAST(l_shipdate AS DATE) = winner.day
 GROUP BY 1
 """)
 def event_window_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Windows in a table: the days after each very large order, overlaps won by the lower order key."""
-    opened = _table(spark, sf_dir, "orders").where(F.col("o_totalprice") > 490000).select(
+    """Windows in a table: none to five days from each order on, overlaps won by the lower order key."""
+    length = (F.col("o_orderkey") % 6 - 1).cast("int")
+    opened = _table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("priority"), F.col("o_orderpriority").alias("event"),
-        cal.day("o_orderdate").alias("start"), F.date_add(cal.day("o_orderdate"), 5).alias("end"),
+        cal.day("o_orderdate").alias("start"), F.date_add(cal.day("o_orderdate"), length).alias("end"),
         (F.col("o_totalprice") / 400000).alias("factor"),
     )
     items = _table(spark, sf_dir, "lineitem").select("l_shipdate", "l_extendedprice")
@@ -603,24 +657,23 @@ def key_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
 _SPLIT = dt.datetime(2024, 1, 11)
 _USERS_SQL = """
 latest AS (
-  SELECT *, ts < TIMESTAMP '2024-01-11' AS early,
-         row_number() OVER (PARTITION BY user_id, ts < TIMESTAMP '2024-01-11' ORDER BY event_id DESC) AS nth
+  SELECT user_id * 24 + hour(ts) AS user_id, event_id, event_type, value, ts < TIMESTAMP '2024-01-11' AS early,
+         row_number() OVER (PARTITION BY user_id, hour(ts), ts < TIMESTAMP '2024-01-11' ORDER BY event_id DESC) AS nth
   FROM events),
-target AS (SELECT user_id, event_id, event_type, value FROM latest WHERE early AND nth = 1 AND event_type <> 'view'),
+target AS (SELECT user_id, event_id, event_type, value FROM latest WHERE early AND nth = 1),
 batch AS (
-  SELECT user_id, event_id, nullif(event_type, 'click') AS event_type, value FROM latest
-  WHERE NOT early AND nth = 1 AND event_type <> 'error')
+  SELECT user_id, event_id, nullif(event_type, 'click') AS event_type, value FROM latest WHERE NOT early AND nth = 1)
 """
 
 
 def _users(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """Last event per user before and after a day, each without one type, so that keys differ."""
-    events = _table(spark, sf_dir, "events")
+    """Last event per user and hour of the day, before and after a day; some keys are on one side only."""
+    events = _table(spark, sf_dir, "events").withColumn("user_id", F.col("user_id") * 24 + F.hour("ts"))
     columns = ["user_id", "event_id", "event_type", "value"]
     early = upsert.last_rows(events.where(F.col("ts") < F.lit(_SPLIT)), ["user_id"], ["event_id"])
     late = upsert.last_rows(events.where(F.col("ts") >= F.lit(_SPLIT)), ["user_id"], ["event_id"])
-    late = late.where("event_type <> 'error'").withColumn("event_type", F.nullif("event_type", F.lit("click")))
-    return early.where("event_type <> 'view'").select(*columns), late.select(*columns)
+    late = late.withColumn("event_type", F.nullif("event_type", F.lit("click")))
+    return early.select(*columns), late.select(*columns)
 
 
 @_bind("""
@@ -664,8 +717,8 @@ def upsert_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_bind("""
 WITH a AS (SELECT CAST(o_orderdate AS DATE) AS day, count(*) AS orders FROM orders
            WHERE o_orderdate < TIMESTAMP '1999-01-01' GROUP BY 1),
-b AS (SELECT CAST(o_orderdate AS DATE) AS day, count(*) AS orders FROM orders
-      WHERE o_orderdate >= TIMESTAMP '1998-06-15' AND o_orderpriority = '1-URGENT' GROUP BY 1),
+b AS (SELECT CAST(o_orderdate AS DATE) AS day, count(DISTINCT o_orderstatus) AS orders FROM orders
+      WHERE o_orderdate >= TIMESTAMP '1998-06-15' GROUP BY 1),
 ids AS (
   SELECT day, row_number() OVER (ORDER BY day) AS id FROM a
   UNION ALL
@@ -680,9 +733,10 @@ def upsert_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_folder(spark, "daily-orders")
     orders = _table(spark, sf_dir, "orders").withColumn("day", cal.day("o_orderdate"))
     early = orders.where(F.col("day") < F.lit(dt.date(1999, 1, 1)))
-    urgent = orders.where((F.col("day") >= F.lit(dt.date(1998, 6, 15))) & (F.col("o_orderpriority") == "1-URGENT"))
-    for moment, rows in ((dt.datetime(2024, 1, 1), early), (dt.datetime(2024, 1, 2), urgent)):
-        batch = rows.groupBy("day").agg(F.count(F.lit(1)).alias("orders"))
+    late = orders.where(F.col("day") >= F.lit(dt.date(1998, 6, 15)))
+    counted, states = F.count(F.lit(1)), F.countDistinct("o_orderstatus")
+    for moment, rows, figure in ((dt.datetime(2024, 1, 1), early, counted), (dt.datetime(2024, 1, 2), late, states)):
+        batch = rows.groupBy("day").agg(figure.alias("orders"))
         upsert.upsert_table(spark, path, batch, ["day"], ["orders"], moment)
     return tables.read_table(spark, path)
 
@@ -790,19 +844,17 @@ def first_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @_bind("""
-WITH known AS (
-  SELECT o_custkey AS custkey, max(o_orderkey) AS existing_id FROM orders
-  WHERE o_orderdate < TIMESTAMP '1996-01-01' GROUP BY 1)
-SELECT o_orderkey, o_custkey AS custkey, existing_id,
-       CASE WHEN existing_id IS NULL THEN 'create' ELSE 'update' END AS action
-FROM orders LEFT JOIN known ON o_custkey = custkey WHERE o_orderdate >= TIMESTAMP '2000-01-01'
+WITH o AS (SELECT *, o_custkey * 8 + isodow(o_orderdate) AS custkey FROM orders),
+known AS (SELECT custkey, max(o_orderkey) AS existing_id FROM o WHERE o_orderdate < TIMESTAMP '1998-01-01' GROUP BY 1)
+SELECT o_orderkey, custkey, existing_id, CASE WHEN existing_id IS NULL THEN 'create' ELSE 'update' END AS action
+FROM o LEFT JOIN known USING (custkey) WHERE o_orderdate >= TIMESTAMP '1998-01-01'
 """)
 def create_or_update(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = _table(spark, sf_dir, "orders").select(
-        "o_orderkey", F.col("o_custkey").alias("custkey"), "o_orderdate"
-    )
-    incoming = orders.where(F.col("o_orderdate") >= F.lit(dt.datetime(2000, 1, 1))).drop("o_orderdate")
-    existing = orders.where(F.col("o_orderdate") < F.lit(dt.datetime(1996, 1, 1)))
+    """Customers by weekday: some are known from before 1998, some are new."""
+    named = F.col("o_custkey") * 8 + F.weekday("o_orderdate") + 1
+    orders = _table(spark, sf_dir, "orders").select("o_orderkey", named.alias("custkey"), "o_orderdate")
+    incoming = orders.where(F.col("o_orderdate") >= F.lit(dt.datetime(1998, 1, 1))).drop("o_orderdate")
+    existing = orders.where(F.col("o_orderdate") < F.lit(dt.datetime(1998, 1, 1)))
     return reconcile.classify(incoming, existing, "custkey", "o_orderkey")
 
 

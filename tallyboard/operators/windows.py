@@ -32,6 +32,8 @@ EVENTS_2024 = (
     EventWindow("year end", dt.date(2024, 12, 20), dt.date(2024, 12, 30), 0.88),
 )
 NO_FACTOR = 1.0
+#: Windows of more days are cut to the days of the data before they are unfolded.
+LONG_DAYS = 366
 
 
 def with_listed_events(df: DataFrame, date: str, windows: Sequence[EventWindow]) -> DataFrame:
@@ -56,8 +58,13 @@ def with_event_table(
     windows first, which leaves at most one row per calendar day. That table is written out, so
     its true size is known when the join is planned: below Spark's broadcast threshold the rows
     are not shuffled at all, and beyond it they meet by equality on the day. There is no range
-    join, and no row is multiplied by overlapping windows.
+    join, and no row is multiplied by overlapping windows. Open-ended windows are cut to the days of ``df``.
     """
+    windows = windows.withColumns({start: day(start), end: day(end)})
+    longest = windows.agg(F.max(F.date_diff(end, start))).first()[0]
+    if longest is not None and longest > LONG_DAYS:
+        first, last = df.agg(F.min(day(date)), F.max(day(date))).first()
+        windows = windows.withColumns({start: F.greatest(start, F.lit(first)), end: F.least(end, F.lit(last))}) if first else windows.limit(0)
     days = F.explode(F.sequence(day(start), day(end), F.expr("interval 1 day")))
     unfolded = windows.where(day(start) <= day(end)).select(
         days.alias("_day"),

@@ -145,3 +145,14 @@ def test_dataset_ids_of_any_length(spark):
     df = spark.createDataFrame([(k, f'{{"datasource": "{t}"}}', f'{{"datasource": {{"id": {k}{"0" * 17}}}}}') for k, t in enumerate(texts, 1)], "i int, p string, q string")
     got = {r["i"]: r["dataset_id"] for r in datasets.with_dataset_id(df, "p", "q").collect()}
     assert got == {1: 2**63 - 1, 2: 2 * 10**17, 3: -(2**63), 4: 12, 5: 5 * 10**17}
+
+
+def test_open_ended_windows_are_cut_to_the_data(spark):
+    df = spark.createDataFrame([(k, dt.date(2024, 1, 1) + dt.timedelta(k)) for k in range(5)], "i int, d date")
+    events = spark.createDataFrame(
+        [(1, "open", dt.date(2024, 1, 3), dt.date(9999, 12, 31), 2.0), (2, "since ever", dt.date(1, 1, 1), dt.date(2024, 1, 4), 3.0)],
+        "p int, event string, start date, end date, factor double",
+    )
+    got = {r.i: r.event for r in windows.with_event_table(df, "d", events, "p").collect()}
+    assert got == {0: "since ever", 1: "since ever", 2: "open", 3: "open", 4: "open"}
+    assert windows.with_event_table(df.limit(0), "d", events, "p").collect() == []
