@@ -94,8 +94,16 @@ def merge_report(merged: DataFrame, status: str = "status") -> DataFrame:
     )
 
 
-def assign_ids(rows: DataFrame, order: Sequence[str], highest: int, name: str = "id", **place) -> DataFrame:
-    """Ids above ``highest`` in the order of ``order``, without gaps."""
+#: So many rows are numbered by one task; it sorts their keys only.
+ONE_TASK = 100_000
+
+
+def assign_ids(
+    rows: DataFrame, order: Sequence[str], highest: int, name: str = "id", known: int | None = None, **place
+) -> DataFrame:
+    """Ids above ``highest`` in the order of ``order``, without gaps. ``known`` is the number of rows, if it is known."""
+    if known is not None and known <= ONE_TASK:
+        return rows.withColumn(name, (F.row_number().over(W.orderBy(*order)) + F.lit(highest)).cast("bigint"))
     return number_rows(rows, order, name, start=highest + 1, **place)
 
 
@@ -121,6 +129,13 @@ def _table_for(
     return replace(made, schema=schema.json())
 
 
+def _all_new(batch: DataFrame, types: T.StructType, now: dt.datetime) -> DataFrame:
+    """What :func:`merge_rows` gives where the table has no rows yet."""
+    known = {c: F.col(c) for c in batch.columns} | {c: F.lit(now).cast("timestamp_ntz") for c in ("created_at", "updated_at")}
+    values = [known.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in types]
+    return batch.select(*values, F.lit(INSERTED).alias("status"))
+
+
 def upsert_table(
     spark: SparkSession, path: str, batch: DataFrame, key: Sequence[str], seq: Sequence[str],
     now: dt.datetime, id_column: str | None = "id", stored: Sequence[str] | None = None,
@@ -160,8 +175,12 @@ def upsert_table(
         names = [str(r[PART]) for r in touched if r["rows"]]
         figures = dict.fromkeys((INSERTED, UPDATED, KEPT), 0)
         if names:
-            old = tables.read_parts(spark, path, made, names)
-            merged = merge_rows(old, newest.where(whole).drop(PART), key, now, on_insert=[id_column] if id_column else [])
+            incoming = newest.where(whole).drop(PART)
+            if any(n in made.parts for n in names):
+                old = tables.read_parts(spark, path, made, names)
+                merged = merge_rows(old, incoming, key, now, on_insert=[id_column] if id_column else [])
+            else:
+                merged = _all_new(incoming, types, now)
             merged = scratch.stage(merged.withColumn(PART, made.part_of()), "merged")
             counted = merged.groupBy(PART, "status").agg(F.count(F.lit(1)).alias("rows")).collect()
             rows = dict.fromkeys(names, 0)
@@ -171,7 +190,7 @@ def upsert_table(
             fresh = merged.where(F.col("status") == INSERTED)
             result = merged
             if id_column and figures[INSERTED]:
-                ids = assign_ids(fresh.select(*key), key, made.highest, id_column, place=scratch.stage)
+                ids = assign_ids(fresh.select(*key), key, made.highest, id_column, figures[INSERTED], place=scratch.stage)
                 result = fresh.drop(id_column).join(ids, key).unionByName(merged.where(F.col("status") != INSERTED))
             folder = tables.write_parts(result.select(*types.names, PART), path)
             tables.switch(spark, path, tables.replaced(made, folder, rows, highest=made.highest + figures[INSERTED]))

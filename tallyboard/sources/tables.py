@@ -174,7 +174,7 @@ def read_parts(spark: SparkSession, path: str, manifest: Manifest, parts: Iterab
     wanted = manifest.parts if parts is None else [p for p in parts if p in manifest.parts]
     folders = [f"{path}/{manifest.parts[p].folder}" for p in wanted]
     if not folders:
-        return spark.createDataFrame([], manifest.types())
+        return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in manifest.types()])
     return spark.read.schema(manifest.types()).parquet(*folders)
 
 

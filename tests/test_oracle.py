@@ -1,4 +1,5 @@
 import os
+import sys
 
 import pytest
 
@@ -25,3 +26,12 @@ def test_matches_sql(spark, con, name):
 
 def test_entry(spark):
     assert binding.entry(spark).count() == 7
+
+
+@pytest.mark.parametrize("absent", ["tallyboard.llm", "corpus_pipeline"])
+def test_base_queries_do_without_the_training_data_part(monkeypatch, absent):
+    monkeypatch.setitem(sys.modules, absent, None)
+    monkeypatch.delitem(sys.modules, "tallyboard.llm.queries", raising=False)
+    if absent != "corpus_pipeline":
+        monkeypatch.delitem(sys.modules, "corpus_pipeline", raising=False)
+    assert set(binding.queries()) == set(binding.base_queries()) == set(binding.oracle_sql())

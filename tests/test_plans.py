@@ -5,9 +5,13 @@ import re
 import pytest
 
 import __spark_entry__ as binding
+from tallyboard import scratch
 
 SF_DIR = "/root/testdata/sf0.001"
 # Numbering joins one row per range partition; a gap fill sorts one row per day.
+STAGING = {
+    "event_window_table", "group_ranks", "load_job", "load_job_tiers", "surrogate_keys", "unique_slugs", "upsert_table",
+}
 SMALL_WINDOWS = {"surrogate_keys", "group_ranks", "unique_slugs", "calendar_spine_gapfill"}
 
 
@@ -15,15 +19,29 @@ def plan_of(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(binding.base_queries()))
-def test_no_python_no_cross_join_no_global_window(spark, name):
-    plan = plan_of(binding.base_queries()[name](spark, SF_DIR))
+def check(plan, small_windows):
     for node in ("Python", "ArrowEval", "MapInPandas", "CartesianProduct", "BroadcastNestedLoopJoin", "ExistingRDD["):
         assert node not in plan
-    if name not in SMALL_WINDOWS:
+    if not small_windows:
         assert not re.search(r"Window \[[^\n]*\n(?:[^\n]*(?:Sort|WindowGroupLimit)[^\n]*\n)*[^\n]*Exchange SinglePartition", plan)
 
 
+@pytest.mark.parametrize("name", sorted(binding.base_queries()))
+def test_no_python_no_cross_join_no_global_window(spark, name, monkeypatch):
+    """In the plan of the result and of every table staged on the way."""
+    staged = []
+
+    def seen(df, path, write=scratch._staged):
+        staged.append(plan_of(df))
+        return write(df, path)
+
+    monkeypatch.setattr(scratch, "_staged", seen)
+    check(plan_of(binding.base_queries()[name](spark, SF_DIR)), name in SMALL_WINDOWS)
+    for plan in staged:
+        check(plan, name in SMALL_WINDOWS)
+    assert bool(staged) == (name in STAGING)
+
+
 @pytest.mark.parametrize("name, columns", [
     ("series_weekday", {"o_totalprice", "o_orderdate"}), ("bar_daily_sum", {"l_shipdate", "l_extendedprice"}),
     ("big_number_count", set()), ("bubble_top100", {"p_size", "p_brand", "p_type"}),
