@@ -8,6 +8,10 @@ from pyspark.sql import functions as F
 from tallyboard.scratch import stage
 
 
+#: Rows of a file of labels; many small files would cost more than they hold.
+ROWS = 250_000
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(id, component) of every node of the edges (a, b); the component is the smallest id in it.
 
@@ -16,14 +20,16 @@ def components(edges: DataFrame) -> DataFrame:
     """
     both = edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     both = stage(both.where("a != b").distinct(), "edges")
-    labels = stage(both.groupBy(F.col("a").alias("id")).agg(F.min("b").alias("b")).select("id", F.least("id", "b").alias("component")), "labels")
+    files = max(1, -(-both.count() // ROWS))
+    place = lambda df: stage(df.coalesce(files), "labels")
+    labels = place(both.groupBy(F.col("a").alias("id")).agg(F.min("b").alias("b")).select("id", F.least("id", "b").alias("component")))
     while True:
         around = both.join(labels.select(F.col("id").alias("b"), "component"), "b").groupBy("a").agg(F.min("component").alias("least"))
         lowered = labels.join(around.withColumnRenamed("a", "id"), "id").select(
             "id", F.col("component").alias("before"), F.least("component", "least").alias("label")
         )
         own = labels.select(F.col("id").alias("label"), F.col("component").alias("further"))
-        jumped = stage(lowered.join(own, "label").select("id", "before", F.least("label", "further").alias("component")), "labels")
+        jumped = place(lowered.join(own, "label").select("id", "before", F.least("label", "further").alias("component")))
         if jumped.where("before != component").isEmpty():
             return jumped.select("id", "component")
         labels = jumped.select("id", "component")

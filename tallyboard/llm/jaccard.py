@@ -126,16 +126,20 @@ def bits_of(hashes: np.ndarray, size: int) -> np.ndarray:
     return ((hashes[:, None] >> np.uint64(3)) + np.arange(PROBES, dtype=np.uint64) * step[:, None]) & np.uint64(size - 1)
 
 
-def _filter_part(size: int, parts: int):
-    """The bits of some segments, cut into parts of the filter."""
-    schema = pa.schema([("part", pa.int32()), ("bits", pa.binary())])
+def _filter_parts(sizes: dict[int, int]):
+    """The bits of some segments for the filter of each level, cut into parts of a megabyte."""
+    schema = pa.schema([("level", pa.int32()), ("part", pa.int32()), ("bits", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = np.zeros(size // 8, np.uint8)
-        for (hashes,) in rows_of(batches, "hashes"):
-            bits = bits_of(np.frombuffer(hashes, "<u8"), size).ravel()
-            np.bitwise_or.at(held, (bits >> np.uint64(3)).astype(np.int64), (1 << (bits & np.uint64(7))).astype(np.uint8))
-        rows = ((k, zlib.compress(x.tobytes(), 1)) for k, x in enumerate(np.split(held, parts)) if x.any())
+        held = {k: np.zeros(size // 8, np.uint8) for k, size in sizes.items()}
+        for level, hashes in rows_of(batches, "level", "hashes"):
+            if hashes:
+                bits = bits_of(np.frombuffer(hashes, "<u8"), sizes[level]).ravel()
+                np.bitwise_or.at(held[level], (bits >> np.uint64(3)).astype(np.int64), (1 << (bits & np.uint64(7))).astype(np.uint8))
+        rows = (
+            (level, at >> 20, zlib.compress(bits[at : at + (1 << 20)].tobytes(), 1))
+            for level, bits in held.items() for at in range(0, len(bits), 1 << 20) if bits[at : at + (1 << 20)].any()
+        )
         yield from chunked(rows, schema)
 
     return run
@@ -143,7 +147,10 @@ def _filter_part(size: int, parts: int):
 
 def _merge_parts(key, part):
     merged = np.bitwise_or.reduce([np.frombuffer(zlib.decompress(x), np.uint8) for x in part.column("bits").to_pylist()])
-    return pa.table({"part": pa.array([key[0].as_py()], pa.int32()), "bits": pa.array([zlib.compress(merged.tobytes(), 1)], pa.binary())})
+    return pa.table({
+        "level": pa.array([key[0].as_py()], pa.int32()), "part": pa.array([key[1].as_py()], pa.int32()),
+        "bits": pa.array([zlib.compress(merged.tobytes(), 1)], pa.binary()),
+    })
 
 
 def repeated_filters(texts: DataFrame, words: int, eighths: int) -> list[np.ndarray]:
@@ -152,19 +159,14 @@ def repeated_filters(texts: DataFrame, words: int, eighths: int) -> list[np.ndar
     segment_bits = min(16, max(4, math.ceil(math.log2(4 * max(1, files)))))
     counted = texts.mapInArrow(_counted(words, eighths, segment_bits), "segment int, hashes binary, numbers binary")
     repeated = stage(counted.groupBy("segment").applyInArrow(_repeated, "level int, n long, hashes binary"), "repeated-shingles")
-    sizes = {r.level: r.n for r in repeated.groupBy("level").agg(F.sum("n").alias("n")).collect()}
-    out = []
-    for level in range(len(LEVELS)):
-        number = sizes.get(level, 0)
-        size = min(MOST_BITS, 1 << max(13, math.ceil(math.log2(max(1, 12 * number)))))
-        out.append(np.zeros(size // 8, np.uint8))
-        if not number:
-            continue
-        parts = max(1, size // 8 >> 20)
-        bits = repeated.where(F.col("level") == level).select("hashes").coalesce(8).mapInArrow(_filter_part(size, parts), "part int, bits binary")
-        for r in bits.groupBy("part").applyInArrow(_merge_parts, "part int, bits binary").toLocalIterator():
-            piece = np.frombuffer(zlib.decompress(bytes(r.bits)), np.uint8)
-            out[-1][r.part * len(piece) : (r.part + 1) * len(piece)] = piece
+    numbers = {r.level: r.n for r in repeated.groupBy("level").agg(F.sum("n").alias("n")).collect()}
+    sizes = {k: min(MOST_BITS, 1 << max(13, math.ceil(math.log2(max(1, 12 * numbers.get(k, 0)))))) for k in range(len(LEVELS))}
+    out = [np.zeros(sizes[k] // 8, np.uint8) for k in range(len(LEVELS))]
+    bits = repeated.coalesce(8).mapInArrow(_filter_parts(sizes), "level int, part int, bits binary")
+    # All filters together are at most twice MOST_BITS, as each level holds a part of the one before.
+    for r in bits.groupBy("level", "part").applyInArrow(_merge_parts, "level int, part int, bits binary").collect():
+        piece = np.frombuffer(zlib.decompress(bytes(r.bits)), np.uint8)
+        out[r.level][r.part << 20 : (r.part << 20) + len(piece)] = piece
     return out
 
 

@@ -169,7 +169,7 @@ def suspected_lines(ids_and_texts: DataFrame, min_chars: int = 40, max_filter_by
     grouped = hashes.withColumn("segment", unsigned).groupBy("segment")
     if segments * SEGMENT_BITS // 8 <= max_filter_bytes:
         filters = grouped.applyInArrow(_segment(False), "segment long, bits binary")
-        sent = spark.sparkContext.broadcast({r.segment: bytes(r.bits) for r in filters.toLocalIterator()})
+        sent = spark.sparkContext.broadcast({r.segment: bytes(r.bits) for r in filters.collect()})
         return ids_and_texts.mapInArrow(_suspects(min_chars, max(segments, 1), sent), "id long, key string")
     suspects = grouped.applyInArrow(_segment(True), "segment long, hash long").select("hash").distinct()
     lines = ids_and_texts.mapInArrow(_all_keys(min_chars), "id long, key string, hash long")
