@@ -870,7 +870,8 @@ def slugified(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @_bind(f"""
-WITH named AS (SELECT p_partkey, p_brand, {_SLUG.format("p_name")} AS base FROM part),
+WITH named AS (
+  SELECT p_partkey, p_brand, {_SLUG.format("p_name || CASE WHEN p_size % 25 = 0 THEN ' ' || (p_size // 25) ELSE '' END")} AS base FROM part),
 taken AS (
   SELECT base AS slug FROM named WHERE p_brand = 'Brand#1'
   UNION SELECT base || '-2' FROM named WHERE p_brand = 'Brand#2'
@@ -878,8 +879,8 @@ taken AS (
 claimed AS (
   SELECT slug AS base, 0 AS n FROM taken UNION
   SELECT regexp_extract(slug, '^(.*)-([1-9][0-9]*)$', 1), CAST(regexp_extract(slug, '^(.*)-([1-9][0-9]*)$', 2) AS BIGINT)
-  FROM taken WHERE regexp_matches(slug, '^(.*)-([1-9][0-9]*)$')),
-candidate AS (SELECT base, unnest(range(0, count(*) + 4)) AS n FROM named GROUP BY base),
+  FROM (SELECT slug FROM taken UNION SELECT base FROM named) WHERE regexp_matches(slug, '^(.*)-([1-9][0-9]*)$')),
+candidate AS (SELECT base, unnest(range(0, count(*) + 8)) AS n FROM named GROUP BY base),
 free AS (
   SELECT base, n, row_number() OVER (PARTITION BY base ORDER BY n) AS k
   FROM candidate ANTI JOIN claimed USING (base, n)),
@@ -888,7 +889,9 @@ SELECT p_partkey, base, CASE WHEN n = 0 THEN base ELSE base || '-' || n END AS s
 FROM ranked JOIN free USING (base, k)
 """)
 def unique_slugs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    part = _table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand")
+    """Some titles end in a number, and so spell a slug that another title would get."""
+    numbered = F.when(F.col("p_size") % 25 == 0, F.concat(F.lit(" "), F.floor(F.col("p_size") / 25).cast("string"))).otherwise("")
+    part = _table(spark, sf_dir, "part").select("p_partkey", F.concat("p_name", numbered).alias("p_name"), "p_brand")
     suffix = F.when(F.col("p_brand") == "Brand#1", "").when(F.col("p_brand") == "Brand#2", "-2").when(
         F.col("p_brand") == "Brand#3", "-3"
     )
