@@ -1,12 +1,14 @@
 import random
 import re
 
+import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tallyboard.functions.text import slugify
+from tallyboard.operators import slugs
 from tallyboard.operators.ranking import number_rows, rank_in_groups
 from tallyboard.operators.slugs import unique_slugs
 
@@ -78,7 +80,10 @@ def test_slugs_match_one_by_one(spark, titles, taken):
     assert len(set(got.values()) | set(taken)) == len(titles) + len(taken)
 
 
-def test_slugs_of_a_skewed_batch(spark):
+@pytest.mark.parametrize("few", [0, 1_000_000])
+def test_slugs_of_a_skewed_batch(spark, monkeypatch, few):
+    """Both plans: with bases that have claims split off, and all together."""
+    monkeypatch.setattr(slugs, "FEW_ROWS", few)
     rng = random.Random(3)
     titles = [("Hot Title" if rng.random() < 0.4 else f"Title {rng.randrange(60)}") for _ in range(3000)]
     taken = ["hot-title", "hot-title-1", "hot-title-7", "hot-title-8", "hot-title-2000", "title-3", "title-3-1"]
