@@ -3,7 +3,6 @@ import random
 import re
 
 import pytest
-from pyspark.sql import functions as F
 
 from tallyboard.llm import fingerprint
 
@@ -108,4 +107,3 @@ def test_query_is_native_and_right(spark):
     for r in rows:
         assert same.setdefault(texts[r.doc_id], r.fingerprint) == r.fingerprint
     assert sum(r.near_edited > r.near_next for r in rows) > 0.97 * len(rows)
-    assert F
