@@ -858,6 +858,44 @@ def create_or_update(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reconcile.classify(incoming, existing, "custkey", "o_orderkey")
 
 
+@_bind("""
+WITH o AS (SELECT *, o_custkey * 8 + isodow(o_orderdate) AS custkey FROM orders),
+known AS (
+  SELECT custkey, max(o_orderkey) AS existing_id, arg_max(o_orderpriority, o_orderkey) AS dataset FROM o
+  WHERE o_orderdate < TIMESTAMP '1998-01-01' GROUP BY 1)
+SELECT o_orderkey, custkey, existing_id, CASE WHEN existing_id IS NULL THEN 'create' ELSE 'update' END AS action
+FROM o LEFT JOIN (FROM known WHERE dataset = '2-HIGH') USING (custkey) WHERE o_orderdate >= TIMESTAMP '1998-01-01'
+""")
+def create_or_update_within(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As above, but only names whose last row is of one dataset are known."""
+    named = F.col("o_custkey") * 8 + F.weekday("o_orderdate") + 1
+    orders = _table(spark, sf_dir, "orders").select("o_orderkey", named.alias("custkey"), "o_orderdate", "o_orderpriority")
+    split = F.lit(dt.datetime(1998, 1, 1))
+    incoming = orders.where(F.col("o_orderdate") >= split).select("o_orderkey", "custkey")
+    return reconcile.classify(
+        incoming, orders.where(F.col("o_orderdate") < split), "custkey", "o_orderkey", within=("o_orderpriority", "2-HIGH")
+    )
+
+
+@_bind("""
+SELECT l_orderkey, string_agg('"CHART-' || l_linenumber || '":{"meta":{"chartId":' || l_partkey || '},"type":"CHART"},', ''
+         ORDER BY l_linenumber) FILTER (WHERE l_partkey % 7 <> 0) AS charts, count(*) AS before
+FROM (SELECT DISTINCT l_orderkey, l_linenumber, max(l_partkey) OVER (PARTITION BY l_orderkey, l_linenumber) AS l_partkey FROM lineitem)
+GROUP BY 1
+""")
+def removed_members(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Position maps made from the lines of each order, without every seventh part."""
+    entry = F.struct(
+        F.concat(F.lit("CHART-"), F.col("l_linenumber").cast("string")).alias("key"),
+        F.struct(F.struct(F.col("l_partkey").alias("chartId")).alias("meta"), F.lit("CHART").alias("type")).alias("value"),
+    )
+    lines = _table(spark, sf_dir, "lineitem").groupBy("l_orderkey", "l_linenumber").agg(F.max("l_partkey").alias("l_partkey"))
+    maps = lines.groupBy("l_orderkey").agg(F.to_json(F.map_from_entries(F.collect_list(entry))).alias("position"), F.count(F.lit(1)).alias("before"))
+    left = reconcile.without_members("position", lambda part: part % 7 == 0)
+    inside = F.regexp_replace(left, r"^\{|\}$", "")
+    return maps.select("l_orderkey", F.when(inside != "", F.concat(inside, F.lit(","))).alias("charts"), "before")
+
+
 # --- text ---------------------------------------------------------------------------------------------
 
 _SLUG = "regexp_replace(translate(lower({}), ' _', '--'), '[^a-z0-9-]', '', 'g')"

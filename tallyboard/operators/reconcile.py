@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -44,15 +44,37 @@ def lookup_first(wanted: DataFrame, df: DataFrame, name: str, id_column: str, po
 
 
 def classify(
-    incoming: DataFrame, existing: DataFrame, key: str, id_column: str, position: str | None = None
+    incoming: DataFrame, existing: DataFrame, key: str, id_column: str, position: str | None = None,
+    within: tuple[str, object] | None = None,
 ) -> DataFrame:
     """Incoming rows with ``action`` (update or create) and the id of the row to update.
 
     ``existing`` is reduced to one row per key first (the last by ``position``), so incoming rows
-    are never multiplied; adaptive execution splits a hot key on the incoming side.
+    are never multiplied; adaptive execution splits a hot key on the incoming side. With ``within``, a column
+    and a value, only keys whose last row has that value there are known: a name that moved to another
+    dataset is created anew.
     """
-    known = last_ids(existing, key, id_column, position or id_column).where(F.col(key).isNotNull())
-    known = known.select(key, F.col(id_column).alias("existing_id"), F.lit(True).alias("_known"))
+    place = position or id_column
+    kept = [F.max_by(id_column, place).alias("existing_id")]
+    if within:
+        kept.append(F.max_by(within[0], place).alias("_within"))
+    known = existing.where(F.col(key).isNotNull()).groupBy(key).agg(*kept)
+    if within:
+        known = known.where(F.col("_within") == F.lit(within[1]))
+    known = known.select(key, "existing_id", F.lit(True).alias("_known"))
     joined = incoming.join(known, key, "left")
     action = F.when(F.col("_known"), "update").otherwise("create")
     return joined.select(*[incoming[c] for c in incoming.columns], "existing_id", action.alias("action"))
+
+
+def without_members(text: Column | str, gone: Callable[[Column], Column], path: str = "$.meta.chartId") -> Column:
+    """A JSON object as text, without the entries whose value has a whole number at ``path`` that is ``gone``.
+
+    Other entries stay as they are, whatever their type; keys come out in order. Text that is no object is null.
+    """
+    entries = F.try_parse_json(text).try_cast("map<string, variant>")
+
+    def stays(_key: Column, value: Column) -> Column:
+        return ~F.coalesce(gone(F.try_variant_get(value, path, "bigint")), F.lit(False))
+
+    return F.to_json(F.map_filter(entries, stays))

@@ -1,4 +1,5 @@
 import datetime as dt
+import json
 
 import pytest
 from pyspark.sql import functions as F
@@ -156,3 +157,18 @@ def test_open_ended_windows_are_cut_to_the_data(spark):
     got = {r.i: r.event for r in windows.with_event_table(df, "d", events, "p").collect()}
     assert got == {0: "since ever", 1: "since ever", 2: "open", 3: "open", 4: "open"}
     assert windows.with_event_table(df.limit(0), "d", events, "p").collect() == []
+
+
+def test_members_leave_a_json_map(spark):
+    text = '{"V": "v2", "N": null, "A": {"meta": {"chartId": 3, "w": 1.5}}, "B": {"meta": {"chartId": 4}}, "C": {"meta": {}}, "D": [3], "E": {"meta": {"chartId": "x"}}}'
+    df = spark.createDataFrame([(1, text), (2, "{}"), (3, "broken {"), (4, "[1]"), (5, None), (6, '{"A": {"meta": {"chartId": 3}}}')], "i int, p string")
+    got = {r.i: r.p for r in df.select("i", reconcile.without_members("p", lambda c: c.isin(3, 9)).alias("p")).collect()}
+    assert json.loads(got.pop(1)) == {k: v for k, v in json.loads(text).items() if k != "A"}
+    assert got == {2: "{}", 3: None, 4: None, 5: None, 6: "{}"}
+
+
+def test_names_of_one_dataset(spark):
+    existing = spark.createDataFrame([("a", 1, 7), ("a", 2, 8), ("b", 3, 7), (None, 4, 7)], "name string, id int, dataset int")
+    incoming = spark.createDataFrame([("a",), ("b",), ("c",), (None,)], "name string")
+    got = {r.name: (r.action, r.existing_id) for r in reconcile.classify(incoming, existing, "name", "id", within=("dataset", 7)).collect()}
+    assert got == {"a": ("create", None), "b": ("update", 3), "c": ("create", None), None: ("create", None)}
