@@ -36,6 +36,8 @@ from tallyboard.scratch import stage
 
 #: Characters of the documents that one automaton serves.
 SHARD_CHARS = 4_000_000
+#: Up to so many ids of documents with recurring phrases (8 MB) are broadcast; more are joined by a shuffle.
+SENT_IDS = 1_000_000
 ADDED = ("n_words", "n_removed")
 
 
@@ -182,6 +184,10 @@ def repeated_windows(source: DataFrame, described: DataFrame, window: int) -> Da
     held = stage(every.join(recurring.select("phrase", "owner"), "phrase"), "phrases")
     mine = F.struct("id", "mark") == F.col("owner")
     wanted = held.groupBy("id", "mark").agg(F.collect_list(F.when(mine, F.col("phrase"))).alias("owned"))
+    ids = held.select("id").distinct()
+    if ids.count() <= SENT_IDS:
+        # Few enough to be sent to every task, so other documents are not shuffled here.
+        source = source.join(F.broadcast(ids), "id", "left_semi")
     schema = "id long, text string, mark int, owned array<long>"
     texts = stage(source.join(wanted, "id").select("id", "text", "mark", "owned").mapInArrow(_own_text, schema), "texts")
 

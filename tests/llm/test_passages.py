@@ -60,8 +60,10 @@ def test_against_brute_force(spark, window):
     assert sum(r[2] for r in got) > 500
 
 
-def test_many_shards(spark, monkeypatch):
+@pytest.mark.parametrize("sent", [0, 1000])
+def test_many_shards(spark, monkeypatch, sent):
     monkeypatch.setattr(passages, "SHARD_CHARS", 300)
+    monkeypatch.setattr(passages, "SENT_IDS", sent)
     docs = corpus(3, 100, 12)
     assert result(spark, docs, 12) == brute(docs, 12)
 
