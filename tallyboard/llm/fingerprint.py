@@ -4,8 +4,14 @@ A paragraph is a line; a long line is cut at fixed distances from its start that
 leaves the pieces before it alone. A sketch has three tables of cells; a digest enters one cell of each, which
 holds a count, and the exclusive or of digests and of their check hashes. The cells of two versions are
 subtracted, which cancels what they share. Then peeling recovers the differing digests: a cell with one
-digest left gives it away, and it is taken out of its other two cells. If cells are left over, the pair
-is tried again with larger tables and other hashes.
+digest left gives it away, and it is taken out of its other two cells.
+
+The published fingerprint is such a sketch. Its tables grow with the text's digests in powers of two, up to
+the first size at which peeling lists all of the text's digests. So two fingerprints are always enough to
+compare their texts: those of one size are subtracted; of two sizes, the smaller one is listed and its digests
+enter tables of the larger size. If cells are left over, both lists enter larger tables with other hashes. The
+likeness columns do the same, placing the digests that the fingerprints list. A place is the low bits of
+a hash, so a fingerprint can also be folded to any smaller power of two.
 
 Everything is DataFrame work on rows that are already together by document: cells are grouped with
 hash aggregation without another shuffle, and a round of peeling is one such grouping. A document's text is
@@ -18,6 +24,7 @@ single document is followed by itself; further columns are ignored.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -30,10 +37,10 @@ from tallyboard.scratch import stage
 #: Where a line is cut, counted in code points from its start.
 CUTS = (0, 24, 96, 384, 1536)
 TABLES = 3
-#: Cells of one table of a published fingerprint.
-CELLS = 8
-#: Cells of one table for each digest of a pair, and at least so many, when a pair is first tried.
+#: Cells of one table for each digest of a pair of equally long texts, and at least so many, before rounding up.
 ROOM, LEAST = 0.8, 16
+#: Doublings of a table until it lists all digests; each leaves about an eighth of the failures.
+RUNGS = 20
 #: Rounds of peeling, each of one table.
 ROUNDS = 12
 #: Seeds of the hashes that check a digest and place it.
@@ -61,26 +68,68 @@ def place_of(digest: Column, table: int, size: Column, attempt: int) -> Column:
     return F.pmod(F.xxhash64(digest, F.lit(PLACE + 100 * attempt + table)), size).cast("int")
 
 
-def fingerprint(digests: Column) -> Column:
-    """The smallest sketch as text: ``count:digests:checks`` of each cell, in hexadecimal, comma-joined."""
-    size = F.lit(CELLS)
-    placed = F.transform(digests, lambda d: F.struct(
-        d.alias("d"), check_of(d).alias("c"), *[place_of(d, t, size, 0).alias(f"p{t}") for t in range(TABLES)]
-    ))
+def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is computed once, however often a lambda reads it."""
+    return F.transform(F.array(value), use)[0]
+
+
+def _lists_all(digests: Column, size: Column) -> Column:
+    """Whether peeling tables of this size gives every digest: in each round those alone in a cell of one table leave."""
+
+    def crowded(left: Column, k: Column) -> Column:
+        table = F.pmod(k, F.lit(TABLES)) + PLACE
+        # Place and index in one number, which sorts faster than a struct.
+        placed = F.transform(left, lambda d, i: F.shiftleft(F.pmod(F.xxhash64(d, table), size), 32) + i)
+        place = lambda s, i: F.shiftright(F.get(s, i), 32)
+        shared = lambda s: F.filter(s, lambda x, i: (
+            place(s, i - 1).eqNullSafe(F.shiftright(x, 32)) | place(s, i + 1).eqNullSafe(F.shiftright(x, 32))
+        ))
+        kept = _bound(F.sort_array(placed), lambda s: F.transform(shared(s), lambda x: F.get(left, x.bitwiseAND(F.lit(0xFFFFFFFF)).cast("int"))))
+        return F.when(F.size(left) == 0, left).otherwise(kept)
+
+    return F.size(F.aggregate(F.sequence(F.lit(0), F.lit(4 * ROUNDS - 1)), digests, crowded)) == 0
+
 
-    def cell(t: int):
-        def of(number: Column) -> Column:
-            held = F.filter(placed, lambda x: x[f"p{t}"] == number)
-            empty = F.struct(F.lit(0).alias("n"), F.lit(0).cast("long").alias("d"), F.lit(0).cast("long").alias("c"))
-            return F.aggregate(
-                held, empty,
-                lambda s, x: F.struct((s["n"] + 1).alias("n"), s["d"].bitwiseXOR(x["d"]).alias("d"), s["c"].bitwiseXOR(x["c"]).alias("c")),
-                lambda s: F.concat_ws(":", s["n"], F.hex(s["d"]), F.hex(s["c"])),
-            )
-        return of
+def table_size(digests: Column) -> Column:
+    """Cells of one table of a text's fingerprint."""
 
-    tables = [F.transform(F.sequence(F.lit(0), F.lit(CELLS - 1)), cell(t)) for t in range(TABLES)]
-    return F.array_join(F.concat(*tables), ",")
+    def of(ds: Column) -> Column:
+        wanted = F.greatest(F.lit(LEAST), F.ceil(F.size(ds) * F.lit(2 * ROOM)).cast("int"))
+        first = F.pow(F.lit(2), F.length(F.bin(wanted - 1))).cast("long")
+        tried = lambda size: F.when(_lists_all(ds, size), size)
+        rung = lambda s, k: F.coalesce(s, _bound((first * F.pow(F.lit(2), k)).cast("long"), tried))
+        found = F.aggregate(F.sequence(F.lit(0), F.lit(RUNGS)), F.lit(None).cast("long"), rung)
+        return F.coalesce(found, F.raise_error(F.lit("no table lists all digests")).cast("long")).cast("int")
+
+    return _bound(digests, of)
+
+
+def fingerprint(digests: Column, size: Column) -> Column:
+    """The sketch as text: ``size;``, then ``cell:count:digests:checks`` of each filled cell, comma-joined.
+
+    Digests and checks are hexadecimal; a cell's number is its table times ``size`` plus its place.
+    """
+
+    def entry(t: int) -> Callable[[Column], Column]:
+        return lambda d: F.struct((place_of(d, t, size, 0) + t * size).alias("cell"), d.alias("d"), check_of(d).alias("c"))
+
+    def placed(ds: Column) -> Column:
+        return F.concat(*[F.transform(ds, entry(t)) for t in range(TABLES)])
+
+    def cell(held: Column) -> Column:
+        empty = F.struct(F.lit(0).cast("long").alias("d"), F.lit(0).cast("long").alias("c"))
+        return F.aggregate(
+            held, empty, lambda s, x: F.struct(s["d"].bitwiseXOR(x["d"]).alias("d"), s["c"].bitwiseXOR(x["c"]).alias("c")),
+            lambda s: F.concat_ws(":", held[0]["cell"], F.size(held), F.hex(s["d"]), F.hex(s["c"])),
+        )
+
+    def cells(entries: Column) -> Column:
+        places = F.transform(entries, lambda x, i: F.when(~F.get(entries, i - 1)["cell"].eqNullSafe(x["cell"]), i))
+        return _bound(F.array_compact(places), lambda starts: F.transform(
+            starts, lambda at, k: _bound(F.slice(entries, at + 1, F.coalesce(F.get(starts, k + 1), F.size(entries)) - at), cell)
+        ))
+
+    return F.concat(size.cast("string"), F.lit(";"), F.array_join(_bound(F.sort_array(_bound(digests, placed)), cells), ","))
 
 
 # --- subtracting and peeling ---------------------------------------------------------------------
@@ -96,9 +145,13 @@ def _grouped(cells: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def subtracted(pairs: DataFrame, keys: list[str], attempt: int) -> DataFrame:
-    """Cells of the sketch of ``a`` minus that of ``b`` (arrays of digests), without those that cancel."""
-    size = F.greatest(F.lit(LEAST), F.ceil((F.size("a") + F.size("b")) * F.lit(ROOM * 4**attempt)).cast("int"))
-    entries = pairs.select(*keys, size.alias("size"), F.explode(F.concat(_signed(F.col("a"), 1), _signed(F.col("b"), -1))).alias("e"))
+    """Cells of the sketch of ``a`` minus that of ``b`` (arrays of digests), without those that cancel.
+
+    The first attempt has the larger one of the two fingerprints' sizes, which may be given as ``sa`` and ``sb``.
+    """
+    sizes = [F.col(n) if n in pairs.columns else table_size(F.col(c)) for c, n in (("a", "sa"), ("b", "sb"))]
+    size = F.greatest(*sizes) * 4**attempt
+    entries = pairs.select(*keys, "a", "b", size.alias("size")).select(*keys, "size", F.explode(F.concat(_signed(F.col("a"), 1), _signed(F.col("b"), -1))).alias("e"))
     cells = F.array(*[(place_of(F.col("e.d"), t, F.col("size"), attempt) + t * F.col("size")).alias("cell") for t in range(TABLES)])
     spread = entries.select(
         *keys, "size", F.explode(cells).alias("cell"), F.lit(0).cast("long").alias("found"),
@@ -180,10 +233,14 @@ def versions(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
 
 def _pairs(rows: DataFrame) -> DataFrame:
     both = F.array(
-        F.struct(F.lit(0).alias("pair"), F.col("own").alias("a"), F.col("changed").alias("b")),
-        F.struct(F.lit(1).alias("pair"), F.col("own").alias("a"), F.col("next").alias("b")),
+        *[F.struct(F.lit(pair).alias("pair"), F.col("own").alias("a"), F.col(b).alias("b"), F.col("own_size").alias("sa"), F.col(f"{b}_size").alias("sb"))
+          for pair, b in enumerate(("changed", "next"))]
     )
-    return rows.select("k", F.explode(both).alias("p")).select("k", "p.pair", "p.a", "p.b")
+    return rows.select("k", F.explode(both).alias("p")).select("k", "p.*")
+
+
+def _sized(rows: DataFrame, *names: str) -> DataFrame:
+    return rows.withColumns({f"{n}_size": table_size(F.col(n)) for n in names})
 
 
 def _likeness(differ: Column, a: Column, b: Column) -> Column:
@@ -195,21 +252,26 @@ def compare_with_edit(docs: DataFrame, id_column: str = "doc_id", text_column: s
     """``id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next`` for every document.
 
     The edited text has its last quarter replaced by the start of the next document. Likeness is the share
-    of both sides' paragraph digests that cancel.
+    of both sides' paragraph digests that cancel; the two fingerprints of a pair are enough to compute it.
     """
     rows = versions(docs, id_column, text_column)
-    tried = differences(_pairs(rows), ["k", "pair"])
-    by_k = tried.groupBy("k").agg(*[F.max(F.when(F.col("pair") == p, F.struct("differ", "whole"))).alias(f"t{p}") for p in (0, 1)])
+    # Sizes go along as keys, so that they are found only once; pairs that cancel have none.
+    tried = differences(_pairs(_sized(rows, "own", "changed", "next")), ["k", "pair", "sa", "sb"])
+    by_k = tried.groupBy("k").agg(
+        *[F.max(F.when(F.col("pair") == p, F.struct("differ", "whole"))).alias(f"t{p}") for p in (0, 1)],
+        F.max("sa").alias("sa"), F.max(F.when(F.col("pair") == 0, F.col("sb"))).alias("sb"),
+    )
     joined = rows.join(by_k, "k", "left")
     known = lambda p: F.when(F.col(f"t{p}").isNull(), 0).when(F.col(f"t{p}.whole"), F.col(f"t{p}.differ"))
     failed = known(0).isNull() | known(1).isNull()
     held = stage(joined.select(
         "k", "id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), "own", "changed", F.when(failed, F.col("next")).alias("next"),
         F.size("next").alias("n_next"), known(0).cast("long").alias("d0"), known(1).cast("long").alias("d1"),
+        F.coalesce("sa", table_size(F.col("own"))).alias("own_size"), F.coalesce("sb", "sa", table_size(F.col("changed"))).alias("changed_size"),
     ), "fingerprints")
 
     again, attempt = [], 0
-    left = _pairs(held.where("d0 IS NULL OR d1 IS NULL"))
+    left = _pairs(_sized(held.where("d0 IS NULL OR d1 IS NULL"), "next"))
     while True:
         left = stage(left, "unpeeled")
         if left.isEmpty():
@@ -224,8 +286,9 @@ def compare_with_edit(docs: DataFrame, id_column: str = "doc_id", text_column: s
         later = reduce(DataFrame.union, again).groupBy("k").agg(*[F.max(F.when(F.col("pair") == p, F.col("differ"))).alias(f"l{p}") for p in (0, 1)])
         held = held.join(later, "k", "left").withColumns({f"d{p}": F.coalesce(f"d{p}", f"l{p}") for p in (0, 1)})
     total = F.size("own") + F.col("n_next")
+    published = lambda c: fingerprint(F.col(c), F.col(f"{c}_size"))
     return held.select(
-        "id", "n_chars", "edited_sha256", fingerprint(F.col("own")).alias("fingerprint"), fingerprint(F.col("changed")).alias("edited_fingerprint"),
+        "id", "n_chars", "edited_sha256", published("own").alias("fingerprint"), published("changed").alias("edited_fingerprint"),
         _likeness(F.col("d0"), F.col("own"), F.col("changed")).alias("near_edited"),
         F.when(total == 0, 1.0).otherwise((total - F.col("d1")) / total).alias("near_next"),
     )

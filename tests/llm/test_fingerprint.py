@@ -107,3 +107,57 @@ def test_query_is_native_and_right(spark):
     for r in rows:
         assert same.setdefault(texts[r.doc_id], r.fingerprint) == r.fingerprint
     assert sum(r.near_edited > r.near_next for r in rows) > 0.97 * len(rows)
+
+
+def read(text):
+    """(size, {cell: [count, digests, checks]}) of a published fingerprint."""
+    size, _, cells = text.partition(";")
+    out = {}
+    for entry in filter(None, cells.split(",")):
+        cell, n, d, c = entry.split(":")
+        out[int(cell)] = [int(n), int(d, 16), int(c, 16)]
+    return int(size), out
+
+
+def peel(size, cells, places, checks):
+    """({digest: side}, whether all cells are then empty)."""
+    cells, found = {k: list(v) for k, v in cells.items()}, {}
+    while alone := [(n, d) for n, d, c in cells.values() if abs(n) == 1 and checks.get(d) == c]:
+        n, d = alone[0]
+        found[d] = n
+        for t, p in enumerate(places[d]):
+            cell = cells.setdefault(t * size + p % size, [0, 0, 0])
+            cell[0], cell[1], cell[2] = cell[0] - n, cell[1] ^ d, cell[2] ^ checks[d]
+    return found, not any(any(v) for v in cells.values())
+
+
+def test_published_fingerprints_are_enough_to_compare(spark):
+    from pyspark.sql import functions as F
+    docs = corpus(5, 150) + [(90_000 + 13 * k, "\n".join(f"{k % 3} line {j}" for j in range(k, 40 * k))) for k in range(12)]
+    order = sorted(docs)
+    _, rows = result(spark, docs)
+    prints = {r.id: (r.fingerprint, r.edited_fingerprint) for r in rows}
+    edited = [(i, t[: len(t) - len(t) // 4] + order[(k + 1) % len(order)][1][: len(t) // 4]) for k, (i, t) in enumerate(order)]
+    every = spark.createDataFrame([(t,) for _, t in order + edited], "text string").select(F.explode(fingerprint.paragraphs(F.col("text"))).alias("d")).distinct()
+    places, checks = {}, {}
+    whole = F.lit(1 << 40)
+    for r in every.select("d", fingerprint.check_of(F.col("d")), *[F.pmod(F.xxhash64("d", F.lit(fingerprint.PLACE + t)), whole) for t in range(3)]).collect():
+        places[r[0] % 2**64], checks[r[0] % 2**64] = r[2:], r[1] % 2**64
+    texts, changed = dict(order), dict(edited)
+    for i in texts:
+        for text, printed in ((texts[i], prints[i][0]), (changed[i], prints[i][1])):
+            size, cells = read(printed)
+            found, complete = peel(size, cells, places, checks)
+            assert complete and len(found) == len(pieces(text)) and size >= 1.5 * len(found) and size & (size - 1) == 0
+    by_id = {r.id: r for r in rows}
+    ids = [i for i, _ in order]
+    for i, following in zip(ids, ids[1:] + ids[:1], strict=True):
+        for other, near in ((prints[i][1], by_id[i].near_edited), (prints[following][0], by_id[i].near_next)):
+            lists = [set(peel(*read(p), places, checks)[0]) for p in (prints[i][0], other)]
+            total = sum(map(len, lists))
+            assert near == pytest.approx(1.0 if not total else (total - len(lists[0] ^ lists[1])) / total, abs=1e-12)
+            (size, a), (size_b, b) = read(prints[i][0]), read(other)
+            if size == size_b:  # subtracted as they are
+                minus = {c: [a.get(c, z)[0] - b.get(c, z)[0], a.get(c, z)[1] ^ b.get(c, z)[1], a.get(c, z)[2] ^ b.get(c, z)[2]] for z in [[0, 0, 0]] for c in a.keys() | b.keys()}
+                found, complete = peel(size, minus, places, checks)
+                assert set(found) == lists[0] ^ lists[1] if complete else set(found) <= lists[0] ^ lists[1]
