@@ -59,11 +59,14 @@ def _with_raw(schema: T.StructType) -> T.StructType:
 def _checked(reader: DataFrameReader, path: str, names: Sequence[str]) -> DataFrame:
     """The rows; one with more cells than the header fails the job, in one with fewer the rest is null.
 
-    An empty cell after the last comma holds nothing and is let pass.
+    Empty cells after the header's last hold nothing and are let pass if nothing follows them.
     """
     cells = T.StructType([T.StructField(f"c{k}", T.StringType()) for k in range(len(names) + 1)])
     options = {"escape": '"'}
-    surplus = F.from_csv(F.col(RAW), cells.simpleString().removeprefix("struct<").removesuffix(">").replace(":", " "), options)[f"c{len(names)}"]
+    # Without empty cells at its end and with the others filled, a line has a cell there if any cell from there on is filled.
+    plain = F.regexp_replace(F.col(RAW), r',""(?=[,\r\n]|\z)', ",")
+    filled = F.regexp_replace(F.rtrim(plain, F.lit(",\r\n")), ",(?=,)", ",x")
+    surplus = F.from_csv(filled, cells.simpleString().removeprefix("struct<").removesuffix(">").replace(":", " "), options)[f"c{len(names)}"]
     # All cells are named, as rows are only checked while all of them are parsed.
     first = F.coalesce(*[F.col("`" + n.replace("`", "``") + "`").cast("string") for n in names], F.lit(""))
     message = F.concat(F.lit(f"more than {len(names)} cells after "), first, F.lit(": "), F.col(RAW))

@@ -129,6 +129,20 @@ def test_rows_with_surplus_cells_fail(spark, tmp_path):
             csv.read_csv(spark, path).collect()
 
 
+@pytest.mark.parametrize("multi_line", [False, True])
+def test_surplus_cells_after_empty_ones_fail(spark, tmp_path, multi_line):
+    schema = load.T.StructType.fromDDL("a int, b string")
+    fine = write(tmp_path, "fine.csv", "a,b", "1,2,,,", '2,"x,,",""', '3,"say ""hi"",",,""', '4,"x,"""', '5,",,,"', "6")
+    want = [(1, "2"), (2, "x,,"), (3, 'say "hi",'), (4, 'x,"'), (5, ",,,"), (6, None)]
+    assert sorted(tuple(r) for r in csv.read_csv(spark, fine, schema, multi_line=multi_line).collect()) == want
+    for k, row in enumerate(("3,4,,5", '3,4,"",5', "3,4,,,,5,,", '3,"4,,",,"x,y"', '3,"4"",",,""""', ",,,5")):
+        path = write(tmp_path, f"bad{k}.csv", "a,b", "1,2", row, "5,6")
+        with pytest.raises(PySparkException, match="more than 2 cells"):
+            csv.read_csv(spark, path, schema, multi_line=multi_line).collect()
+        with pytest.raises(PySparkException, match="more than 2 cells"):
+            csv.read_csv(spark, path, multi_line=multi_line).collect()
+
+
 def test_inferred_csv(spark, tmp_path):
     path = write(tmp_path, "i.csv", "a,d,x", "1,2024-01-01,2.5")
     assert csv.read_csv(spark, path).dtypes == [("a", "int"), ("d", "date"), ("x", "double")]
