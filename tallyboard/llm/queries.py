@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyboard.llm import ann, bpe, chats, fingerprint, jaccard, line_dedup, packing, passages, pii, quality
+from tallyboard.llm import ann, bpe, chats, fingerprint, hamming, jaccard, line_dedup, packing, passages, phrases, pii, quality, spelling
 from tallyboard.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -168,3 +168,97 @@ def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 @bind()
 def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.compare_with_edit(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
+#: DuckDB: one step of the checksum for a byte, by its table of 256 entries.
+_CRC_TABLE = """SELECT list_transform(range(256), lambda x: list_reduce(list_concat([x], range(8)), lambda c, k:
+    CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS crc"""
+
+
+@bind(f"""
+WITH RECURSIVE crc_table AS ({_CRC_TABLE}),
+found AS (
+  SELECT doc_id, {_LOWER.format("run")} AS run, count(*) AS n
+  FROM (SELECT doc_id, unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-z\u00C0-\u00FF]+')) AS run FROM documents) GROUP BY ALL),
+bytes AS (
+  SELECT run, n, flatten(list_transform(string_split(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run, ''), lambda x:
+    CASE WHEN unicode(x) < 128 THEN [CAST(unicode(x) AS BIGINT)] ELSE [195, unicode(x) - 64] END)) AS b FROM found),
+checked AS (
+  SELECT run, n, xor(list_reduce(list_concat([4294967295], b), lambda c, x: xor(c >> 8, crc[(xor(c, x) & 255) + 1])), 4294967295) AS h
+  FROM bytes, crc_table),
+slipped AS (
+  SELECT CASE WHEN h % 97 = 0 THEN substr(run, 1, CAST(h % length(run) AS BIGINT)) || substr(run, CAST(h % length(run) AS BIGINT) + 2)
+         ELSE run END AS word, n FROM checked),
+words AS (SELECT word, CAST(sum(n) AS BIGINT) AS n FROM slipped WHERE length(word) >= 5 GROUP BY word HAVING sum(n) >= 3),
+cut AS (
+  SELECT word, n, unnest(range(1, length(word) + 1)) AS k FROM words),
+less AS (SELECT word, n, k, substr(word, 1, k - 1) || substr(word, k + 1) AS rest FROM cut),
+near AS (
+  SELECT a.word, b.word AS other, b.n AS other_n FROM less AS a JOIN less AS b ON a.rest = b.rest AND a.k = b.k AND a.word <> b.word
+  UNION SELECT a.word, b.word, b.n FROM less AS a JOIN words AS b ON a.rest = b.word
+  UNION SELECT b.word, a.word, a.n FROM less AS a JOIN words AS b ON a.rest = b.word),
+best AS (
+  SELECT word, count(*) AS n_near, first(other ORDER BY other_n DESC, encode(other)) AS other, max(other_n) AS other_n FROM near GROUP BY word),
+formed AS (
+  SELECT words.word, n, coalesce(n_near, 0) AS n_near, CASE WHEN other_n >= 2 * n THEN other END AS form,
+         CASE WHEN other_n >= 2 * n THEN other_n END AS form_n
+  FROM words LEFT JOIN best ON best.word = words.word),
+way AS (
+  SELECT word, word AS root FROM formed
+  UNION ALL SELECT way.word, formed.form FROM way JOIN formed ON formed.word = way.root WHERE formed.form IS NOT NULL)
+SELECT formed.word, form, root, n, n_near, form_n
+FROM formed JOIN way ON way.word = formed.word WHERE root IN (SELECT word FROM formed WHERE form IS NULL)
+""")
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = spelling.word_counts(table(spark, sf_dir, "documents"), divisor=97)
+    return spelling.variants(words).select("word", "form", "root", "n", "n_near", "form_n")
+
+
+@bind(f"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex({_LOWER.format("coalesce(text, '')")}, '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+w AS (SELECT lang, list_filter(string_split_regex(piece, '[\x20\x09]'), lambda x: x <> '') AS w FROM pieces),
+grams AS (
+  SELECT lang, 1 AS size, unnest(w) AS phrase FROM w
+  UNION ALL SELECT lang, 2, unnest(list_transform(range(1, len(w)), lambda k: w[k] || ' ' || w[k + 1])) FROM w
+  UNION ALL SELECT lang, 3, unnest(list_transform(range(1, len(w) - 1), lambda k: w[k] || ' ' || w[k + 1] || ' ' || w[k + 2])) FROM w),
+f AS (SELECT lang, size, phrase, count(*) AS n FROM grams GROUP BY ALL),
+total AS (SELECT lang, CAST(sum(n) AS BIGINT) AS n FROM f WHERE size = 1 GROUP BY lang),
+c AS (SELECT lang, size, phrase, n AS a, string_split(phrase, ' ') AS w FROM f WHERE size > 1 AND n >= 10),
+cut AS (
+  SELECT *, array_to_string(w[1:k], ' ') AS first_part, array_to_string(w[k + 1:], ' ') AS rest
+  FROM (SELECT *, unnest(range(1, size)) AS k FROM c)),
+cuts AS (
+  SELECT cut.lang, cut.size, cut.phrase, a, k, x.n AS l, y.n AS r,
+         CAST((CAST(1000000 AS HUGEINT) * a * a) // (CAST(x.n AS HUGEINT) * y.n) AS BIGINT) AS score
+  FROM cut JOIN f AS x ON x.lang = cut.lang AND x.phrase = first_part JOIN f AS y ON y.lang = cut.lang AND y.phrase = rest),
+lowest AS (SELECT lang, size, phrase, a, min({{'score': score, 'k': k, 'l': l, 'r': r}}) AS m FROM cuts GROUP BY ALL),
+inner_ AS (
+  SELECT lang, phrase, max(a) AS around
+  FROM (SELECT lang, a, unnest([array_to_string(w[1:2], ' '), array_to_string(w[2:3], ' ')]) AS phrase FROM c WHERE size = 3) GROUP BY ALL),
+ranked AS (
+  SELECT lowest.lang, lowest.phrase, a, m.l AS l, m.r AS r, m.score AS score,
+         row_number() OVER (PARTITION BY lowest.lang ORDER BY m.score DESC, a DESC, encode(lowest.phrase)) AS rank
+  FROM lowest LEFT JOIN inner_ ON inner_.lang = lowest.lang AND inner_.phrase = lowest.phrase
+  WHERE around IS NULL OR 100 * around < 50 * a)
+SELECT ranked.lang, rank, phrase, a, l, r, total.n AS n, score FROM ranked JOIN total ON total.lang = ranked.lang WHERE rank <= 2000
+""")
+def op12_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(phrases.frequent_phrases(table(spark, sf_dir, "documents")))
+
+
+@bind("""
+WITH RECURSIVE v AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e, sqrt(list_dot_product(CAST(embedding AS DOUBLE[]), CAST(embedding AS DOUBLE[]))) AS norm
+  FROM embeddings WHERE len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+pairs AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM v AS a JOIN v AS b ON len(a.e) = len(b.e) AND a.vec_id <> b.vec_id
+  WHERE list_dot_product(a.e, b.e) / (a.norm * b.norm) >= 0.95),
+r(id, seen) AS (SELECT vec_id, vec_id FROM embeddings UNION SELECT r.id, pairs.b FROM r JOIN pairs ON pairs.a = r.seen),
+least AS (SELECT id, min(seen) AS component_id FROM r GROUP BY id)
+SELECT vec_id, (SELECT count(*) FROM pairs WHERE pairs.a = embeddings.vec_id) AS n_links, component_id, vec_id = component_id AS kept
+FROM embeddings JOIN least ON id = vec_id
+""")
+def op13_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hamming.near_vectors(table(spark, sf_dir, "embeddings")).withColumnRenamed("id", "vec_id")

@@ -18,6 +18,6 @@ def test_matches_sql(spark, con, name):
 
 
 def test_all_are_registered():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
     assert {*QUERIES, "pipeline"} <= set(binding.queries())
     assert set(SQL) <= set(binding.oracle_sql())
