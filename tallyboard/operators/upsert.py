@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+from collections import Counter
+from collections.abc import Mapping, Sequence
 from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -108,7 +109,8 @@ def assign_ids(
 
 
 def _table_for(
-    spark: SparkSession, path: str, batch: DataFrame, key: Sequence[str], id_column: str | None, buckets: int | None, grain: str | None
+    spark: SparkSession, path: str, batch: DataFrame, key: Sequence[str], id_column: str | None, buckets: int | None, grain: str | None,
+    sizes: Mapping[str, int],
 ) -> Manifest:
     """The table's newest version, or a first one made for the batch."""
     extra = {id_column: T.LongType()} if id_column else {}
@@ -116,9 +118,11 @@ def _table_for(
     made = tables.current(spark, path)
     if made is None:
         fields = [T.StructField(f.name, f.dataType) for f in batch.schema]
-        made = tables.layout(T.StructType(fields), key, grain, buckets)
-    elif tuple(key) != made.key or grain not in (None, made.grain) or buckets not in (None, made.buckets):
-        raise TableError(f"{path} is kept by {', '.join(made.key)}, {made.grain}, {made.buckets} buckets")
+        made = tables.layout(T.StructType(fields), key, grain, buckets, **sizes)
+    elif tuple(key) != made.key or grain not in (None, made.grain) or buckets not in (None, made.base or made.buckets):
+        raise TableError(f"{path} is kept by {', '.join(made.key)}, {made.grain}, {made.base or made.buckets} buckets to begin with")
+    elif any(getattr(made, name) != n for name, n in sizes.items()):
+        raise TableError(f"{path} has {made.bucket_rows} bucket_rows and {made.pack_rows} pack_rows")
     schema = made.types()
     unknown = [c for c in batch.columns if c not in schema.names]
     if unknown:
@@ -129,17 +133,15 @@ def _table_for(
     return replace(made, schema=schema.json())
 
 
-def _all_new(batch: DataFrame, types: T.StructType, now: dt.datetime) -> DataFrame:
-    """What :func:`merge_rows` gives where the table has no rows yet."""
-    known = {c: F.col(c) for c in batch.columns} | {c: F.lit(now).cast("timestamp_ntz") for c in ("created_at", "updated_at")}
-    values = [known.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in types]
-    return batch.select(*values, F.lit(INSERTED).alias("status"))
+def _rows_by_part(rows: DataFrame, made: Manifest) -> dict[str, int]:
+    found = rows.groupBy(made.part_of().alias(PART)).agg(F.count(F.lit(1)).alias("rows")).collect()
+    return {str(r[PART]): r["rows"] for r in found}
 
 
 def upsert_table(
     spark: SparkSession, path: str, batch: DataFrame, key: Sequence[str], seq: Sequence[str],
     now: dt.datetime, id_column: str | None = "id", stored: Sequence[str] | None = None,
-    buckets: int | None = None, grain: str | None = None, null_keys: str = FAIL,
+    buckets: int | None = None, grain: str | None = None, null_keys: str = FAIL, **sizes: int,
 ) -> DataFrame:
     """Upsert ``batch`` into the table at ``path`` and return the report.
 
@@ -149,16 +151,18 @@ def upsert_table(
     others. Rows with a null key stop the job before anything is written, or, with
     ``null_keys="skip"``, are left out and counted as ``rejected``.
 
-    Only partitions the batch touches are read. They are written to a new folder, and one manifest
-    switches the table: a job that stops before that changes nothing and can be run again, as can one
-    that lost against another writer.
+    Only packs that the batch touches are read, and of those first the keys, which give the new rows, their ids and
+    the rows of each partition. Then batch and old rows are joined once and written once to a new folder, and one
+    manifest switches the table: a job that stops before that changes nothing and can be run again, as can one that lost against
+    another writer. A table in buckets that has become too large for them splits some; those are written anew as well.
+    ``sizes`` are ``bucket_rows`` and ``pack_rows`` of a new table.
     """
     if null_keys not in (FAIL, SKIP):
         raise ValueError(f"null_keys is {FAIL!r} or {SKIP!r}, not {null_keys!r}")
     key = list(key)
     columns = list(stored or batch.columns)
-    made = _table_for(spark, path, batch.select(*columns), key, id_column, buckets, grain)
-    types = made.types()
+    made = _table_for(spark, path, batch.select(*columns), key, id_column, buckets, grain, sizes)
+    types, before = made.types(), made
     typed = conform(batch, {c: types[c].dataType for c in columns if batch.schema[c].dataType != types[c].dataType})
     with Scratch(spark) as scratch:
         # Rows without a key are one group here, so one of them arrives at most for each task.
@@ -173,28 +177,38 @@ def upsert_table(
                 raise ValueError(f"rows without a key ({', '.join(key)}); null_keys='skip' leaves them out")
             rejected = batch.where(~with_full_key(batch, key)).count()
         names = [str(r[PART]) for r in touched if r["rows"]]
-        figures = dict.fromkeys((INSERTED, UPDATED, KEPT), 0)
+        processed = sum(r["rows"] for r in touched)
+        inserted = 0
         if names:
             incoming = newest.where(whole).drop(PART)
-            if any(n in made.parts for n in names):
-                old = tables.read_parts(spark, path, made, names)
-                merged = merge_rows(old, incoming, key, now, on_insert=[id_column] if id_column else [])
+            reread = made.with_neighbours(names)
+            keys = incoming.select(*key)
+            if reread:
+                keys = keys.join(tables.read_parts(spark, path, made, reread).select(*key), key, "left_anti")
+            if id_column:
+                keys = assign_ids(keys, key, made.highest, id_column, processed, place=scratch.stage)
+            keys = scratch.stage(keys, "new-keys")
+            fresh = _rows_by_part(keys, made)
+            inserted = sum(fresh.values())
+            grown = made.grown(made.rows() + inserted)
+            if grown.buckets == made.buckets:
+                rows = {n: made.parts[n].rows for n in reread}
+                rows |= {n: rows.get(n, 0) + m for n, m in fresh.items()}
             else:
-                merged = _all_new(incoming, types, now)
-            merged = scratch.stage(merged.withColumn(PART, made.part_of()), "merged")
-            counted = merged.groupBy(PART, "status").agg(F.count(F.lit(1)).alias("rows")).collect()
-            rows = dict.fromkeys(names, 0)
-            for r in counted:
-                rows[str(r[PART])] += r["rows"]
-                figures[r["status"]] += r["rows"]
-            fresh = merged.where(F.col("status") == INSERTED)
-            result = merged
-            if id_column and figures[INSERTED]:
-                ids = assign_ids(fresh.select(*key), key, made.highest, id_column, figures[INSERTED], place=scratch.stage)
-                result = fresh.drop(id_column).join(ids, key).unionByName(merged.where(F.col("status") != INSERTED))
-            folder = tables.write_parts(result.select(*types.names, PART), path)
-            tables.switch(spark, path, tables.replaced(made, folder, rows, highest=made.highest + figures[INSERTED]))
-            made = tables.current(spark, path)
-    total, processed = made.rows(), figures[INSERTED] + figures[UPDATED]
-    report = (figures[INSERTED], figures[UPDATED], total - processed, processed, total, rejected)
+                reread = made.with_neighbours([*names, *made.split(grown)])
+                rows = Counter(_rows_by_part(keys, grown))
+                rows.update(_rows_by_part(tables.read_parts(spark, path, made, reread).select(*key), grown))
+                made = replace(grown, parts={n: p for n, p in made.parts.items() if n not in set(reread)})
+            incoming = incoming.drop(id_column).join(keys, key, "left") if id_column else incoming
+            if reread:
+                old = tables.read_parts(spark, path, before, reread)
+                result = merge_rows(old, incoming, key, now, on_insert=[id_column] if id_column else [])
+            else:
+                known = {c: F.col(c) for c in incoming.columns} | {c: F.lit(now).cast("timestamp_ntz") for c in ("created_at", "updated_at")}
+                result = incoming.select(*[known.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in types])
+            result = result.select(*types.names, made.part_of().alias(PART))
+            made = tables.write_parts(result, path, made, rows, highest=made.highest + inserted)
+            tables.switch(spark, path, made)
+    total = made.rows()
+    report = (inserted, processed - inserted, total - processed, processed, total, rejected)
     return spark.createDataFrame([report], ", ".join(f"{c} bigint not null" for c in REPORT))
