@@ -44,24 +44,37 @@ def number_rows(df: DataFrame, order: Sequence[str], name: str = "id", start: in
     return _number(df, order, name, F.lit(start), place).drop(_PART)
 
 
-def rank_in_groups(df: DataFrame, groups: Sequence[str], order: Sequence[str], name: str = "rank") -> DataFrame:
+#: A group of more rows is spread over tasks; a smaller one is sorted and numbered by one.
+GROUP_ROWS = 1_000_000
+#: Up to so many large groups, their first numbers are sent to all tasks.
+SENT_GROUPS = 100_000
+
+
+def _same(groups: Sequence[str], other: str) -> Column:
+    same = F.lit(True)
+    for g in groups:
+        same = same & F.col(g).eqNullSafe(F.col(f"{other}{g}"))
+    return same
+
+
+def rank_in_groups(df: DataFrame, groups: Sequence[str], order: Sequence[str], name: str = "rank", place: Stage = stage) -> DataFrame:
     """0-based rank of each row in its group, like ``row_number() - 1`` over a partitioned window.
 
-    ``groups`` plus ``order`` must be unique per row. A group may span many range partitions: each
-    (partition, group) pair is joined to the first number of its whole group, so no task ever
-    holds more of a group than one range partition does.
+    ``groups`` plus ``order`` must be unique per row. Groups are counted first, with a partial count per task. Those of up to
+    ``GROUP_ROWS`` rows are shuffled once and numbered by a window. Larger ones, of which there are few, are dealt by
+    ranges of their order and numbered through: where each range partition's first row stands, and where each group starts, is one
+    short row a partition and group, which goes to all tasks, so nothing is shuffled after the range sort.
     """
-    numbered = _number(df, [*groups, *order], "_number", F.lit(0))
-    pairs = numbered.groupBy(_PART, *groups).agg(F.min("_number").alias("_first"))
-    # At most one row per range partition in each window group.
-    starts = pairs.select(
-        F.col(_PART).alias("_start_part"),
-        *[F.col(g).alias(f"_start_{g}") for g in groups],
-        F.min("_first").over(W.partitionBy(*groups)).alias("_start"),
-    )
-    same = F.col(_PART) == F.col("_start_part")
-    for g in groups:
-        same = same & F.col(g).eqNullSafe(F.col(f"_start_{g}"))
-    return numbered.join(starts, same).select(
-        *df.columns, (F.col("_number") - F.col("_start")).alias(name)
-    )
+    rows = place(df, "ranked")
+    within = W.partitionBy(*groups).orderBy(*order)
+    large = place(rows.groupBy(*groups).agg(F.count(F.lit(1)).alias("_rows")).where(F.col("_rows") > GROUP_ROWS).select(*[F.col(g).alias(f"_large_{g}") for g in groups]), "large-groups")
+    number = large.count()
+    if not number:
+        return rows.withColumn(name, (F.row_number().over(within) - 1).cast("bigint"))
+    large = F.broadcast(large) if number <= SENT_GROUPS else large
+    few = rows.join(large, _same(groups, "_large_"), "left_anti").withColumn(name, (F.row_number().over(within) - 1).cast("bigint"))
+    numbered = _number(rows.join(large, _same(groups, "_large_"), "left_semi"), [*groups, *order], "_number", F.lit(0), place)
+    starts = numbered.groupBy(*groups).agg(F.min("_number").alias("_start")).select(*[F.col(g).alias(f"_start_{g}") for g in groups], "_start")
+    starts = F.broadcast(starts) if number <= SENT_GROUPS else starts
+    many = numbered.join(starts, _same(groups, "_start_")).select(*df.columns, (F.col("_number") - F.col("_start")).cast("bigint").alias(name))
+    return few.unionByName(many)

@@ -10,7 +10,7 @@ from functools import reduce
 from typing import Any
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -349,34 +349,135 @@ class Rejected:
     reason: str
 
 
-def _fuse_key(spec: ChartSpec, q: Query) -> tuple | None:
-    """Charts with equal keys read the same rows the same way; None if the chart stands alone."""
-    if spec.having.strip() or (q.order == "metric" and q.limit is not None):
-        return None
-    keys = tuple((k.name, k.origin) for k in q.keys)
+def _same_rows(spec: ChartSpec) -> tuple:
+    """Charts with equal values read the same rows."""
     filters = tuple((f.column, f.operator, repr(f.value)) for f in spec.filters)
-    return keys, q.descending, q.limit, repr(spec.time_range), spec.where.strip(), filters
+    return repr(spec.time_range), spec.where.strip(), filters
+
+
+def _cell(chart: str, label: str, c: Column, kind: T.DataType) -> list[Column]:
+    """Chart, metric, value and text of a metric column."""
+    number = c.cast("double") if isinstance(kind, T.NumericType) else F.lit(None).cast("double")
+    text = F.lit(None).cast("string") if isinstance(kind, T.FractionalType) and not isinstance(kind, T.DecimalType) else c.cast("string")
+    return [F.lit(chart), F.lit(label), number, text]
+
+
+def _x_value(keys: Sequence[Column]) -> Column:
+    """The key as text; several keys are a JSON array, which tells nulls and separators inside a key apart."""
+    xs = [k.cast("string") for k in keys] or [F.lit(None).cast("string")]
+    return xs[0] if len(xs) == 1 else F.to_json(F.array(*xs))
 
 
 def _long(df: DataFrame, keys: Sequence[str], cells: Sequence[tuple[str, str, str]]) -> DataFrame:
     """Long rows from columns; ``cells`` holds chart, metric label, column."""
-    xs = [F.col(quoted(k)).cast("string") for k in keys] or [F.lit(None).cast("string")]
-    # Several keys are a JSON array, which tells nulls and separators inside a key apart.
-    x = xs[0] if len(xs) == 1 else F.to_json(F.array(*xs))
-    args: list[Column] = []
-    for name, label, column in cells:
-        c, kind = F.col(quoted(column)), df.schema[column].dataType
-        number = c.cast("double") if isinstance(kind, T.NumericType) else F.lit(None).cast("double")
-        text = F.lit(None).cast("string") if isinstance(kind, T.FractionalType) and not isinstance(kind, T.DecimalType) else c.cast("string")
-        args += [F.lit(name), F.lit(label), number, text]
+    args = [part for name, label, column in cells for part in _cell(name, label, F.col(quoted(column)), df.schema[column].dataType)]
     stacked = F.stack(F.lit(len(cells)), *args).alias("chart", "metric", "value", "text")
-    return df.select(x.alias("x"), stacked).select("chart", "x", "metric", "value", "text")
+    return df.select(_x_value([F.col(quoted(k)) for k in keys]).alias("x"), stacked).select("chart", "x", "metric", "value", "text")
 
 
 def _alone(data: Dataset, spec: ChartSpec, q: Query) -> DataFrame:
     return _long(chart(data, spec), [k.name for k in q.keys], [(spec.name, m.label, m.label) for m in q.metrics])
 
 
+_SET, _EMPTY, _OF, _NTH = "_batch_set", "_batch_empty", "_batch_chart", "_batch_nth"
+#: A rank that no row of a chart without a limit reaches: each of its rows is ranked nearly alone.
+_BEYOND = 1000
+#: The setting that says up to which rank tasks drop rows before a shuffle.
+_EARLY_LIMIT = "spark.sql.optimizer.windowGroupLimitThreshold"
+#: Shares of a chart with a larger limit, each of which keeps as many rows as the limit.
+_SHARES = 64
+
+
+#: Metrics that a hash table of groups can hold.
+_HASHED = (T.NumericType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)
+
+
+def _key_name(j: int) -> str:
+    return f"_batch_key_{j}"
+
+
+def _shared_aggregate(rows: DataFrame, keys: Mapping[str, Key], sets: Sequence[tuple[str, ...]], aggregates: Sequence[Column]) -> DataFrame:
+    """All aggregates for each set of keys, with the number of the set, from one reading of the rows.
+
+    Without keys there is a row even where there are no rows to read. It is made from an empty frame, which costs no
+    reading, and marked, as it only counts if no other row of its set is there.
+    """
+    names = {origin: _key_name(j) for j, origin in enumerate(keys)}
+    keyed = rows.withColumns({names[o]: k.column for o, k in keys.items()})
+    columns = [F.col(n) for n in names.values()]
+    if len(sets) == 1:
+        found = keyed.groupBy(*columns).agg(*aggregates).withColumn(_SET, F.lit(0))
+    else:
+        grouped = keyed.groupingSets([[F.col(names[o]) for o in s] for s in sets], *columns).agg(F.grouping_id(*columns).alias("_batch_id"), *aggregates)
+        # Bits of the id are set for keys that a set does without, the first key's being the highest.
+        ids = [sum(1 << (len(names) - 1 - j) for j, o in enumerate(names) if o not in s) for s in sets]
+        number = F.coalesce(*[F.when(F.col("_batch_id") == g, F.lit(k)) for k, g in enumerate(ids)])
+        found = grouped.withColumn(_SET, number).drop("_batch_id")
+    found = found.withColumn(_EMPTY, F.lit(False))
+    if () not in sets:
+        return found
+    nothing = keyed.where(F.lit(False))
+    kinds = {f.name: f.dataType for f in keyed.schema}
+    nothing = nothing.agg(*aggregates).withColumns({n: F.lit(None).cast(kinds[n]) for n in names.values()} | {_SET: F.lit(list(sets).index(())), _EMPTY: F.lit(True)})
+    return found.unionByName(nothing)
+
+
+def _first_rows(rows: DataFrame, share: Sequence[Column], order: Sequence[Column], limits: Mapping[int, int]) -> DataFrame:
+    """The first rows of each chart and share, by the chart's limit; rows of charts without one stay."""
+    nth = F.row_number().over(Window.partitionBy(_OF, *share).orderBy(*order))
+    rows = rows.withColumn(_NTH, nth).where(F.col(_NTH) <= max(_BEYOND, *limits.values()))
+    return rows.where(F.coalesce(*[F.when(F.col(_OF) == i, F.col(_NTH) <= n) for i, n in limits.items()], F.lit(True))).drop(_NTH)
+
+
+def _fused(data: Dataset, members: Sequence[tuple[ChartSpec, Query]]) -> DataFrame:
+    """Charts over the same rows as one plan: one aggregate over all their keys, one ranking for all their limits."""
+    keys = {k.origin: k for _, q in members for k in q.keys}
+    sets = list(dict.fromkeys(tuple(sorted(k.origin for k in q.keys)) for _, q in members))
+    numbered = [(i, m) for i, (_, q) in enumerate(members) for m in q.metrics]
+    wide = _shared_aggregate(source_rows(data, members[0][0]), keys, sets, [m.aliased(f"_batch_metric_{j}") for j, (_, m) in enumerate(numbered)])
+    key_of = {origin: F.col(_key_name(j)) for j, origin in enumerate(keys)}
+    own = [[j for j, (k, _) in enumerate(numbered) if k == i] for i in range(len(members))]
+    charts_of = [[i for i, (_, q) in enumerate(members) if tuple(sorted(k.origin for k in q.keys)) == s] for s in sets]
+    chosen = F.coalesce(*[F.when(F.col(_SET) == k, F.array(*map(F.lit, found))) for k, found in enumerate(charts_of)])
+    rows = wide.withColumn(_OF, F.explode(chosen))
+
+    def only(i: int, c: Column) -> Column:
+        return F.when(F.col(_OF) == i, c)
+
+    # One order for all: in the rows of a chart, the other charts' terms are null.
+    order, limits = [F.asc(_EMPTY)], {}
+    for i, (_, q) in enumerate(members):
+        limit = q.limit if q.keys else 1
+        if limit is None:
+            continue
+        limits[i] = limit
+        down = F.desc_nulls_last if q.descending else F.asc_nulls_last
+        by = [key_of[k.origin] for k in q.keys]
+        if q.order == "metric":
+            order += [down(only(i, F.col(f"_batch_metric_{own[i][0]}"))), *[F.asc_nulls_last(only(i, c)) for c in by]]
+        else:
+            order += [down(only(i, c)) for c in by]
+    if limits:
+        spread = F.xxhash64(*key_of.values()) if keys else F.lit(0).cast("long")
+        alone = F.when(~F.col(_OF).isin(*limits), spread)
+        # Up to a set limit Spark lets tasks drop rows before the shuffle; a larger one is first taken from shares of a chart.
+        if max(limits.values()) > int(rows.sparkSession.conf.get(_EARLY_LIMIT)):
+            rows = _first_rows(rows, [F.coalesce(alone, F.pmod(spread, F.lit(_SHARES)))], order, limits)
+        rows = _first_rows(rows, [alone], order, limits)
+    x = F.coalesce(*[only(i, _x_value([key_of[k.origin] for k in q.keys])) for i, (_, q) in enumerate(members)])
+    kinds = {f.name: f.dataType for f in wide.schema}
+
+    def cells(i: int) -> Column:
+        made = []
+        for j in own[i]:
+            parts = _cell(members[i][0].name, numbered[j][1].label, F.col(f"_batch_metric_{j}"), kinds[f"_batch_metric_{j}"])
+            made.append(F.struct(*[p.alias(n) for p, n in zip(parts, ("chart", "metric", "value", "text"), strict=True)]))
+        return F.array(*made)
+
+    filled = rows.select(x.alias("x"), F.explode(F.coalesce(*[only(i, cells(i)) for i in range(len(members))])).alias("cell"))
+    return filled.select("cell.chart", "x", "cell.metric", "cell.value", "cell.text")
+
+
 def chart_batch(
     data: Dataset, specs: Sequence[ChartSpec | Mapping[str, Any]]
 ) -> tuple[DataFrame | None, list[Rejected]]:
@@ -385,9 +486,10 @@ def chart_batch(
     The long form has columns chart, x, metric, value and text. ``x`` is the key, or a JSON array of several
     keys. ``text`` holds whole numbers and decimals digit for digit, and what is no number.
 
-    Charts with the same keys, filters and limit share one aggregation, so a dashboard of many
-    metrics reads its table once per grouping and not once per chart. Bad specs are found while
-    plans are built; no job runs for them.
+    Charts over the same rows (equal filters) are one plan: one aggregate over the sets of all their keys reads the table
+    once, however many charts there are and whatever they are split by, and one ranking takes each chart's limit in its own order.
+    Charts with a metric that is no number or time, such as the least of a text, are a plan of their own: Spark sorts rows for
+    them, and would sort those of all others. Charts with a condition on their groups stand alone. Bad specs are found while plans are built; no job runs for them.
     """
     rejected: list[Rejected] = []
     fused: dict[Any, list[tuple[ChartSpec, Query]]] = {}
@@ -396,19 +498,10 @@ def chart_batch(
         try:
             spec = raw if isinstance(raw, ChartSpec) else ChartSpec.from_dict(raw)
             q = plan_query(data, spec)
-            _alone(data, spec, q)
-            fused.setdefault(_fuse_key(spec, q) or i, []).append((spec, q))
+            kinds = {f.name: f.dataType for f in chart(data, spec).schema}
+            hashed = all(isinstance(kinds[m.label], _HASHED) for m in q.metrics)
+            fused.setdefault(i if spec.having.strip() else (hashed, *_same_rows(spec)), []).append((spec, q))
         except (ChartError, M.MetricError, AnalysisException, TypeError, ValueError) as error:
             rejected.append(Rejected(name, str(error).splitlines()[0]))
-    parts = []
-    for members in fused.values():
-        spec, q = members[0]
-        if len(members) == 1:
-            parts.append(_alone(data, spec, q))
-            continue
-        numbered = [(s, m) for s, mq in members for m in mq.metrics]
-        aggregates = [m.aliased(f"_m{j}") for j, (_, m) in enumerate(numbered)]
-        grouped = _aggregate(source_rows(data, spec), q.keys, aggregates)
-        wide = _limited(grouped, Query(q.keys, (), "keys", q.descending, q.limit))
-        parts.append(_long(wide, [k.name for k in q.keys], [(s.name, m.label, f"_m{j}") for j, (s, m) in enumerate(numbered)]))
+    parts = [_alone(data, *members[0]) if len(members) == 1 else _fused(data, members) for members in fused.values()]
     return (reduce(DataFrame.unionByName, parts) if parts else None), rejected

@@ -11,6 +11,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # A hot key costs more than the extra shuffle that splitting it may need.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Tasks keep the first rows of a chart for limits up to that of a series, and send on no others.
+    "spark.sql.optimizer.windowGroupLimitThreshold": "10000",
     "spark.sql.ansi.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     # Column calls need no record of the line they came from; keeping it makes wide plans slow to build.

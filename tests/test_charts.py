@@ -1,8 +1,10 @@
 import datetime as dt
+import re
 from decimal import Decimal
 
 import pytest
 from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
 
 from tallyboard.plans import charts, metrics
 from tallyboard.plans.charts import ChartSpec, Dataset, chart
@@ -156,6 +158,7 @@ def test_batch_keeps_good_charts(data):
         ("b", "Bad", "AVG(nps_score)", 30.0, None), ("b", "Good", "AVG(nps_score)", 35.0, None),
         ("b", None, "AVG(nps_score)", 10.0, None), ("c", "Bad", "COUNT(*)", 1.0, "1"),
     ], key=str)
+    # One exchange to aggregate all keys, one to rank; the third row is that of an empty table.
     plan = long._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1]
     assert plan.count("Exchange hashpartitioning") == 2 and plan.count("Exchange SinglePartition") == 1
     assert charts.chart_batch(data, [{"name": "x"}])[0] is None
@@ -248,3 +251,56 @@ def test_filter_objects(data):
     assert kept({"subject": "tier", "operator": "IS NULL"}) + kept({"col": "tier", "op": "IS NOT NULL"}) == every
     assert kept({"col": "tier", "op": "IN", "val": ["Good"]}) + kept({"col": "tier", "op": "NOT IN", "val": ["Good"]}) == kept({"col": "tier", "op": "IS NOT NULL"})
     assert kept({"col": "tier", "op": "LIKE", "val": "G%"}) == kept({"col": "tier", "op": "==", "val": "Good"})
+
+
+def plain(df):
+    return sorted(map(tuple, df.collect()), key=repr)
+
+
+BATCH = [
+    {"name": "all", "viz_type": "big_number_total"},
+    {"name": "some", "viz_type": "big_number_total", "metric": "COUNT(DISTINCT g)"},
+    {"name": "days", "viz_type": "bar", "metric": "v"},
+    {"name": "late", "viz_type": "bar", "metric": "v", "order_desc": True, "custom_params": {"row_limit": 3}},
+    {"name": "groups", "viz_type": "line", "metric": "AVG(v)", "x_axis": "g"},
+    {"name": "first", "viz_type": "bubble", "metric": "SUM(v)", "custom_params": {"x": "g", "y": "v", "series": "h", "row_limit": 4}},
+    {"name": "last", "viz_type": "bubble", "metric": "COUNT(*)", "order_desc": False, "custom_params": {"x": "h", "y": "v", "series": "g", "row_limit": 5}},
+    {"name": "table", "viz_type": "table", "custom_params": {"groupby": ["g"], "metrics": ["MAX(v)", "COUNT(DISTINCT h)"]}},
+    {"name": "none", "viz_type": "line", "metric": "AVG(v)", "x_axis": "h", "custom_params": {"row_limit": 0}},
+    {"name": "condition", "viz_type": "table", "metric": "COUNT(*)", "having": "`count(1)` > 20", "custom_params": {"groupby": ["g"]}},
+]
+
+
+@pytest.mark.parametrize(("rows", "early"), [(0, 10000), (1, 10000), (200, 10000), (200, 2)])
+def test_batch_equals_its_charts(spark, rows, early):
+    """Rows, groups with nulls, ties, limits in both orders, and no rows at all."""
+    before = spark.conf.get(charts._EARLY_LIMIT)
+    spark.conf.set(charts._EARLY_LIMIT, early)
+    df = spark.range(rows).select(
+        F.date_add(F.lit("2024-01-01").cast("date"), (F.col("id") % 9).cast("int")).alias("date"),
+        F.when(F.col("id") % 5 > 0, F.concat(F.lit("g"), F.col("id") % 5)).alias("g"), (F.col("id") % 3).alias("h"), (F.col("id") % 7).alias("v"),
+    )
+    specs = [s for s in BATCH if s["name"] != "condition"]
+    long, rejected = charts.chart_batch(Dataset(df), specs)
+    assert rejected == []
+    want = [row for s in specs for row in plain(charts._alone(Dataset(df), ChartSpec.from_dict(s), charts.plan_query(Dataset(df), ChartSpec.from_dict(s))))]
+    got = plain(long)
+    spark.conf.set(charts._EARLY_LIMIT, before)
+    assert got == sorted(want, key=repr)
+
+
+def test_batch_reads_its_table_once(spark, tmp_path):
+    spark.range(50).selectExpr("date_add(date'2024-01-01', cast(id % 9 as int)) date", "id % 5 g", "id % 3 h", "id % 7 v").write.parquet(f"{tmp_path}/t")
+    data = Dataset(spark.read.parquet(f"{tmp_path}/t"))
+    long, rejected = charts.chart_batch(data, [s for s in BATCH if not s.get("having")])
+    assert rejected == []
+    plan = long._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and "Expand [" in plan and "WindowGroupLimit" in plan
+    # A limit beyond the setting is first taken from shares of a chart, so that no task gets all its groups.
+    more = [*BATCH[:3], {**BATCH[3], "custom_params": {"row_limit": 20_000}}]
+    plan = charts.chart_batch(data, more)[0]._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Window [row_number()") == 2 and re.search(r"pmod\(xxhash64", plan)
+    # Two bubbles over the same keys: one aggregate.
+    pair = [s for s in BATCH if s["viz_type"] == "bubble"]
+    plan = charts.chart_batch(data, pair)[0]._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and plan.count("HashAggregate(") == 2 and "Expand" not in plan and "WindowGroupLimit" in plan

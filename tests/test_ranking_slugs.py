@@ -8,7 +8,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tallyboard.functions.text import slugify
-from tallyboard.operators import slugs
+from tallyboard.operators import ranking, slugs
 from tallyboard.operators.ranking import number_rows, rank_in_groups
 from tallyboard.operators.slugs import unique_slugs
 
@@ -20,7 +20,10 @@ def test_numbers_have_no_gaps(spark):
     assert number_rows(df.where("false"), ["k"]).count() == 0
 
 
-def test_rank_equals_window_with_a_hot_group_and_nulls(spark):
+@pytest.mark.parametrize(("most", "sent"), [(10**6, 10**5), (500, 10**5), (500, 0), (10, 10**5), (0, 10**5)])
+def test_rank_equals_window_with_a_hot_group_and_nulls(spark, monkeypatch, most, sent):
+    monkeypatch.setattr(ranking, "GROUP_ROWS", most)
+    monkeypatch.setattr(ranking, "SENT_GROUPS", sent)
     group = F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 50 == 1, F.lit(None)).otherwise(
         (F.col("id") % 97).cast("string")
     )
@@ -30,13 +33,16 @@ def test_rank_equals_window_with_a_hot_group_and_nulls(spark):
     assert got.exceptAll(want).count() == 0 and got.count() == 9000
 
 
-def test_hot_group_is_split_over_tasks(spark):
-    """No task numbers the whole of a group that holds every row."""
+def test_hot_group_is_split_over_tasks(spark, monkeypatch):
+    """No task numbers the whole of a group that holds every row, and no row is shuffled after the range sort."""
+    monkeypatch.setattr(ranking, "GROUP_ROWS", 100)
     df = spark.range(20000).select(F.lit("hot").alias("g"), F.col("id").alias("o"))
     ranked = rank_in_groups(df, ["g"], ["o"]).withColumn("task", F.spark_partition_id())
     assert ranked.where("rank <> o").count() == 0
     plan = ranked._jdf.queryExecution().executedPlan().toString()
     assert "SinglePartition" not in plan.split("BroadcastExchange")[0]
+    many = plan.split("Union")[1].split("LeftAnti")[1]
+    assert "SortMergeJoin" not in many and "rangepartitioning" not in many
 
 
 def test_slug_rules(spark):
