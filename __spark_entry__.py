@@ -885,17 +885,37 @@ GROUP BY 1
 """)
 def removed_members(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Position maps made from the lines of each order, without every seventh part."""
+    maps = _position_maps(spark, sf_dir)
+    return _entries(maps.withColumn("position", reconcile.without_members("position", lambda part: part % 7 == 0)))
+
+
+def _position_maps(spark: SparkSession, sf_dir: str) -> DataFrame:
     entry = F.struct(
         F.concat(F.lit("CHART-"), F.col("l_linenumber").cast("string")).alias("key"),
         F.struct(F.struct(F.col("l_partkey").alias("chartId")).alias("meta"), F.lit("CHART").alias("type")).alias("value"),
     )
     lines = _table(spark, sf_dir, "lineitem").groupBy("l_orderkey", "l_linenumber").agg(F.max("l_partkey").alias("l_partkey"))
-    maps = lines.groupBy("l_orderkey").agg(F.to_json(F.map_from_entries(F.collect_list(entry))).alias("position"), F.count(F.lit(1)).alias("before"))
-    left = reconcile.without_members("position", lambda part: part % 7 == 0)
-    inside = F.regexp_replace(left, r"^\{|\}$", "")
+    return lines.groupBy("l_orderkey").agg(F.to_json(F.map_from_entries(F.collect_list(entry))).alias("position"), F.count(F.lit(1)).alias("before"))
+
+
+def _entries(maps: DataFrame) -> DataFrame:
+    """What is left of each map, as text that SQL can put together as well."""
+    inside = F.regexp_replace("position", r"^\{|\}$", "")
     return maps.select("l_orderkey", F.when(inside != "", F.concat(inside, F.lit(","))).alias("charts"), "before")
 
 
+@_bind("""
+SELECT l_orderkey, string_agg('"CHART-' || l_linenumber || '":{"meta":{"chartId":' || l_partkey || '},"type":"CHART"},', ''
+         ORDER BY l_linenumber) FILTER (WHERE l_partkey NOT IN (SELECT p_partkey FROM part WHERE p_size < 20)) AS charts, count(*) AS before
+FROM (SELECT DISTINCT l_orderkey, l_linenumber, max(l_partkey) OVER (PARTITION BY l_orderkey, l_linenumber) AS l_partkey FROM lineitem)
+GROUP BY 1
+""")
+def removed_listed_members(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same maps without the parts that a table lists."""
+    small = _table(spark, sf_dir, "part").where("p_size < 20").select("p_partkey")
+    return _entries(reconcile.without_listed_members(_position_maps(spark, sf_dir), ["l_orderkey"], "position", small, "p_partkey"))
+
+
 # --- text ---------------------------------------------------------------------------------------------
 
 _SLUG = "regexp_replace(translate(lower({}), ' _', '--'), '[^a-z0-9-]', '', 'g')"

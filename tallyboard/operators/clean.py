@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tallyboard.scratch import stage
+
 from tallyboard.functions.calendar import as_column
 
 
@@ -58,16 +60,24 @@ def conform(df: DataFrame, kinds: Mapping[str, str | T.DataType]) -> DataFrame:
     return df.withColumns({c: strict_cast(c, t) for c, t in kinds.items()})
 
 
+_FITS = "_conform_fits"
+
+
 def conform_or_reject(df: DataFrame, kinds: Mapping[str, str | T.DataType]) -> tuple[DataFrame, DataFrame]:
-    """Rows that fit the types, converted, and the rows with a value that does not, as they came."""
+    """Rows that fit the types, converted, and the rows with a value that does not, as they came.
+
+    The input is evaluated once: marked rows are written, and both frames are read from there, so they complete each other even if
+    the input could change.
+    """
     def misfit(c: str) -> Column:
         return F.col(c).isNotNull() & F.col(c).try_cast(_kind(kinds[c])).isNull()
 
     wrong = F.lit(False)
     for c in kinds:
         wrong = wrong | misfit(c)
-    good = df.where(~wrong).withColumns({c: F.col(c).try_cast(_kind(t)) for c, t in kinds.items()})
-    return good, df.where(wrong)
+    marked = stage(df.withColumn(_FITS, ~wrong), "conformed")
+    good = marked.where(_FITS).drop(_FITS).withColumns({c: F.col(c).try_cast(_kind(t)) for c, t in kinds.items()})
+    return good, marked.where(~F.col(_FITS)).drop(_FITS)
 
 
 def key_violations(df: DataFrame, key: Sequence[str] | str) -> DataFrame:

@@ -78,3 +78,23 @@ def without_members(text: Column | str, gone: Callable[[Column], Column], path:
         return ~F.coalesce(gone(F.try_variant_get(value, path, "bigint")), F.lit(False))
 
     return F.to_json(F.map_filter(entries, stays))
+
+
+_HELD, _GONE = "_held_members", "_gone_members"
+
+
+def without_listed_members(
+    df: DataFrame, key: Sequence[str], text: str, gone: DataFrame, gone_id: str, path: str = "$.meta.chartId"
+) -> DataFrame:
+    """``df`` with JSON objects in ``text`` as :func:`without_members` leaves them, where the ids to remove are rows of a table.
+
+    ``key`` is unique per row. Only keys and ids of entries meet the table, once each; texts are not exploded, and are only joined
+    with the few rows that hold a listed id. A null id is in no list.
+    """
+    ids = F.transform(F.map_values(F.try_parse_json(text).try_cast("map<string, variant>")), lambda v: F.try_variant_get(v, path, "bigint"))
+    held = df.select(*key, F.explode(F.array_distinct(F.array_compact(ids))).alias(_HELD))
+    listed = present_rows(held, gone.select(F.col(gone_id).cast("bigint").alias(_HELD)), _HELD)
+    found = listed.groupBy(*key).agg(F.collect_list(_HELD).alias(_GONE))
+    joined = df.join(found, list(key), "left")
+    kept = without_members(text, lambda c: F.array_contains(F.coalesce(_GONE, F.array().cast("array<bigint>")), c), path)
+    return joined.select(*[kept.alias(c) if c == text else F.col(c) for c in df.columns])

@@ -103,8 +103,7 @@ def test_csv_columns_match_by_name_in_every_file(spark, tmp_path):
     assert got.dtypes == [("a", "int"), ("b", "string")]
     assert sorted(tuple(r) for r in got.collect()) == [(1, 'x, "y"'), (2, None)]
     write(tmp_path, "many/3.csv", "b,a", "z,3")
-    with pytest.raises(Exception, match="header does not conform"):
-        csv.read_csv(spark, folder, schema).collect()
+    assert sorted(tuple(r) for r in csv.read_csv(spark, folder, schema).collect()) == [(1, 'x, "y"'), (2, None), (3, "z")]
 
 
 def test_csv_bad_cell_and_missing_path(spark, tmp_path):
@@ -171,3 +170,33 @@ def test_scratch_paths(spark):
     assert not os.path.exists(path)
     with pytest.raises(ValueError):
         drop_folder(spark, "/data/other")
+
+
+def csv_folder(tmp_path, *texts):
+    for k, text in enumerate(texts):
+        (tmp_path / f"{k}.csv").write_text(text)
+    return str(tmp_path)
+
+
+@pytest.mark.parametrize("typed", [False, True])
+def test_files_with_different_headers_are_read_by_name(spark, tmp_path, typed):
+    path = csv_folder(tmp_path, "a,b\n1,2\n", "b,a\n3,4\n", "\na,b\n5,6\n", "c,a\nx,7\n", "a,b\n8,\n", "a\n")
+    schema = load.T.StructType.fromDDL("a int, b int, c string") if typed else None
+    got = csv.read_csv(spark, path, schema, position="_place")
+    assert set(got.columns[:-1]) == {"a", "b", "c"} and got.columns[-1] == "_place" and dict(got.dtypes)["b"] == "int"
+    assert sorted((int(r.a), r.b, r.c) for r in got.collect()) == [(1, 2, None), (4, 3, None), (5, 6, None), (7, None, "x"), (8, None, None)]
+
+
+def test_files_that_disagree_on_types(spark, tmp_path):
+    path = csv_folder(tmp_path, "a,b,odd name\n1,2,x\n", "b,a,odd name\nx,4.5,y\n")
+    got = csv.read_csv(spark, path)
+    assert dict(got.dtypes) == {"a": "double", "b": "string", "odd name": "string"}
+    assert sorted(tuple(r) for r in got.select("a", "b", "odd name").collect()) == [(1.0, "2", "x"), (4.5, "x", "y")]
+    with pytest.raises(Exception, match="more than 3 cells"):
+        csv.read_csv(spark, csv_folder(tmp_path, "a,b,odd name\n1,2,x,9\n")).collect()
+
+
+def test_files_with_the_same_header_are_one_scan(spark, tmp_path):
+    path = csv_folder(tmp_path, "a,b\n1,2\n", "a,b\n3,4\n")
+    plan = csv.read_csv(spark, path, load.T.StructType.fromDDL("a int"))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1

@@ -8,11 +8,11 @@ import __spark_entry__ as binding
 from tallyboard import scratch
 
 SF_DIR = "/root/testdata/sf0.001"
-# Numbering joins one row per range partition; a gap fill sorts one row per day.
+# Numbering joins one row per range partition, or sorts the keys of a small batch; a gap fill sorts one row per day.
 STAGING = {
-    "event_window_table", "group_ranks", "load_job", "load_job_tiers", "surrogate_keys", "unique_slugs", "upsert_table",
+    "decimal_conform", "event_window_table", "group_ranks", "load_job", "load_job_tiers", "surrogate_keys", "unique_slugs", "upsert_table",
 }
-SMALL_WINDOWS = {"surrogate_keys", "group_ranks", "unique_slugs", "calendar_spine_gapfill"}
+SMALL_WINDOWS = {"load_job", "load_job_tiers", "upsert_table", "surrogate_keys", "group_ranks", "unique_slugs", "calendar_spine_gapfill"}
 
 
 def plan_of(df):

@@ -172,3 +172,17 @@ def test_names_of_one_dataset(spark):
     incoming = spark.createDataFrame([("a",), ("b",), ("c",), (None,)], "name string")
     got = {r.name: (r.action, r.existing_id) for r in reconcile.classify(incoming, existing, "name", "id", within=("dataset", 7)).collect()}
     assert got == {"a": ("create", None), "b": ("update", 3), "c": ("create", None), None: ("create", None)}
+
+
+def test_members_listed_in_a_table(spark):
+    """As without_members with the same ids: objects of other shapes, malformed and null text, null and repeated ids."""
+    texts = [
+        '{"CHART-1": {"meta": {"chartId": 3}}, "CHART-2": {"meta": {"chartId": 4}}, "ROW": {"type": "ROW"}}', '{"x": {"meta": {"chartId": "9"}}, "y": 5}',
+        "{}", "[1]", "{broken", None, '{"only": {"meta": {"chartId": 3}}}',
+    ]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, p string")
+    gone = spark.createDataFrame([(3,), (9,), (3,), (None,), (77,)], "id int")
+    want = {r.i: r.p for r in df.select("i", reconcile.without_members("p", lambda c: c.isin(3, 9)).alias("p")).collect()}
+    got = reconcile.without_listed_members(df, ["i"], "p", gone, "id")
+    assert got.columns == ["i", "p"] and {r.i: r.p for r in got.collect()} == want
+    assert reconcile.without_listed_members(df, ["i"], "p", gone.where("false"), "id").count() == len(texts)
