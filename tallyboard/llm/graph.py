@@ -7,29 +7,37 @@ from pyspark.sql import functions as F
 
 from tallyboard.scratch import stage
 
-
-#: Rows of a file of labels; many small files would cost more than they hold.
+#: Rows of a file of edges or parents; many small files would cost more than they hold.
 ROWS = 250_000
 
 
 def components(edges: DataFrame) -> DataFrame:
     """(id, component) of every node of the edges (a, b); the component is the smallest id in it.
 
-    Each round takes the smallest label around a node and then that label's own label, so long paths
-    shrink by half. Every round is a written table.
+    Rounds of contraction: every node takes the first of itself and its neighbours, in an order that is random and new in
+    each round, as its parent; parents of parents follow twice, and edges go on between parents. At least half of the nodes leave
+    in a round, on long paths too. At the end the parents are followed back from the last round to the first.
     """
-    both = edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    both = stage(both.where("a != b").distinct(), "edges")
-    files = max(1, -(-both.count() // ROWS))
-    place = lambda df: stage(df.coalesce(files), "labels")
-    labels = place(both.groupBy(F.col("a").alias("id")).agg(F.min("b").alias("b")).select("id", F.least("id", "b").alias("component")))
-    while True:
-        around = both.join(labels.select(F.col("id").alias("b"), "component"), "b").groupBy("a").agg(F.min("component").alias("least"))
-        lowered = labels.join(around.withColumnRenamed("a", "id"), "id").select(
-            "id", F.col("component").alias("before"), F.least("component", "least").alias("label")
-        )
-        own = labels.select(F.col("id").alias("label"), F.col("component").alias("further"))
-        jumped = place(lowered.join(own, "label").select("id", "before", F.least("label", "further").alias("component")))
-        if jumped.where("before != component").isEmpty():
-            return jumped.select("id", "component")
-        labels = jumped.select("id", "component")
+    links = stage(edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a != b").distinct(), "edges")
+    rounds: list[DataFrame] = []
+    while number := links.count():
+        files = max(1, -(-number // ROWS))
+        both = links.union(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        order = lambda c: F.struct(F.xxhash64(c, F.lit(len(rounds))).alias("h"), F.col(c).alias("id"))
+        first = both.groupBy("a").agg(F.min(order("b")).alias("b"))
+        parents = stage(first.select(F.col("a").alias("id"), F.least(order("a"), F.col("b"))["id"].alias("parent")).coalesce(files), "parents")
+        for _ in range(2):
+            further = parents.select(F.col("id").alias("parent"), F.col("parent").alias("further"))
+            parents = parents.join(further, "parent").select("id", F.col("further").alias("parent"))
+        parents = stage(parents.coalesce(files), "parents")
+        rounds.append(parents)
+        links = links.join(parents.withColumnsRenamed({"id": "a", "parent": "c"}), "a").join(parents.withColumnsRenamed({"id": "b", "parent": "d"}), "b")
+        links = stage(links.select(F.least("c", "d").alias("a"), F.greatest("c", "d").alias("b")).where("a != b").distinct().coalesce(files), "edges")
+    if not rounds:
+        return links.select(F.col("a").alias("id"), F.col("b").alias("component"))
+    roots = rounds.pop()
+    while rounds:
+        further = roots.select(F.col("id").alias("parent"), F.col("parent").alias("root"))
+        roots = rounds.pop().join(further, "parent", "left").select("id", F.coalesce("root", "parent").alias("parent"))
+    roots = stage(roots, "roots")
+    return roots.join(roots.groupBy("parent").agg(F.min("id").alias("component")), "parent").select("id", "component")

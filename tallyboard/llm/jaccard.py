@@ -6,8 +6,10 @@
    a share of all shingles is counted over all documents, and those found in 2, 8, 32... documents are put
    into Bloom filters of bounded size. Shingles in no filter come first; they are in one document only,
    so they are never sent on. A full filter makes the order worse, not the result.
-3. Shingles with the same list of documents become one list with a weight. In each list, documents
-   that share lists of weight l are joined to a cluster; a very long list joins all its documents.
+3. Shingles with the same list of documents become one list with a weight. Lists and documents that cannot
+   reach their overlap any more are left out in turn. Documents that share lists of weight l are joined to a cluster: first
+   neighbours in the lists' order, then, where a list still holds several clusters, all that meet at one of each
+   document's rarest lists. A very long list joins all its documents.
 4. A cluster of bounded size is a bucket. A large one (a big group of near copies) is dealt by each
    document's first list into buckets of bounded size, each with a few anchors that tie the buckets
    together. Where documents of a cluster are then still of different components, all pairs of blocks
@@ -34,7 +36,7 @@ from itertools import groupby
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyboard.llm.common import chunked, col, rows_of, sequence_hashes
@@ -51,6 +53,10 @@ BUCKET_SHINGLES, BUCKET_DOCS = 500_000, 2000
 ANCHORS = 8
 #: Documents of a list that are compared by their lists; a longer list is one cluster.
 LIST_DOCS = 2000
+#: Lists of a group that are compared at a time.
+COLUMNS = 2048
+#: Rounds in which lists and documents that have become useless are left out.
+PRUNING = 3
 #: Shingles that a counting task holds before it passes them on.
 HELD = 1 << 21
 
@@ -311,12 +317,18 @@ def alike(sizes: np.ndarray, bounds: np.ndarray, lists: np.ndarray, weights: np.
     _, place, number = np.unique(lists, return_inverse=True, return_counts=True)
     common = number[place] > 1
     columns, column = np.unique(place[common], return_inverse=True)
-    held = np.zeros((n, len(columns)), np.float32)
-    held[owner[common], column] = 1
-    of = np.zeros(len(columns), np.float32)
-    of[column] = weights[common]
+    order = np.argsort(column, kind="stable")
+    owner, column, weight = owner[common][order], column[order], weights[common][order].astype(np.float32)
+    shared = np.zeros((n, n), np.float32)
+    # Some columns at a time: their number has no bound.
+    for at in range(0, len(columns), COLUMNS):
+        a, b = np.searchsorted(column, [at, at + COLUMNS])
+        held, of = np.zeros((n, min(COLUMNS, len(columns) - at)), np.float32), np.zeros(min(COLUMNS, len(columns) - at), np.float32)
+        held[owner[a:b], column[a:b] - at] = 1
+        of[column[a:b] - at] = weight[a:b]
+        shared += (held * of) @ held.T
     small = np.minimum(sizes[:, None], sizes)
-    joined = ((held * of) @ held.T >= np.maximum(1, small // 20)) & (100 * small >= percent * np.maximum(sizes[:, None], sizes))
+    joined = (shared >= np.maximum(1, small // 20)) & (100 * small >= percent * np.maximum(sizes[:, None], sizes))
     first = np.full(n, -1)
     for k in range(n):
         if first[k] < 0:
@@ -353,11 +365,50 @@ def shared_lists(described: DataFrame, percent: int) -> DataFrame:
     ).where("docs > 1")
     lists = tokens.groupBy("docs", "least", "x", "y").agg(F.min("token").alias("token"), F.count(F.lit(1)).alias("weight"))
     held = every.join(lists.select("token", "weight", "docs", "least"), "token").withColumnRenamed("token", "list")
-    # A document whose lists do not reach its overlap together has no partner.
-    enough = held.groupBy("rep").agg(F.sum("weight").alias("all"), F.first("n").alias("n"))
-    partner = F.ceil(F.col("n") * percent / 100)
-    enough = enough.where(F.col("all") >= F.greatest(F.lit(1), F.floor(partner / 20)))
-    return held.join(enough.select("rep"), "rep", "left_semi")
+    return pruned(held, percent)
+
+
+def pruned(held: DataFrame, percent: int) -> DataFrame:
+    """Without documents whose lists do not reach their overlap together, and lists that then have one document."""
+    for _ in range(PRUNING):
+        held = held.withColumn("all", F.sum("weight").over(Window.partitionBy("rep"))).where(F.col("all") >= least_overlap(percent)).drop("all")
+        held = held.withColumn("left", F.count(F.lit(1)).over(Window.partitionBy("list"))).where("left > 1").drop("left")
+    return stage(held, "lists")
+
+
+def least_overlap(percent: int) -> Column:
+    """The weight of lists that a document of ``n`` shingles shares with any partner, at least."""
+    return F.greatest(F.lit(1), F.floor(F.ceil(F.col("n") * percent / 100) / 20))
+
+
+def chained_edges(short: DataFrame, percent: int) -> DataFrame:
+    """(a, b): documents that stand next to each other, by size, in lists of enough weight together.
+
+    Near copies are in the same order in all the lists that they share, so most of a group is joined by
+    one light row for each document and list.
+    """
+    before = Window.partitionBy("list").orderBy("n", "rep")
+    rows = short.select("rep", "n", "weight", F.lag("rep").over(before).alias("a"), F.lag("n").over(before).alias("less"))
+    rows = rows.where(100 * F.col("less") >= percent * F.col("n")).groupBy("a", F.col("rep").alias("b"), "less").agg(F.sum("weight").alias("weight"))
+    return rows.where(F.col("weight") >= F.greatest(F.lit(1), F.floor(F.col("less") / 20))).select("a", "b")
+
+
+def routed_lists(short: DataFrame, percent: int) -> DataFrame:
+    """(list, rep, n, lists, weights): each document goes with its rarest lists, and takes along what is not rarer.
+
+    Lists have one order, rare ones first. The commonest of a document, as long as their weights together stay below the least
+    overlap, need no way of their own: the rarest list that a pair shares is not among them, in either document. At that
+    list the others that the pair shares come later in the order, so what comes before it is not sent.
+    """
+    order = Window.partitionBy("rep").orderBy("docs", "list")
+    placed = short.select(
+        "rep", "n", "list", F.row_number().over(order).alias("place"), (F.sum("weight").over(order) - F.col("weight")).alias("before"),
+        F.sum("weight").over(Window.partitionBy("rep")).alias("all"),
+    )
+    ways = placed.where(F.col("before") + least_overlap(percent) <= F.col("all")).select("rep", "n", "list", "place")
+    own = short.groupBy("rep").agg(F.array_sort(F.collect_list(F.struct("docs", "list", F.col("weight").cast("int").alias("weight")))).alias("own"))
+    later = F.slice("own", F.col("place"), F.size("own"))
+    return ways.join(own, "rep").select("list", "rep", "n", later["list"].alias("lists"), later["weight"].alias("weights"))
 
 
 def links(described: DataFrame, percent: int) -> DataFrame:
@@ -366,14 +417,14 @@ def links(described: DataFrame, percent: int) -> DataFrame:
     sets = described.select("rep", "n", "shingles")
 
     short = held.where(F.col("docs") <= LIST_DOCS)
-    # 32 bits of a list are enough here: a collision can only join too much.
-    own = short.groupBy("rep").agg(F.collect_list(F.struct(
-        F.col("list").bitwiseAND(F.lit(0x7FFFFFFF)).cast("int").alias("list"), F.col("weight").cast("int").alias("weight"),
-    )).alias("own"))
-    own = own.select("rep", F.col("own.list").alias("lists"), F.col("own.weight").alias("weights"))
-    compared = short.select("list", "rep", "n").join(own, "rep")
-    edges = compared.groupBy("list").applyInArrow(_joined(percent), "a long, b long")
-    edges = edges.union(held.where((F.col("docs") > LIST_DOCS) & (F.col("rep") != F.col("least"))).select("least", "rep"))
+    star = held.where((F.col("docs") > LIST_DOCS) & (F.col("rep") != F.col("least"))).select(F.col("least").alias("a"), F.col("rep").alias("b"))
+    sure = stage(chained_edges(short, percent).union(star).distinct(), "edges")
+    # Only lists that hold documents of different components can join any more; they are all that such documents share.
+    joined = short.join(components(sure).withColumnRenamed("id", "rep"), "rep", "left").withColumn("of", F.coalesce("component", "rep"))
+    by_list = Window.partitionBy("list")
+    joined = joined.withColumns({"low": F.min("of").over(by_list), "high": F.max("of").over(by_list)}).where("low != high")
+    compared = routed_lists(pruned(joined.select(*held.columns), percent), percent)
+    edges = sure.union(compared.groupBy("list").applyInArrow(_joined(percent), "a long, b long"))
     clusters = components(edges).withColumnsRenamed({"id": "rep", "component": "cluster"})
     sizes = clusters.join(sets.select("rep", "n"), "rep").groupBy("cluster").agg(F.sum("n").alias("weight"), F.count(F.lit(1)).alias("docs"))
     small = (F.col("weight") <= BUCKET_SHINGLES) & (F.col("docs") <= BUCKET_DOCS)

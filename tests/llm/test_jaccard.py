@@ -119,3 +119,36 @@ def test_components_of_a_long_path_and_a_hub(spark):
     got = dict(tuple(r) for r in graph.components(spark.createDataFrame(edges, "a long, b long")).collect())
     assert got == {k: 100 for k in range(100, 161)} | {k: 9 for k in [9, *range(300, 501)]}
     assert graph.components(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+def test_lists_that_agree_in_their_low_bits_count_apart(monkeypatch):
+    low = 12345
+    sizes, bounds = np.array([200, 200]), np.array([0, 2, 4])
+    lists, weights = np.array([low, low + (1 << 31), low, low + (1 << 31)]), np.array([10, 1, 10, 1])
+    for columns in (1, 2048):
+        monkeypatch.setattr(jaccard, "COLUMNS", columns)
+        assert jaccard.alike(sizes, bounds, lists, weights, 90).tolist() == [0, 0]
+        assert jaccard.alike(sizes, bounds, lists, np.array([8, 1, 8, 1]), 90).tolist() == [0, 1]
+
+
+def test_large_group_sends_few_lists(spark, monkeypatch):
+    """Forty near copies hold many lists; neighbours join nearly all of them before any document goes with its lists."""
+    rng = np.random.default_rng(8)
+    base = [f"w{k}" for k in range(900)]
+    rows = []
+    for k in range(40):
+        words = list(base)
+        for at in rng.choice(900, 5, replace=False):
+            words[at] = f"x{rng.integers(1 << 40)}"
+        rows.append((k, " ".join(words)))
+    sent, routed = [], jaccard.routed_lists
+
+    def counted(short, percent):
+        out = routed(short, percent)
+        sent.extend(len(r.lists) for r in out.collect())
+        return out
+
+    monkeypatch.setattr(jaccard, "routed_lists", counted)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r.id: r.component_id for r in jaccard.similar_groups(df, words=3, percent=90).collect()}
+    assert set(found.values()) == {0} and sum(sent) < 400
