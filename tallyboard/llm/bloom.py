@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -24,17 +24,20 @@ def _bits(hashes: np.ndarray, size: int) -> np.ndarray:
 
 def holds(filled: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     """Which hashes a filter may hold."""
-    bits = _bits(hashes, len(filled) * 8)
-    return ((filled[(bits >> np.uint64(3)).astype(np.int64)] >> (bits & np.uint64(7)).astype(np.uint8)) & 1).all(axis=1)
+    out = np.zeros(len(hashes), bool)
+    for at in range(0, len(hashes), 1 << 16):
+        bits = _bits(hashes[at : at + (1 << 16)], len(filled) * 8)
+        out[at : at + (1 << 16)] = ((filled[(bits >> np.uint64(3)).astype(np.int64)] >> (bits & np.uint64(7)).astype(np.uint8)) & 1).all(axis=1)
+    return out
 
 
-def _filled(size: int):
+def _filled(size: int, hashed: Callable[[pa.RecordBatch], np.ndarray]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = np.zeros(size // 8, np.uint8)
         for batch in batches:
-            hashes = batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64)
-            for at in range(0, len(hashes), 1 << 18):
-                bits = _bits(hashes[at : at + (1 << 18)], size).ravel()
+            hashes = hashed(batch)
+            for at in range(0, len(hashes), 1 << 16):
+                bits = _bits(hashes[at : at + (1 << 16)], size).ravel()
                 np.bitwise_or.at(held, (bits >> np.uint64(3)).astype(np.int64), (1 << (bits & np.uint64(7))).astype(np.uint8))
         for at in range(0, len(held), _PART):
             if held[at : at + _PART].any():
@@ -48,10 +51,10 @@ def _merged(key, part):
     return pa.table({"part": pa.array([key[0].as_py()], pa.int32()), "bits": pa.array([zlib.compress(bits.tobytes(), 1)], pa.binary())})
 
 
-def build(hashes: DataFrame, number: int) -> np.ndarray:
-    """The filter of a column of 64-bit hashes (long), of which there are about ``number``."""
+def build(rows: DataFrame, number: int, hashed: Callable[[pa.RecordBatch], np.ndarray]) -> np.ndarray:
+    """The filter of the 64-bit hashes that ``hashed`` gives for batches of about ``number`` rows."""
     size = min(MOST_BITS, 1 << max(13, math.ceil(math.log2(max(1, 16 * number)))))
-    parts = hashes.coalesce(8).mapInArrow(_filled(size), "part int, bits binary")
+    parts = rows.coalesce(8).mapInArrow(_filled(size, hashed), "part int, bits binary")
     out = np.zeros(size // 8, np.uint8)
     for r in parts.groupBy("part").applyInArrow(_merged, "part int, bits binary").collect():  # at most MOST_BITS in all
         piece = np.frombuffer(zlib.decompress(bytes(r.bits)), np.uint8)

@@ -10,7 +10,8 @@
    the product of the parts' counts, in millionths. Phrases mostly found inside a longer one are dropped.
 
 Proposals are sent as Bloom filters of bounded size: a false yes makes more phrases count, and counts are exact. A task holds a
-bounded number of words, numbers phrases locally, and passes each phrase on once per portion; sums are partial before the shuffle.
+bounded number of words, numbers phrases locally, and passes each phrase on once per portion, packed by segments of hashes; a
+segment is summed alone. However frequent a phrase is, it comes once from each portion.
 
 Defined results: a null or empty text has no words, a null language is ``und``; rows that repeat count each; further
 columns are ignored; an empty table gives no phrases.
@@ -30,18 +31,25 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyboard.llm import bloom
-from tallyboard.llm.common import col, rows_of, sequence_hashes
+from tallyboard.llm.common import chunked, col, rows_of, sequence_hashes
 from tallyboard.scratch import stage
 
 #: Words that a task holds before it counts and passes on.
-HELD = 1_000_000
+HELD = 200_000
 #: Bytes of a text that are cut into words at a time, up to the end of a piece.
-SLICE = 8 << 20
+SLICE = 1 << 20
 #: Pieces end at these; words end at space and tab; A-Z are lower-cased. All in one table of bytes.
 _TABLE = bytes.maketrans(b".,;:!?\n\x0b\x0c\r\tABCDEFGHIJKLMNOPQRSTUVWXYZ", b"\n" * 10 + b" abcdefghijklmnopqrstuvwxyz")
 
-_SCHEMA = pa.schema([("lang", pa.string()), ("size", pa.int32()), ("phrase", pa.string()), ("n", pa.int64())])
-_COLUMNS = "lang string, size int, phrase string, n long"
+#: Phrases that are put together at a time.
+STEP = 1 << 16
+#: Segments of hashes for each input partition: a segment is summed in one go and stays small.
+SEGMENTS = 8
+
+_SCHEMA = pa.schema([
+    ("lang", pa.string()), ("size", pa.int32()), ("segment", pa.int32()), ("texts", pa.binary()), ("lengths", pa.binary()), ("numbers", pa.binary()),
+])
+_COLUMNS = "lang string, size int, segment int, texts binary, lengths binary, numbers binary"
 
 
 def word_hash(lang: str, word: bytes) -> int:
@@ -74,7 +82,7 @@ class Portion:
         self.parts.append(np.array([*found, 0], np.int64))
         return len(found) + 1
 
-    def phrases(self, filters: list[list[np.ndarray]], most: int) -> Iterator[tuple[int, list[np.ndarray], np.ndarray]]:
+    def phrases(self, filters: list[list[np.ndarray]], most: int, hashes: np.ndarray) -> Iterator[tuple[int, list[np.ndarray], np.ndarray]]:
         """(size, columns of word numbers, counts) of what the pass with the last of ``filters`` counts.
 
         Bit k of a phrase's mask says that filter k, and the masks of both its parts, have it. A phrase is counted by the first
@@ -85,8 +93,6 @@ class Portion:
         words = np.flatnonzero(numbers[1:]) + 1
         if len(filters) < 2:
             yield 1, [words], numbers[words]
-        names = sorted(self.numbers, key=self.numbers.__getitem__)
-        hashes = np.fromiter((word_hash(self.lang, w) for w in names), np.uint64, len(names))
         own = np.int64(1) << max(0, len(filters) - 1)
 
         def mask(level: int, hashed: np.ndarray) -> np.ndarray:
@@ -107,7 +113,7 @@ class Portion:
             shared = held[both] & held[both + 1]
             both, shared = both[(shared & own) > 0], shared[(shared & own) > 0]
             start = place[both]
-            pairs = key[both] * len(names) + ids[start + size - 1]
+            pairs = key[both] * len(hashes) + ids[start + size - 1]
             _, first, local, numbers = np.unique(pairs, return_index=True, return_inverse=True, return_counts=True)
             fresh = np.flatnonzero((shared[first] & -shared[first]) == own)
             at = start[first]
@@ -115,27 +121,37 @@ class Portion:
             if size == most:
                 return
             hashed = np.zeros(len(at), np.uint64)
-            for n in range(0, len(at), 1 << 18):
-                some = at[n : n + (1 << 18)]
-                hashed[n : n + (1 << 18)] = _phrase_hashes([hashes[ids[some + k]] for k in range(size)])
+            for n in range(0, len(at), STEP):
+                some = at[n : n + STEP]
+                hashed[n : n + STEP] = _phrase_hashes([hashes[ids[some + k]] for k in range(size)])
             known = mask(size - 1, hashed) & shared[first]
             place, key, held = start, local, known[local]
 
-    def rows(self, filters: list[list[np.ndarray]], most: int) -> Iterator[pa.RecordBatch]:
-        names = None
-        total = sum(len(p) for p in self.parts) - int(sum((p == 0).sum() for p in self.parts))
+    def rows(self, filters: list[list[np.ndarray]], most: int, segments: int) -> Iterator[tuple]:
+        """The counted phrases of each segment of hashes, as one run of bytes with their lengths and counts."""
+        names = sorted(self.numbers, key=self.numbers.__getitem__)
+        hashes = np.fromiter((word_hash(self.lang, w) for w in names), np.uint64, len(names))
+        texts = pa.array(names, pa.binary())
+        total = sum(int((p != 0).sum()) for p in self.parts)
         if len(filters) < 2 and total:
-            yield pa.RecordBatch.from_arrays([pa.array([self.lang]), pa.array([0], pa.int32()), pa.array([""]), pa.array([total])], schema=_SCHEMA)
-        for size, words, numbers in self.phrases(filters, most):
-            if names is None:
-                names = pa.array(sorted(self.numbers, key=self.numbers.__getitem__), pa.binary())
-            for at in range(0, len(numbers), 100_000):
-                texts = [names.take(pa.array(w[at : at + 100_000])) for w in words]
-                texts = texts[0] if size == 1 else pc.binary_join_element_wise(*texts, b" ")
-                yield pa.RecordBatch.from_arrays(
-                    [pa.repeat(self.lang, len(texts)), pa.array(np.full(len(texts), size, np.int32)), texts.cast(pa.string()), pa.array(numbers[at : at + 100_000].astype(np.int64))],
-                    schema=_SCHEMA,
-                )
+            yield self.lang, 0, 0, b"", np.zeros(1, "<i4").tobytes(), np.array([total], "<i8").tobytes()
+        for size, words, numbers in self.phrases(filters, most, hashes):
+            segment = np.empty(len(numbers), np.int64)
+            for at in range(0, len(numbers), STEP):
+                segment[at : at + STEP] = _phrase_hashes([hashes[w[at : at + STEP]] for w in words]) % np.uint64(segments)
+            order = np.argsort(segment, kind="stable")
+            for at in range(0, len(order), STEP):
+                some = order[at : at + STEP]
+                parts = [texts.take(pa.array(w[some])) for w in words]
+                joined = parts[0] if size == 1 else pc.binary_join_element_wise(*parts, b" ")
+                ends = np.frombuffer(joined.buffers()[1], "<i4", len(joined) + 1, 4 * joined.offset)
+                raw = joined.buffers()[2]
+                cuts = [0, *(np.flatnonzero(np.diff(segment[some])) + 1).tolist(), len(some)]
+                for a, b in zip(cuts, cuts[1:], strict=False):
+                    yield (
+                        self.lang, size, int(segment[some[a]]), raw[int(ends[a]) : int(ends[b])].to_pybytes(),
+                        np.diff(ends[a : b + 1]).tobytes(), numbers[some[a:b]].astype("<i8").tobytes(),
+                    )
 
 
 def _phrase_hashes(words: list[np.ndarray]) -> np.ndarray:
@@ -144,42 +160,62 @@ def _phrase_hashes(words: list[np.ndarray]) -> np.ndarray:
     return sequence_hashes(np.stack(words, axis=1).ravel(), n)[::n] if len(words[0]) else np.empty(0, np.uint64)
 
 
-def _pass(sent, most: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _pass(sent, most: int, segments: int):
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         filters = sent.value
         held: dict[str, Portion] = {}
         number = 0
-        for lang, text in rows_of(batches, "lang", "text"):
-            if not text:
-                continue
-            for data in slices(text.encode().translate(_TABLE)):
+        for lang, text in rows_of((b.slice(at, 256) for b in batches for at in range(0, b.num_rows, 256)), "lang", "text"):
+            for data in slices(text.encode().translate(_TABLE)) if text else ():
                 if lang not in held:
                     held[lang] = Portion(lang)
                 number += held[lang].add(data)
                 if number >= HELD:
                     for portion in held.values():
-                        yield from portion.rows(filters, most)
+                        yield from portion.rows(filters, most, segments)
                     held, number = {}, 0
         for portion in held.values():
-            yield from portion.rows(filters, most)
+            yield from portion.rows(filters, most, segments)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from chunked(rows(batches), _SCHEMA, max_bytes=4 << 20)
+
+    return run
+
+
+def _summed(least: int):
+    """The phrases of a segment with at least so many occurrences."""
+
+    def run(key, part):
+        texts = b"".join(part.column("texts").to_pylist())
+        ends = np.concatenate([[0], np.cumsum(np.frombuffer(b"".join(part.column("lengths").to_pylist()), "<i4"), dtype="<i8")])
+        phrases = pa.LargeStringArray.from_buffers(len(ends) - 1, pa.py_buffer(ends.tobytes()), pa.py_buffer(texts))
+        numbers = np.frombuffer(b"".join(part.column("numbers").to_pylist()), "<i8")
+        found = pa.table({"phrase": phrases, "n": numbers}).group_by("phrase").aggregate([("n", "sum")])
+        if key[1].as_py():
+            found = found.filter(pc.greater_equal(found.column("n_sum"), least))
+        n = found.num_rows
+        return pa.table({
+            "lang": pa.array([key[0].as_py()] * n, pa.string()), "size": pa.array([key[1].as_py()] * n, pa.int32()),
+            "phrase": found.column("phrase").cast(pa.string()), "n": found.column("n_sum"),
+        })
 
     return run
 
 
-def _hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        found = [
-            int(sequence_hashes(np.array([word_hash(lang, w) for w in phrase.encode().split(b" ")], np.uint64), phrase.count(" ") + 1)[0])
-            for lang, phrase in zip(batch.column("lang").to_pylist(), batch.column("phrase").to_pylist(), strict=True)
-        ]
-        yield pa.RecordBatch.from_arrays([pa.array(np.array(found, np.uint64).view(np.int64))], ["hash"])
+def _hashed(batch: pa.RecordBatch) -> np.ndarray:
+    out = np.zeros(batch.num_rows, np.uint64)
+    for k, (lang, phrase) in enumerate(zip(batch.column("lang").to_pylist(), batch.column("phrase").to_pylist(), strict=True)):
+        words = [word_hash(lang, w) for w in phrase.encode().split(b" ")]
+        out[k] = sequence_hashes(np.array(words, np.uint64), len(words))[0]
+    return out
 
 
 def _filters(proposed: DataFrame, most: int) -> list[np.ndarray]:
     """One filter for each size below ``most``."""
     numbers = {r["size"]: r["count"] for r in proposed.groupBy("size").count().collect()}
     return [
-        bloom.build(proposed.where(F.col("size") == size).select("lang", "phrase").mapInArrow(_hashed, "hash long"), numbers.get(size, 0))
+        bloom.build(proposed.where(F.col("size") == size).select("lang", "phrase"), numbers.get(size, 0), _hashed)
         for size in range(1, most)
     ]
 
@@ -199,10 +235,10 @@ def frequent_phrases(
     source = docs.select(lang.alias("lang"), col(text_column).alias("text"))
 
     def counted(texts: DataFrame, filters: list, size: int, least: int) -> DataFrame:
-        rows = texts.mapInArrow(_pass(context.broadcast(filters), size), _COLUMNS)
-        rows = rows.groupBy("lang", "size", "phrase").agg(F.sum("n").alias("n"))
-        return rows.where((F.col("n") >= least) | (F.col("size") == 0))
+        rows = texts.mapInArrow(_pass(context.broadcast(filters), size, segments), _COLUMNS)
+        return rows.groupBy("lang", "size", "segment").applyInArrow(_summed(least), "lang string, size int, phrase string, n long")
 
+    segments = min(1 << 16, SEGMENTS * max(1, source.rdd.getNumPartitions()))
     slots = max(1, round(1 / share))
     lowered = max(2, int(0.75 * share * min_count))
     sample = source.where(F.pmod(F.xxhash64("text"), F.lit(slots)) == 0)
