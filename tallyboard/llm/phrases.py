@@ -20,7 +20,8 @@ columns are ignored; an empty table gives no phrases.
 from __future__ import annotations
 
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
+from functools import partial
 from itertools import count
 
 import numpy as np
@@ -43,8 +44,8 @@ _TABLE = bytes.maketrans(b".,;:!?\n\x0b\x0c\r\tABCDEFGHIJKLMNOPQRSTUVWXYZ", b"\n
 
 #: Phrases that are put together at a time.
 STEP = 1 << 16
-#: Segments of hashes for each input partition: a segment is summed in one go and stays small.
-SEGMENTS = 8
+#: Segments of hashes, at least, and words for each beyond that: a segment is summed in one go and stays small.
+SEGMENTS, SEGMENT_WORDS = 64, 2_000_000
 
 _SCHEMA = pa.schema([
     ("lang", pa.string()), ("size", pa.int32()), ("segment", pa.int32()), ("texts", pa.binary()), ("lengths", pa.binary()), ("numbers", pa.binary()),
@@ -52,8 +53,9 @@ _SCHEMA = pa.schema([
 _COLUMNS = "lang string, size int, segment int, texts binary, lengths binary, numbers binary"
 
 
-def word_hash(lang: str, word: bytes) -> int:
-    return xxhash.xxh3_64_intdigest(lang.encode() + b"\n" + word)
+def word_hashes(lang: str, words: Sequence[bytes]) -> np.ndarray:
+    hashed = partial(xxhash.xxh3_64_intdigest, seed=xxhash.xxh3_64_intdigest(lang.encode()))
+    return np.fromiter(map(hashed, words), np.uint64, len(words))
 
 
 def slices(data: bytes) -> Iterator[bytes]:
@@ -73,11 +75,11 @@ class Portion:
 
     def __init__(self, lang: str):
         self.lang = lang
-        self.numbers: defaultdict[bytes, int] = defaultdict(count(1).__next__)
+        # In order of the numbers, as a dict keeps what came first in front.
+        self.numbers: defaultdict[bytes, int] = defaultdict(count(1).__next__, {b"\n": 0})
         self.parts: list[np.ndarray] = []
 
     def add(self, data: bytes) -> int:
-        self.numbers[b"\n"] = 0
         found = [self.numbers[w] for w in data.replace(b"\n", b" \n ").split(b" ") if w]
         self.parts.append(np.array([*found, 0], np.int64))
         return len(found) + 1
@@ -129,14 +131,14 @@ class Portion:
 
     def rows(self, filters: list[list[np.ndarray]], most: int, segments: int) -> Iterator[tuple]:
         """The counted phrases of each segment of hashes, as one run of bytes with their lengths and counts."""
-        names = sorted(self.numbers, key=self.numbers.__getitem__)
-        hashes = np.fromiter((word_hash(self.lang, w) for w in names), np.uint64, len(names))
+        names = list(self.numbers)
+        hashes = word_hashes(self.lang, names)
         texts = pa.array(names, pa.binary())
         total = sum(int((p != 0).sum()) for p in self.parts)
         if len(filters) < 2 and total:
             yield self.lang, 0, 0, b"", np.zeros(1, "<i4").tobytes(), np.array([total], "<i8").tobytes()
         for size, words, numbers in self.phrases(filters, most, hashes):
-            segment = np.empty(len(numbers), np.int64)
+            segment = np.empty(len(numbers), np.uint16 if segments <= 1 << 16 else np.int64)  # short ones sort faster
             for at in range(0, len(numbers), STEP):
                 segment[at : at + STEP] = _phrase_hashes([hashes[w[at : at + STEP]] for w in words]) % np.uint64(segments)
             order = np.argsort(segment, kind="stable")
@@ -146,7 +148,7 @@ class Portion:
                 joined = parts[0] if size == 1 else pc.binary_join_element_wise(*parts, b" ")
                 ends = np.frombuffer(joined.buffers()[1], "<i4", len(joined) + 1, 4 * joined.offset)
                 raw = joined.buffers()[2]
-                cuts = [0, *(np.flatnonzero(np.diff(segment[some])) + 1).tolist(), len(some)]
+                cuts = [0, *(np.flatnonzero(segment[some][1:] != segment[some][:-1]) + 1).tolist(), len(some)]
                 for a, b in zip(cuts, cuts[1:], strict=False):
                     yield (
                         self.lang, size, int(segment[some[a]]), raw[int(ends[a]) : int(ends[b])].to_pybytes(),
@@ -206,8 +208,8 @@ def _summed(least: int):
 def _hashed(batch: pa.RecordBatch) -> np.ndarray:
     out = np.zeros(batch.num_rows, np.uint64)
     for k, (lang, phrase) in enumerate(zip(batch.column("lang").to_pylist(), batch.column("phrase").to_pylist(), strict=True)):
-        words = [word_hash(lang, w) for w in phrase.encode().split(b" ")]
-        out[k] = sequence_hashes(np.array(words, np.uint64), len(words))[0]
+        words = phrase.encode().split(b" ")
+        out[k] = sequence_hashes(word_hashes(lang, words), len(words))[0]
     return out
 
 
@@ -234,17 +236,19 @@ def frequent_phrases(
     lang = F.lit("und") if lang_column is None else F.coalesce(col(lang_column).cast("string"), F.lit("und"))
     source = docs.select(lang.alias("lang"), col(text_column).alias("text"))
 
-    def counted(texts: DataFrame, filters: list, size: int, least: int) -> DataFrame:
+    def counted(texts: DataFrame, filters: list, size: int, least: int, segments: int = SEGMENTS) -> DataFrame:
         rows = texts.mapInArrow(_pass(context.broadcast(filters), size, segments), _COLUMNS)
         return rows.groupBy("lang", "size", "segment").applyInArrow(_summed(least), "lang string, size int, phrase string, n long")
 
-    segments = min(1 << 16, SEGMENTS * max(1, source.rdd.getNumPartitions()))
     slots = max(1, round(1 / share))
     lowered = max(2, int(0.75 * share * min_count))
     sample = source.where(F.pmod(F.xxhash64("text"), F.lit(slots)) == 0)
-    proposed = stage(counted(sample, [], most - 1, lowered).where("size > 0"), "proposed")
+    proposed = stage(counted(sample, [], most - 1, lowered), "proposed")
+    words = proposed.where("size = 0").agg(F.sum("n")).first()[0] or 0
+    segments = max(SEGMENTS, slots * words // SEGMENT_WORDS)
+    proposed = proposed.where("size > 0")
     filters = [_filters(proposed, most)]
-    known = stage(counted(source, filters, most, min_count), "counted")
+    known = stage(counted(source, filters, most, min_count, segments), "counted")
     key = ["lang", "size", "phrase"]
     while True:
         parts = known.where((F.col("size") > 0) & (F.col("size") < most))
@@ -252,7 +256,7 @@ def frequent_phrases(
             return known
         proposed = parts
         filters.append(_filters(proposed, most))
-        known = stage(known.union(stage(counted(source, filters, most, min_count), "counted")), "counted")
+        known = stage(known.union(stage(counted(source, filters, most, min_count, segments), "counted")), "counted")
 
 
 def collocations(counted: DataFrame, top: int | None = 2000, inside_percent: int = 50) -> DataFrame:
