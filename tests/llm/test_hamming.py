@@ -17,7 +17,8 @@ def brute(rows, least=0.95):
     norm = np.linalg.norm(x, axis=1)
     norm[norm == 0] = 1
     near = (x @ x.T) / norm[:, None] / norm >= least
-    near &= np.array(fine)[:, None] & np.array(fine)
+    fine = np.array(fine, bool)
+    near &= fine[:, None] & fine
     np.fill_diagonal(near, False)
     out = []
     for k in range(len(rows)):

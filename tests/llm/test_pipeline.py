@@ -86,3 +86,41 @@ def test_empty_table(spark):
         docs = step(spark, docs, SF)
         assert docs.collect() == []
     assert corpus_pipeline.STAGES[-1][1](spark, docs, SF).collect() == []
+
+
+def test_columns_of_any_name_null_and_repeated_ids(spark, tmp_path):
+    """Columns called like those that operators add stay as they were; rows without an id or with one twice are all kept."""
+    extra = {"pii_spans": "a", "score": 7.5, "n_lines": None, "n_dropped": 3, "component_id": 1, "id": 9, "odd name`": "x", "n_chars": 12345}
+    text = "A good and quite ordinary sentence about the weather in the hills. Mail to jane.doe@example.com for more.\nAnd a second line of it."
+    rows = [(1, text), (1, "Another one with other words, nothing more than that."), (None, "No number at all for this text."), (None, None), (2, ""), (3, text)]
+    docs = spark.createDataFrame([(i, t, *extra.values()) for i, t in rows], "doc_id long, text string, pii_spans string, score double, n_lines int, n_dropped int, component_id int, id int, `odd name``` string, n_chars long")
+    steps = dict(corpus_pipeline.STAGES)
+    good = steps["quality classifier"](spark, docs, SF)
+    assert good.columns == docs.columns and good.exceptAll(docs).count() == 0
+    lined = steps["line dedup"](spark, docs, SF)
+    one = steps["n-gram Jaccard join"](spark, lined, SF)
+    masked = steps["PII"](spark, one, SF)
+    for df, n in ((lined, 6), (one, 5), (masked, 5)):
+        found = df.collect()
+        assert df.columns == docs.columns and len(found) == n
+        for r in found:
+            assert {c: r[c] for c in extra if c != "n_chars"} == {c: v for c, v in extra.items() if c != "n_chars"}
+            assert r.n_chars == len(r.text or "")
+    kept = [(r.doc_id, r.text) for r in masked.collect()]
+    assert sorted(str(i) for i, _ in kept) == ["1", "1", "2", "None", "None"]
+    assert all("jane.doe" not in (t or "") for _, t in kept)
+    assert steps["packing"](spark, masked, SF).agg({"doc_tokens": "min"}).first()[0] == 1
+    for name, step in corpus_pipeline.STAGES:
+        assert step(spark, docs.limit(0), SF).count() == 0, name
+
+
+def test_run_removes_what_it_has_read(spark):
+    from tallyboard import scratch
+
+    made, dropped = [], []
+    write, drop = corpus_pipeline.new_folder, corpus_pipeline.drop_folder
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(corpus_pipeline, "new_folder", lambda *a: made.append(write(*a)) or made[-1])
+        patch.setattr(corpus_pipeline, "drop_folder", lambda s, p: dropped.append(p) or drop(s, p))
+        assert corpus_pipeline.run(spark, SF).count() > 100
+    assert len(made) == 4 and dropped == made[:-1] and scratch.shared_folder(spark) in made[0]
