@@ -36,11 +36,13 @@ from tallyboard.llm.common import chunked, col, rows_of, sequence_hashes
 from tallyboard.scratch import stage
 
 #: Words that a task holds before it counts and passes on.
-HELD = 200_000
+HELD = 300_000
 #: Bytes of a text that are cut into words at a time, up to the end of a piece.
 SLICE = 1 << 20
 #: Pieces end at these; words end at space and tab; A-Z are lower-cased. All in one table of bytes.
-_TABLE = bytes.maketrans(b".,;:!?\n\x0b\x0c\r\tABCDEFGHIJKLMNOPQRSTUVWXYZ", b"\n" * 10 + b" abcdefghijklmnopqrstuvwxyz")
+#: The end of a piece becomes a byte that no text in UTF-8 has, so what is left of white space only parts words.
+_END = b"\xff"
+_TABLE = bytes.maketrans(b".,;:!?\n\x0b\x0c\r\tABCDEFGHIJKLMNOPQRSTUVWXYZ", _END * 10 + b" abcdefghijklmnopqrstuvwxyz")
 
 #: Phrases that are put together at a time.
 STEP = 1 << 16
@@ -62,7 +64,7 @@ def slices(data: bytes) -> Iterator[bytes]:
     """Cuts of about SLICE bytes, only where a piece ends."""
     at = 0
     while len(data) - at > SLICE:
-        end = data.find(b"\n", at + SLICE)
+        end = data.find(_END, at + SLICE)
         if end < 0:
             break
         yield data[at : end + 1]
@@ -76,13 +78,14 @@ class Portion:
     def __init__(self, lang: str):
         self.lang = lang
         # In order of the numbers, as a dict keeps what came first in front.
-        self.numbers: defaultdict[bytes, int] = defaultdict(count(1).__next__, {b"\n": 0})
+        self.numbers: defaultdict[bytes, int] = defaultdict(count(1).__next__, {_END: 0})
         self.parts: list[np.ndarray] = []
 
     def add(self, data: bytes) -> int:
-        found = [self.numbers[w] for w in data.replace(b"\n", b" \n ").split(b" ") if w]
-        self.parts.append(np.array([*found, 0], np.int64))
-        return len(found) + 1
+        found = data.replace(_END, b" \xff ").split()
+        found.append(_END)
+        self.parts.append(np.fromiter(map(self.numbers.__getitem__, found), np.int64, len(found)))
+        return len(found)
 
     def phrases(self, filters: list[list[np.ndarray]], most: int, hashes: np.ndarray) -> Iterator[tuple[int, list[np.ndarray], np.ndarray]]:
         """(size, columns of word numbers, counts) of what the pass with the last of ``filters`` counts.
