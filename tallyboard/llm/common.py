@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: The white space of every contract: space and U+0009 to U+000D, which is also what ``bytes.split`` cuts at.
@@ -33,6 +33,36 @@ def without(df: DataFrame, names: Iterable[str]) -> DataFrame:
     return df.select(*[col(c) for c in df.columns if c.lower() not in lowered])
 
 
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is computed once, however often a lambda reads it."""
+    return F.transform(F.array(value), use)[0]
+
+
+#: Values of an array that are merged one by one.
+_RUN = 256
+
+
+def running(values: Column, merge: Callable[[Column, Column], Column], start: Column) -> Column:
+    """For each place of an array, ``start`` merged with all values before it; ``merge`` is associative, ``start`` its neutral value.
+
+    An array that grows by one element at a time costs the square of its size. So whole blocks are merged
+    first, and an array only grows by blocks, or within one.
+    """
+
+    def grown(vs: Column, first: Column) -> Column:
+        return F.aggregate(vs, F.array(first), lambda held, v: F.concat(held, F.array(merge(F.element_at(held, -1), v))))
+
+    def of(vs: Column) -> Column:
+        last = F.greatest(F.ceil(F.size(vs) / F.lit(_RUN)).cast("int") - 1, F.lit(0))
+        blocks = F.transform(F.sequence(F.lit(0), last), lambda k: F.slice(vs, k * _RUN + 1, F.lit(_RUN)))
+        before = grown(F.transform(blocks, lambda b: F.aggregate(b, start, lambda x, y: merge(x, y))), start)
+        return bound(before, lambda firsts: F.flatten(F.transform(
+            blocks, lambda b, k: F.slice(grown(b, F.get(firsts, k)), 1, F.size(b))
+        )))
+
+    return bound(values, of)
+
+
 def rows_of(batches: Iterable[pa.RecordBatch], *names: str) -> Iterator[tuple]:
     for batch in batches:
         yield from zip(*(batch.column(n).to_pylist() for n in names), strict=True)

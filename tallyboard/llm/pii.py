@@ -26,7 +26,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyboard.llm.common import col, without
+from tallyboard.llm.common import bound, col, running, without
 
 #: In the order in which spans that start together are listed.
 KINDS = ("email", "ip", "card", "phone", "ssn")
@@ -38,6 +38,8 @@ SURE = 0.9
 
 # Stands for a separator between two signs of a run: runs are then of single signs, which Java matches without recursion.
 _JOIN = "\x01"
+#: Code points of a page of text.
+PAGE = 256
 _OCTET = "0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 _LOCAL = "A-Za-z0-9._%+" + _JOIN + "-"
 
@@ -55,18 +57,30 @@ AGAINST = ("version", "isbn", "serial", "token", "password", "key", "sha", "buil
 # --- spans -----------------------------------------------------------------------------------------
 
 
-def located(text: Column, pattern: str) -> Column:
-    """array<struct<start, end, value>> of all matches; places count code points."""
-    parts = F.arrays_zip(F.split(text, pattern, -1).alias("gap"), F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("hit"))
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,end:int,value:string>>").alias("spans"))
+def matches(text: Column, pattern: str) -> Column:
+    """struct<gaps, hits>: the matches, and how long the text is before, between and after them."""
+    gaps = F.transform(F.split(text, pattern, -1), lambda g: F.length(g))
+    return F.struct(gaps.alias("gaps"), F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("hits"))
 
-    def step(held: Column, part: Column) -> Column:
-        begin = held["at"] + F.length(part["gap"])
-        end = begin + F.coalesce(F.length(part["hit"]), F.lit(0))
-        one = F.struct(begin.alias("start"), end.alias("end"), part["hit"].alias("value"))
-        return F.struct(end.alias("at"), F.when(part["hit"].isNull(), held["spans"]).otherwise(F.concat(held["spans"], F.array(one))).alias("spans"))
 
-    return F.aggregate(parts, start, step, lambda held: held["spans"])
+def located(found: Column) -> Column:
+    """array<struct<start, end, value>> of matches; places count code points."""
+    sizes = F.transform(found["hits"], lambda h, k: F.get(found["gaps"], k) + F.length(h))
+    return bound(running(sizes, lambda a, b: a + b, F.lit(0)), lambda at: F.transform(found["hits"], lambda h, k: bound(
+        F.get(at, k) + F.get(found["gaps"], k), lambda start: F.struct(start.alias("start"), (start + F.length(h)).alias("end"), h.alias("value"))
+    )))
+
+
+def paged(text: Column) -> Column:
+    """The text cut into pages, so that a piece of it is found without counting from its first sign."""
+    return F.regexp_extract_all(text, F.lit(f"(?s).{{1,{PAGE}}}"), F.lit(0))
+
+
+def piece(pages: Column, start: Column, size: Column) -> Column:
+    """``size`` code points from ``start`` (counted from 0); fewer where the text ends."""
+    first = F.floor(start / F.lit(PAGE)).cast("int")
+    number = F.floor((start + size) / F.lit(PAGE)).cast("int") - first + 1
+    return F.substr(F.array_join(F.slice(pages, first + 1, number), ""), start - first * PAGE + 1, size)
 
 
 def digits(value: Column) -> Column:
@@ -101,29 +115,29 @@ def candidates(text: Column) -> Column:
     clean = F.translate(text, _JOIN, "\x02")
     dotted = F.regexp_replace(clean, r"(?<=[A-Za-z0-9-])\.(?=[A-Za-z0-9-])", _JOIN)
     joined = F.regexp_replace(clean, r"(?<=[0-9])[\x20-](?=[0-9])", _JOIN)
-    none = F.array().cast(SPANS)
+    no_match = F.struct(F.array().cast("array<int>").alias("gaps"), F.array().cast("array<string>").alias("hits"))
+    has_digit = text.rlike("[0-9]")
 
-    def when(needed: Column, spans: Column) -> Column:
-        return F.when(needed, spans).otherwise(none)
+    def when(needed: Column, on: Column, pattern: str) -> Column:
+        return F.when(needed, matches(on, pattern)).otherwise(no_match)
 
-    has_digit = text.rlike("[0-9]")
-    email = located(dotted, rf"(?:\G|(?<![{_LOCAL}]))[{_LOCAL}]++@[A-Za-z0-9-]++{_JOIN}[A-Za-z0-9{_JOIN}-]++")
-    ip = located(clean, r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
-    card = located(joined, f"[0-9][0-9{_JOIN}]++")
-    phone = located(clean, r"\+[0-9][\x20().0-9-]+[0-9]")
-    national = located(clean, r"(?<![0-9+(.-])(?:\([0-9]{3}\)\x20?|[0-9]{3}[.\x20-])[0-9]{3}[.-][0-9]{4}(?![0-9.-])")
-    spelt = located(clean, r"(?i)(?<![a-z0-9])[a-z][a-z0-9]{1,30}\x20?[(\[]at[)\]]\x20?[a-z0-9-]{2,30}\x20?(?:\.|[(\[]dot[)\]])\x20?[a-z]{2,6}(?![a-z])")
-    ssn = located(clean, r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])")
     size = lambda v: F.length(digits(v))
-    return F.concat(
-        when(F.contains(text, F.lit("@")), _spans("email", email, lambda v: F.lit(True), True)),
-        when(has_digit, _spans("ip", ip, lambda v: v.rlike(rf"^{_OCTET}(?:\.{_OCTET}){{3}}$"), True)),
-        when(has_digit, _spans("card", card, lambda v: F.when(size(v).between(12, 19), luhn(digits(v))).otherwise(False), True)),
-        when(F.contains(text, F.lit("+")), _spans("phone", phone, lambda v: size(v).between(9, 15), True)),
-        when(has_digit, _spans("phone", national, None, False)),
-        when(F.contains(F.lower(text), F.lit("at")) & text.rlike(r"[(\[][aA][tT][)\]]"), _spans("email", spelt, None, False)),
-        when(has_digit, _spans("ssn", ssn, None, False)),
+    shapes = (
+        ("email", when(F.contains(text, F.lit("@")), dotted, rf"(?:\G|(?<![{_LOCAL}]))[{_LOCAL}]++@[A-Za-z0-9-]++{_JOIN}[A-Za-z0-9{_JOIN}-]++"),
+         lambda v: F.lit(True)),
+        ("ip", when(has_digit, clean, r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++"), lambda v: v.rlike(rf"^{_OCTET}(?:\.{_OCTET}){{3}}$")),
+        ("card", when(has_digit, joined, f"[0-9][0-9{_JOIN}]++"), lambda v: F.when(size(v).between(12, 19), luhn(digits(v))).otherwise(False)),
+        ("phone", when(F.contains(text, F.lit("+")), clean, r"\+[0-9][\x20().0-9-]+[0-9]"), lambda v: size(v).between(9, 15)),
+        ("phone", when(has_digit, clean, r"(?<![0-9+(.-])(?:\([0-9]{3}\)\x20?|[0-9]{3}[.\x20-])[0-9]{3}[.-][0-9]{4}(?![0-9.-])"), None),
+        ("email", when(
+            F.contains(F.lower(text), F.lit("at")) & text.rlike(r"[(\[][aA][tT][)\]]"), clean,
+            r"(?i)(?<![a-z0-9])[a-z][a-z0-9]{1,30}\x20?[(\[]at[)\]]\x20?[a-z0-9-]{2,30}\x20?(?:\.|[(\[]dot[)\]])\x20?[a-z]{2,6}(?![a-z])",
+        ), None),
+        ("ssn", when(has_digit, clean, r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"), None),
     )
+    # One expression places the matches of all shapes.
+    places = F.transform(F.array(*[found for _, found, _ in shapes]), located)
+    return bound(places, lambda p: F.concat(*[_spans(kind, F.get(p, n), valid, valid is not None) for n, (kind, _, valid) in enumerate(shapes)]))
 
 
 # --- labelers -----------------------------------------------------------------------------------
@@ -137,12 +151,12 @@ def _one_of(values: tuple[str, ...]) -> str:
     return "(?:" + "|".join(v.replace(".", r"\.") for v in values) + ")"
 
 
-def votes(span: Column, text: Column) -> Column:
-    """struct<format, gazetteer, context, edge>: 1 for, -1 against, 0 no opinion."""
+def votes(span: Column, pages: Column) -> Column:
+    """struct<format, gazetteer, context, edge>: 1 for, -1 against, 0 no opinion. ``pages`` is the text, paged."""
     value, number = span["value"], digits(span["value"])
-    before = F.lower(F.substr(text, F.greatest(span["start"] - 29, F.lit(1)), F.least(span["start"], F.lit(30))))
-    left = F.when(span["start"] > 0, F.substr(text, span["start"], F.lit(1))).otherwise("")
-    right = F.substr(text, span["end"] + 1, F.lit(1))
+    before = F.lower(piece(pages, F.greatest(span["start"] - 30, F.lit(0)), F.least(span["start"], F.lit(30))))
+    left = F.when(span["start"] > 0, piece(pages, span["start"] - 1, F.lit(1))).otherwise("")
+    right = piece(pages, span["end"], F.lit(1))
     of = lambda kind: span["kind"] == KINDS.index(kind)
     strict = (of("phone") & F.length(number).between(10, 15)) | of("ssn") | of("email")
     format_ = _vote(span["base"] | (strict & ~span["base"] & ~of("card")), ~span["base"])
@@ -213,16 +227,16 @@ def estimate(counts: dict[tuple[int, tuple[int, ...], bool], int], rounds: int =
 def learn(docs: DataFrame, text_column: str = "text") -> Model:
     """Labelers are applied to every candidate of every text; only counts of vote patterns leave Spark."""
     text = docs.select(F.coalesce(col(text_column).cast("string"), F.lit("")).alias("text"))
-    found = text.withColumn("spans", candidates(F.col("text"))).where(F.size("spans") > 0)
-    voted = found.select(F.explode(F.transform("spans", lambda s: F.struct(s["kind"].alias("kind"), votes(s, F.col("text")).alias("v"), s["base"].alias("base")))).alias("c"))
+    found = text.withColumn("spans", candidates(F.col("text"))).where(F.size("spans") > 0).withColumn("pages", paged(F.col("text")))
+    voted = found.select(F.explode(F.transform("spans", lambda s: F.struct(s["kind"].alias("kind"), votes(s, F.col("pages")).alias("v"), s["base"].alias("base")))).alias("c"))
     counted = voted.groupBy("c.kind", *[f"c.v.{n}" for n in LABELERS], "c.base").count()
     return estimate({(r[0], tuple(r[1:5]), r[5]): r[6] for r in counted.collect()})
 
 
-def certainty(span: Column, text: Column, model: Model) -> Column:
+def certainty(span: Column, pages: Column, model: Model) -> Column:
     """The classifier as an expression."""
     w = model.weights
-    voted = votes(span, text)
+    voted = votes(span, pages)
     score = F.lit(w.get("bias", 0.0)) + F.when(span["base"], w.get("base", 0.0)).otherwise(0.0)
     kind = F.lit(0.0)
     for k in range(len(KINDS)):
@@ -232,46 +246,73 @@ def certainty(span: Column, text: Column, model: Model) -> Column:
     return 1 / (1 + F.exp(-(score + kind)))
 
 
-def _overlaps(a: Column, b: Column) -> Column:
-    return (a["start"] < b["end"]) & (b["start"] < a["end"])
+def _clear(bases: Column, others: Column) -> Column:
+    """Those of ``others`` that overlap no base span."""
+
+    def of(spans: Column) -> Column:
+        furthest = running(F.transform(spans, lambda s: F.when(s["base"], s["end"]).otherwise(0)), F.greatest, F.lit(0))
+        nearest = F.reverse(running(F.reverse(F.transform(spans, lambda s: F.when(s["base"], s["start"]).otherwise(_FAR))), F.least, F.lit(_FAR)))
+        edges = F.arrays_zip(furthest.alias("end"), nearest.alias("start"))
+        clear = lambda s, e: ~s["base"] & (e["end"] <= s["start"]) & (e["start"] >= s["end"])
+        return bound(edges, lambda es: F.filter(spans, lambda s, k: clear(s, F.get(es, k))))
+
+    return bound(_ordered(F.concat(bases, others)), of)
+
+
+_FAR = (1 << 31) - 1
+
+
+def _ordered(spans: Column) -> Column:
+    """By start, the longer ones first, then by kind."""
+    keyed = F.transform(spans, lambda s: F.struct(s["start"].alias("start"), (-s["end"]).alias("back"), s["kind"].alias("kind"), s.alias("s")))
+    return F.transform(F.sort_array(keyed), lambda x: x["s"])
+
+
+def _first_ones(spans: Column) -> Column:
+    """Spans that overlap none before them in order."""
+
+    def of(ordered: Column) -> Column:
+        furthest = running(F.transform(ordered, lambda s: s["end"]), F.greatest, F.lit(0))
+        return bound(furthest, lambda ends: F.filter(ordered, lambda s, k: F.get(ends, k) <= s["start"]))
+
+    return bound(_ordered(spans), of)
 
 
 def with_spans(docs: DataFrame, model: Model, text_column: str = "text") -> DataFrame:
     """``docs`` with ``pii_spans``: kind (place in KINDS), start, end (exclusive, code points), value, base; by start and kind."""
     docs = without(docs, ADDED)
     text = F.coalesce(col(text_column).cast("string"), F.lit(""))
-    held = docs.withColumn("__tb_c", candidates(text))
+    pages, none = F.col("__tb_p"), F.array().cast(SPANS)
+    held = docs.withColumn("__tb_c", candidates(text)).withColumn("__tb_p", F.when(F.size("__tb_c") > 0, paged(text)))
     bases = held.withColumn("__tb_b", F.filter("__tb_c", lambda s: s["base"]))
 
-
     def sure(s: Column) -> Column:
-        voted = votes(s, text)
-        return (certainty(s, text, model) >= SURE) & (F.least(*[voted[n] for n in LABELERS]) >= 0)
+        voted = votes(s, pages)
+        return (certainty(s, pages, model) >= SURE) & (F.least(*[voted[n] for n in LABELERS]) >= 0)
 
-    more = F.filter("__tb_c", lambda s: ~s["base"] & sure(s) & ~F.exists("__tb_b", lambda b: _overlaps(s, b)))
-    bases = bases.withColumn("__tb_m", F.when(F.size("__tb_c") > F.size("__tb_b"), more).otherwise(F.array().cast(SPANS)))
+    bases = bases.withColumn("__tb_m", F.when(F.size("__tb_c") > F.size("__tb_b"), F.filter("__tb_c", lambda s: ~s["base"] & sure(s))).otherwise(none))
     # Of added spans that overlap, the one that starts first stays, then the longer, then the first kind.
-    first = lambda s, t: (t["start"] < s["start"]) | ((t["start"] == s["start"]) & ((t["end"] > s["end"]) | ((t["end"] == s["end"]) & (t["kind"] < s["kind"]))))
-    kept = F.filter("__tb_m", lambda s: ~F.exists("__tb_m", lambda t: _overlaps(s, t) & first(s, t)))
+    kept = F.when(F.size("__tb_m") > 0, _first_ones(_clear(F.col("__tb_b"), F.col("__tb_m")))).otherwise(none)
     ordered = F.array_sort(
-        F.transform(F.concat("__tb_b", kept), lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end"), F.substr(text, s["start"] + 1, s["end"] - s["start"]).alias("value"), s["base"].alias("base")))
+        F.transform(F.concat("__tb_b", kept), lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end"), piece(pages, s["start"], s["end"] - s["start"]).alias("value"), s["base"].alias("base")))
     )
-    return bases.withColumn("pii_spans", ordered).drop("__tb_c", "__tb_b", "__tb_m")
+    return bases.withColumn("pii_spans", ordered).drop("__tb_c", "__tb_p", "__tb_b", "__tb_m")
 
 
 def masked(text: Column, spans: Column) -> Column:
     """The text with every span replaced by its kind in brackets; of overlapping spans the first names the whole."""
     names = F.array(*[F.lit(f"[{k}]") for k in KINDS])
 
-    def step(held: Column, s: Column) -> Column:
-        grown = F.concat(held["out"], F.substr(text, held["at"] + 1, F.greatest(s["start"] - held["at"], F.lit(0))), F.element_at(names, s["kind"] + 1))
-        return F.struct(
-            F.when(s["start"] >= held["at"], grown).otherwise(held["out"]).alias("out"), F.greatest(held["at"], s["end"]).alias("at")
-        )
+    def of(pages: Column) -> Column:
+        def shown(s: Column, at: Column) -> Column:
+            gap = piece(pages, at, F.greatest(s["start"] - at, F.lit(0)))
+            return F.when(s["start"] >= at, F.concat(gap, F.element_at(names, s["kind"] + 1))).otherwise("")
+
+        covered = running(F.transform(spans, lambda s: s["end"]), F.greatest, F.lit(0))
+        front = bound(covered, lambda ends: F.array_join(F.transform(spans, lambda s, k: shown(s, F.get(ends, k))), ""))
+        return F.concat(front, F.substr(text, F.array_max(F.transform(spans, lambda s: s["end"])) + 1, F.length(text)))
 
-    start = F.struct(F.lit("").alias("out"), F.lit(0).alias("at"))
-    rest = lambda held: F.concat(held["out"], F.substr(text, held["at"] + 1, F.length(text)))
-    return F.when(F.size(spans) == 0, text).otherwise(F.aggregate(spans, start, step, rest))
+    return F.when(F.size(spans) == 0, text).otherwise(bound(paged(text), of))
 
 
 def mask(docs: DataFrame, text_column: str = "text") -> DataFrame:
