@@ -4,7 +4,8 @@
    the smallest distance. Both halves of a bounded sample are clustered (k-means); a cell is a pair of
    centroids, one of each half. Every vector is put into its cell.
 2. A query sorts the centroids of each half by distance and walks the pairs by summed distance with a
-   heap, until the cells it met hold ``share`` of all vectors (and at least ``least``).
+   heap, until the cells it met hold ``share`` of all vectors, and at least ``least`` for each neighbour
+   wanted. Here copies count once in a cell, so a common vector does not end the walks that meet it.
 3. Cells of one first-half centroid are reranked together, by exact inner products of the original
    vectors; each task gives a query's best few, which are merged.
 
@@ -14,8 +15,8 @@ meet in one task. The driver holds the sample, the codebooks and one count for e
 Defined results: vectors that are null or zero, or hold null or non-finite components, or have another
 number of components than most, take no part; rows with the query's own id are no candidates, other repeated
 rows are each; ties go
-to the smaller id; fewer candidates than ``k`` are all returned if the walk reaches them, as it does
-wherever there are at most ``least`` vectors.
+to the smaller id; fewer candidates than ``k`` are all returned, as every walk meets ``least * k`` vectors
+where there are so many.
 """
 
 from __future__ import annotations
@@ -40,7 +41,7 @@ BLOCK = 8192
 
 @dataclass
 class Index:
-    """Codebooks of both halves (of lengthened vectors), the common length, and how many vectors each cell has."""
+    """Codebooks of both halves (of lengthened vectors), the common length, and how many different vectors each cell has."""
 
     first: np.ndarray
     second: np.ndarray
@@ -151,12 +152,12 @@ def _probe(sent, wanted: int):
     return run
 
 
-def rerank(ids: np.ndarray, vectors: np.ndarray, js: np.ndarray, query: int, vector: np.ndarray, near: np.ndarray, cells: list[int], k: int):
-    """The best ``k`` of the entries in these cells. ``near`` are quick products that only preselect."""
+def rerank(ids: np.ndarray, vectors: np.ndarray, js: np.ndarray, query: int, vector: np.ndarray, near: np.ndarray, cells: list[int], k: int, slack: float):
+    """The best ``k`` of the entries in these cells. ``near`` are quick products, off by less than ``slack``, that only preselect."""
     open_ = np.flatnonzero(np.isin(js, cells) & (ids != query))
     if len(open_) > k:
         least = np.partition(near[open_], -k)[-k]
-        open_ = open_[near[open_] >= least - 1e-9 * max(1.0, abs(least))]
+        open_ = open_[near[open_] >= least - slack]
     scores = (vectors[open_] * vector).sum(1)
     best = np.lexsort((ids[open_], -scores))[:k]
     return ids[open_][best], scores[best]
@@ -169,10 +170,12 @@ def _rerank(k: int):
             ids, js, vectors = entries.column("id").to_numpy(), entries.column("j").to_numpy(), matrix(entries.column("vector"))
             asked, cells = queries.column("query_id").to_pylist(), queries.column("js").to_pylist()
             wanted = matrix(queries.column("vector"))
+            # Rounding errors are in proportion to the lengths of both vectors, also where their product is small.
+            slack = 1e-12 * np.sqrt((vectors**2).sum(1).max()) * np.sqrt((wanted**2).sum(1))
             for at in range(0, len(asked), 256):
                 near = wanted[at : at + 256] @ vectors.T
                 for n in range(at, min(at + 256, len(asked))):
-                    found, scores = rerank(ids, vectors, js, asked[n], wanted[n], near[n - at], cells[n], k)
+                    found, scores = rerank(ids, vectors, js, asked[n], wanted[n], near[n - at], cells[n], k, slack[n])
                     out["query_id"].append(np.full(len(found), asked[n]))
                     out["vec_id"].append(found)
                     out["score"].append(scores)
@@ -184,12 +187,13 @@ def _rerank(k: int):
 
 def nearest(
     vectors: DataFrame, queries: DataFrame | None = None, k: int = 20, id_column: str = "vec_id", vector_column: str = "embedding",
-    codewords: int = 64, share: float = 0.5, least: int = 5000,
+    codewords: int = 64, share: float = 0.5, least: int = 20,
 ) -> DataFrame:
     """``query_id, rank, vec_id, score``: for each query the ``k`` vectors with the largest inner product.
 
     ``queries`` has the same two columns (default: all vectors). ``codewords`` is the size of each half's
-    codebook. Vectors without any structure need a large ``share``; clustered ones a small one.
+    codebook. Vectors without any structure need a large ``share``; clustered ones a small one. A walk meets at
+    least ``least * k`` different vectors.
     """
     spark = vectors.sparkSession
     entries = valid_vectors(vectors, id_column, vector_column)
@@ -207,15 +211,17 @@ def nearest(
     sent = spark.sparkContext.broadcast(index)
     placed = stage(entries.mapInArrow(_assign(sent), "i int, j int, id long, vector array<double>"), "index")
     counts = np.zeros((len(index.first), len(index.second)), np.int64)
-    for r in placed.groupBy("i", "j").count().collect():  # at most codewords squared
-        counts[r.i, r.j] = r["count"]
+    rows = np.zeros_like(counts)
+    different = placed.groupBy("i", "j", F.xxhash64("vector").alias("h")).count()
+    for r in different.groupBy("i", "j").agg(F.count("*").alias("n"), F.sum("count").alias("rows")).collect():  # at most codewords squared
+        counts[r.i, r.j], rows[r.i, r.j] = r.n, r.rows
     with_counts = spark.sparkContext.broadcast(Index(index.first, index.second, norm, counts))
-    wanted = max(least, math.ceil(share * int(counts.sum())))
+    wanted = max(least * k + 1, math.ceil(share * int(counts.sum())))
 
     probes = asked.where(F.size("vector") == size).mapInArrow(
         _probe(with_counts, wanted), "i int, js array<int>, query_id long, vector array<double>"
     )
-    blocks = [max(1, math.ceil(int(n) / BLOCK)) for n in counts.sum(1)]
+    blocks = [max(1, math.ceil(int(n) / BLOCK)) for n in rows.sum(1)]
     block_of = F.element_at(F.array(*[F.lit(n) for n in blocks]), F.col("i") + 1)
     placed = placed.withColumn("block", F.pmod(F.xxhash64("id"), block_of).cast("int"))
     probes = probes.withColumn("block", F.explode(F.sequence(F.lit(0), block_of - 1)))
