@@ -64,7 +64,7 @@ def test_limits_hold_for_instruction_data(spark, library):
     prompts = {k: len(library.encode(q).ids) for k, q, _ in data}
     loss = defaultdict(int)
     for r in rows:
-        loss[r.sequence_id] += max(0, r.start + r.length - max(r.start, prompts[r.id]))
+        loss[r.sequence_id] += max(0, r.start + r.length - max(r.start + 1, prompts[r.id]))
     assert max(loss.values()) <= 100
 
 
@@ -75,6 +75,38 @@ def test_the_best_product_goes_first():
     assert [(r[0], r[5], r[6]) for r in packer.fill()] == [(1, 0, 0), (0, 0, 7), (2, 1, 0), (3, 1, 6)]
 
 
+def test_many_small_partitions_have_little_padding(spark, library):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text").limit(200)
+    texts = dict(tuple(r) for r in docs.collect())
+    wanted = {k: library.encode(t or "", add_special_tokens=False).ids + [0] for k, t in texts.items()}
+    spread = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(211)
+    n = check(packing.pack(spread).collect(), wanted)
+    total = sum(map(len, wanted.values()))
+    assert n * 1024 - total < 0.05 * total
+
+
+def test_the_loss_limit_decides():
+    # By tokens and segments alone, the two answers would share a sequence.
+    def packed(loss):
+        packer = packing.Packer(Limits(20, 4, loss), 0)
+        for key, n, prompt in ((0, 10, 0), (1, 9, 0), (2, 10, 9), (3, 8, 8)):
+            assert not list(packer.add(packing.Item(key, np.zeros(n, "<u4"), 0, prompt)))
+        by_sequence = defaultdict(list)
+        for r in packer.fill():
+            by_sequence[r[5]].append((r[0], r[2]))
+        return list(by_sequence.values())
+
+    assert packed(19) == [[(0, 10), (1, 9)], [(2, 10), (3, 8)]]
+    assert packed(10) == [[(0, 10), (2, 10)], [(1, 9), (3, 8)]]
+
+
+def test_first_ids_bear_no_loss():
+    item = packing.Item(1, np.arange(30, dtype="<u4"), 10, 4)
+    assert item.loss(10 + 5) == 4 and item.fitting(20, 4) == 5
+    rest = packing.Item(1, np.arange(10, 30, dtype="<u4"), 12, 15, 10)
+    assert rest.total == 30 and rest.loss(17) == 2 and rest.next(2) == np.array([12, 13], "<u4").tobytes()
+
+
 def test_empty_table_null_ids_and_clashing_columns(spark):
     assert packing.pack(spark.createDataFrame([], "doc_id long, text string")).collect() == []
     docs = spark.createDataFrame([(None, "a", 1), (None, "a", 2)], "doc_id long, text string, sequence_id int")
