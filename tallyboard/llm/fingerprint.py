@@ -18,8 +18,10 @@ hash aggregation without another shuffle, and a round of peeling is one such gro
 shuffled once, with the first quarter of the next document joined to it.
 
 Defined results: a null text is empty; an empty text has no paragraphs, and two such are alike (1.0); a null id
-comes before all others; of rows that repeat an id the smallest text stands for it, in one row; a
-single document is followed by itself; further columns are ignored.
+comes before all others; rows that repeat an id are documents of their own, in the order of two hashes of their
+texts; rows alike in id and text are compared once and given once for each, and all of them but the last are followed by their like; a
+single document is followed by itself; further columns are ignored. A document is told from others by its id and 128
+bits of hashes of its text.
 """
 
 from __future__ import annotations
@@ -45,7 +47,8 @@ RUNGS = 20
 ROUNDS = 12
 #: Seeds of the hashes that check a digest and place it.
 CHECK, PLACE = 1001, 2001
-NULL_ID = -(1 << 63)
+#: Rows alike are given out by so many at once.
+BLOCK = 4096
 
 
 def paragraphs(text: Column) -> Column:
@@ -203,7 +206,7 @@ def recovered(pairs: DataFrame, keys: list[str], attempt: int = 0) -> DataFrame:
 
 def _neighbours(docs: DataFrame) -> DataFrame:
     """(k, previous, cut): the document before each one, and how many of its first code points that one takes."""
-    ids = docs.groupBy("k").agg(F.max(F.floor(F.length("text") / 4)).alias("cut"))
+    ids = docs.groupBy("k").agg(F.max(F.floor(F.length("text") / 4)).alias("cut"))  # one text for each key
     numbered = stage(number_rows(ids, ["k"], "r", 0), "ids")
     n = numbered.count()
     following = F.pmod(F.col("r") + 1, F.lit(max(n, 1)))
@@ -212,35 +215,48 @@ def _neighbours(docs: DataFrame) -> DataFrame:
 
 
 def versions(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
-    """One row for each id: ``k, id, n_chars, edited, own, changed, next``; the last three are paragraph digests."""
-    id_ = col(id_column).cast("long")
-    source = docs.select(
-        F.coalesce(id_, F.lit(NULL_ID)).alias("k"), F.coalesce(col(text_column).cast("string"), F.lit("")).alias("text")
-    )
-    single = source.repartition("k").groupBy("k").agg(F.min("text").alias("text"))
+    """One row for each different id and text: ``k, n_chars, copies, edited, repeated, own, changed, next, again``.
+
+    The last four are paragraph digests. ``k`` is the id with hashes of the text. Where there are copies, ``repeated``
+    is the text edited with its own start, and ``again`` has its digests; elsewhere both are null.
+    """
+    source = docs.select(col(id_column).cast("long").alias("id"), F.coalesce(col(text_column).cast("string"), F.lit("")).alias("text"))
+    source = source.select(F.struct("id", F.xxhash64("text").alias("h"), F.xxhash64(F.lit(CHECK), "text").alias("g")).alias("k"), "text")
+    single = source.repartition("k").groupBy("k").agg(F.min("text").alias("text"), F.count(F.lit(1)).alias("copies"))
     heads = single.join(_neighbours(source), "k").select(
         F.col("previous").alias("k"), F.substr("text", F.lit(1), F.col("cut").cast("int")).alias("head"), paragraphs(F.col("text")).alias("next")
     )
     n = F.length("text")
     cut = F.floor(n / 4).cast("int")
-    edited = F.concat(F.substr("text", F.lit(1), n - cut), F.substr("head", F.lit(1), cut))
-    joined = single.join(heads, "k").select("k", n.cast("long").alias("n_chars"), "text", edited.alias("edited"), "next")
+
+    def edit(start: Column) -> Column:
+        return F.concat(F.substr("text", F.lit(1), n - cut), F.substr(start, F.lit(1), cut))
+
+    joined = single.join(heads, "k").select(
+        "k", n.cast("long").alias("n_chars"), "copies", "text", edit(F.col("head")).alias("edited"),
+        F.when(F.col("copies") > 1, edit(F.col("text"))).alias("repeated"), "next",
+    )
     return joined.select(
-        "k", F.when(F.col("k") != NULL_ID, F.col("k")).alias("id"), "n_chars", "edited",
-        paragraphs(F.col("text")).alias("own"), paragraphs(F.col("edited")).alias("changed"), "next",
+        "k", "n_chars", "copies", "edited", "repeated", paragraphs(F.col("text")).alias("own"), paragraphs(F.col("edited")).alias("changed"),
+        "next", F.when(F.col("copies") > 1, paragraphs(F.col("repeated"))).alias("again"),
     )
 
 
+#: What a text is compared with; the last one only if it has copies.
+OTHERS = ("changed", "next", "again")
+
+
 def _pairs(rows: DataFrame) -> DataFrame:
-    both = F.array(
-        *[F.struct(F.lit(pair).alias("pair"), F.col("own").alias("a"), F.col(b).alias("b"), F.col("own_size").alias("sa"), F.col(f"{b}_size").alias("sb"))
-          for pair, b in enumerate(("changed", "next"))]
-    )
-    return rows.select("k", F.explode(both).alias("p")).select("k", "p.*")
+    both = F.array(*[
+        F.when(F.col(b).isNotNull(), F.struct(
+            F.lit(pair).alias("pair"), F.col("own").alias("a"), F.col(b).alias("b"), F.col("own_size").alias("sa"), F.col(f"{b}_size").alias("sb")
+        )) for pair, b in enumerate(OTHERS)
+    ])
+    return rows.select("k", F.explode(F.array_compact(both)).alias("p")).select("k", "p.*")
 
 
 def _sized(rows: DataFrame, *names: str) -> DataFrame:
-    return rows.withColumns({f"{n}_size": table_size(F.col(n)) for n in names})
+    return rows.withColumns({f"{n}_size": F.when(F.col(n).isNotNull(), table_size(F.col(n))) for n in names})
 
 
 def _likeness(differ: Column, a: Column, b: Column) -> Column:
@@ -248,30 +264,41 @@ def _likeness(differ: Column, a: Column, b: Column) -> Column:
     return F.when(total == 0, 1.0).otherwise((total - differ) / total)
 
 
+def _each_copy(rows: DataFrame) -> DataFrame:
+    """Every row as often as it has copies, which ``copy`` numbers from 0, without an array of them all."""
+    blocks = F.sequence(F.lit(0).cast("long"), F.floor((F.col("copies") - 1) / BLOCK))
+    blocked = rows.select("*", F.explode(blocks).alias("block"))
+    held = F.least(F.col("copies") - F.col("block") * BLOCK, F.lit(BLOCK).cast("long"))
+    return blocked.select("*", F.explode(F.sequence(F.lit(0).cast("long"), held - 1)).alias("at")).withColumn("copy", F.col("block") * BLOCK + F.col("at"))
+
+
 def compare_with_edit(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """``id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next`` for every document.
+    """``id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next`` for every row.
 
     The edited text has its last quarter replaced by the start of the next document. Likeness is the share
     of both sides' paragraph digests that cancel; the two fingerprints of a pair are enough to compute it.
     """
     rows = versions(docs, id_column, text_column)
+    pairs = range(len(OTHERS))
     # Sizes go along as keys, so that they are found only once; pairs that cancel have none.
-    tried = differences(_pairs(_sized(rows, "own", "changed", "next")), ["k", "pair", "sa", "sb"])
+    tried = differences(_pairs(_sized(rows, "own", *OTHERS)), ["k", "pair", "sa", "sb"])
     by_k = tried.groupBy("k").agg(
-        *[F.max(F.when(F.col("pair") == p, F.struct("differ", "whole"))).alias(f"t{p}") for p in (0, 1)],
-        F.max("sa").alias("sa"), F.max(F.when(F.col("pair") == 0, F.col("sb"))).alias("sb"),
+        *[F.max(F.when(F.col("pair") == p, F.struct("differ", "whole"))).alias(f"t{p}") for p in pairs],
+        F.max("sa").alias("sa"), *[F.max(F.when(F.col("pair") == p, F.col("sb"))).alias(f"s{p}") for p in (0, 2)],
     )
     joined = rows.join(by_k, "k", "left")
-    known = lambda p: F.when(F.col(f"t{p}").isNull(), 0).when(F.col(f"t{p}.whole"), F.col(f"t{p}.differ"))
-    failed = known(0).isNull() | known(1).isNull()
+    known = [F.when(F.col(f"t{p}").isNull(), 0).when(F.col(f"t{p}.whole"), F.col(f"t{p}.differ")).cast("long") for p in pairs]
+    failed = reduce(lambda a, b: a | b, [k.isNull() for k in known])
+    size_of = lambda p: F.coalesce(f"s{p}", "sa", table_size(F.col(OTHERS[p])))
     held = stage(joined.select(
-        "k", "id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), "own", "changed", F.when(failed, F.col("next")).alias("next"),
-        F.size("next").alias("n_next"), known(0).cast("long").alias("d0"), known(1).cast("long").alias("d1"),
-        F.coalesce("sa", table_size(F.col("own"))).alias("own_size"), F.coalesce("sb", "sa", table_size(F.col("changed"))).alias("changed_size"),
+        "k", "n_chars", "copies", F.sha2("edited", 256).alias("edited_sha256"), F.sha2("repeated", 256).alias("repeated_sha256"), "own", "changed", "again",
+        F.when(failed, F.col("next")).alias("next"), F.size("next").alias("n_next"), *[k.alias(f"d{p}") for p, k in zip(pairs, known, strict=True)],
+        F.coalesce("sa", table_size(F.col("own"))).alias("own_size"), size_of(0).alias("changed_size"),
+        F.when(F.col("copies") > 1, size_of(2)).alias("again_size"),
     ), "fingerprints")
 
-    again, attempt = [], 0
-    left = _pairs(_sized(held.where("d0 IS NULL OR d1 IS NULL"), "next"))
+    more, attempt = [], 0
+    left = _pairs(_sized(held.where("next IS NOT NULL"), "next"))
     while True:
         left = stage(left, "unpeeled")
         if left.isEmpty():
@@ -280,15 +307,24 @@ def compare_with_edit(docs: DataFrame, id_column: str = "doc_id", text_column: s
         result = stage(left.select("k", "pair").join(differences(left.repartition("k"), ["k", "pair"], attempt), ["k", "pair"], "left").select(
             "k", "pair", F.when(F.col("whole").isNull(), 0).otherwise(F.col("differ")).alias("differ"), F.coalesce("whole", F.lit(True)).alias("whole")
         ), "peeled")
-        again.append(result.where("whole"))
+        more.append(result.where("whole"))
         left = left.join(result.where("NOT whole"), ["k", "pair"], "left_semi")
-    if again:
-        later = reduce(DataFrame.union, again).groupBy("k").agg(*[F.max(F.when(F.col("pair") == p, F.col("differ"))).alias(f"l{p}") for p in (0, 1)])
-        held = held.join(later, "k", "left").withColumns({f"d{p}": F.coalesce(f"d{p}", f"l{p}") for p in (0, 1)})
+    if more:
+        later = reduce(DataFrame.union, more).groupBy("k").agg(*[F.max(F.when(F.col("pair") == p, F.col("differ"))).alias(f"l{p}") for p in pairs])
+        held = held.join(later, "k", "left").withColumns({f"d{p}": F.coalesce(f"d{p}", f"l{p}") for p in pairs})
     total = F.size("own") + F.col("n_next")
     published = lambda c: fingerprint(F.col(c), F.col(f"{c}_size"))
-    return held.select(
-        "id", "n_chars", "edited_sha256", published("own").alias("fingerprint"), published("changed").alias("edited_fingerprint"),
-        _likeness(F.col("d0"), F.col("own"), F.col("changed")).alias("near_edited"),
-        F.when(total == 0, 1.0).otherwise((total - F.col("d1")) / total).alias("near_next"),
+
+    def edited(sha: str, other: str, differ: str, near_next: Column) -> Column:
+        return F.struct(
+            F.col(sha).alias("edited_sha256"), published(other).alias("edited_fingerprint"),
+            _likeness(F.col(differ), F.col("own"), F.col(other)).alias("near_edited"), near_next.alias("near_next"),
+        )
+
+    last = edited("edited_sha256", "changed", "d0", F.when(total == 0, 1.0).otherwise((total - F.col("d1")) / total))
+    result = held.select(
+        F.col("k.id").alias("id"), "n_chars", "copies", published("own").alias("fingerprint"), last.alias("last"),
+        F.when(F.col("copies") > 1, edited("repeated_sha256", "again", "d2", F.lit(1.0))).alias("other"),
     )
+    result = _each_copy(result).withColumn("e", F.when(F.col("copy") == 0, F.col("last")).otherwise(F.col("other")))
+    return result.select("id", "n_chars", "e.edited_sha256", "fingerprint", "e.edited_fingerprint", "e.near_edited", "e.near_next")
