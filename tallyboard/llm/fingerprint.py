@@ -221,7 +221,9 @@ def versions(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
     is the text edited with its own start, and ``again`` has its digests; elsewhere both are null.
     """
     source = docs.select(col(id_column).cast("long").alias("id"), F.coalesce(col(text_column).cast("string"), F.lit("")).alias("text"))
-    source = source.select(F.struct("id", F.xxhash64("text").alias("h"), F.xxhash64(F.lit(CHECK), "text").alias("g")).alias("k"), "text")
+    key = F.struct("id", F.xxhash64("text").alias("h"), F.xxhash64(F.lit(CHECK), "text").alias("g"))
+    # Read back from a table every field may be null; a key of another type would be shuffled again for each join.
+    source = source.select(key.cast("struct<id: bigint, h: bigint, g: bigint>").alias("k"), "text")
     single = source.repartition("k").groupBy("k").agg(F.min("text").alias("text"), F.count(F.lit(1)).alias("copies"))
     heads = single.join(_neighbours(source), "k").select(
         F.col("previous").alias("k"), F.substr("text", F.lit(1), F.col("cut").cast("int")).alias("head"), paragraphs(F.col("text")).alias("next")
