@@ -10,7 +10,8 @@
    reach their overlap any more are left out in turn. Documents that share lists of weight l are joined to a cluster: first
    neighbours in the lists' order, then, where a list still holds several clusters, all that meet at one of each
    document's rarest lists. A very long list joins all its documents.
-4. A cluster of bounded size is a bucket. A large one (a big group of near copies) is dealt by each
+4. Whole sets are then fetched for the documents of clusters alone; a Bloom filter of bounded size spares most others the
+   shuffle. A cluster of bounded size is a bucket. A large one (a big group of near copies) is dealt by each
    document's first list into buckets of bounded size, each with a few anchors that tie the buckets
    together. Where documents of a cluster are then still of different components, all pairs of blocks
    are searched but for those of one component: nothing is left out.
@@ -39,9 +40,10 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallyboard.llm import bloom
 from tallyboard.llm.common import chunked, col, rows_of, sequence_hashes
 from tallyboard.llm.graph import components
-from tallyboard.scratch import stage
+from tallyboard.scratch import Scratch, stage
 
 #: Bits of the largest filter that is sent to every task: 64 MB.
 MOST_BITS = 1 << 29
@@ -411,10 +413,38 @@ def routed_lists(short: DataFrame, percent: int) -> DataFrame:
     return ways.join(own, "rep").select("list", "rep", "n", later["list"].alias("lists"), later["weight"].alias("weights"))
 
 
-def links(described: DataFrame, percent: int) -> DataFrame:
-    """(a, b): enough similar pairs that their components are those of all similar pairs. One row a class comes in."""
-    held = stage(shared_lists(described, percent), "lists")
-    sets = described.select("rep", "n", "shingles")
+def _half(digests: pa.Array) -> np.ndarray:
+    return np.frombuffer(b"".join(digests.to_pylist()), "<u8")[::2]
+
+
+def _wanted(sent):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(bloom.holds(sent.value, _half(batch.column("digest")))))
+
+    return run
+
+
+def sets_of(wanted: DataFrame, described: DataFrame) -> DataFrame:
+    """``wanted`` (digest, rep and others; one row a class) with the shingles of each class.
+
+    Most documents are alone; the filter keeps nearly all of their shingles out of the shuffle. The join is by digest and id, so
+    a class of many copies does not meet in one task.
+    """
+    wanted = stage(wanted, "wanted")
+    filled = bloom.build(wanted.select("digest"), wanted.count(), lambda batch: _half(batch.column("digest")))
+    sent = wanted.sparkSession.sparkContext.broadcast(filled)
+    rows = described.where("tokens IS NOT NULL").select(F.col("id").alias("rep"), "digest", "shingles")
+    rows = rows.mapInArrow(_wanted(sent), "rep long, digest binary, shingles binary").join(wanted.hint("merge"), ["digest", "rep"])
+    return stage(rows.dropDuplicates(["digest", "rep"]).drop("digest"), "sets")
+
+
+def links(one_each: DataFrame, described: DataFrame, percent: int) -> DataFrame:
+    """(a, b): enough similar pairs that their components are those of all similar pairs.
+
+    ``one_each`` has one row a class; the shingles are those of ``described``.
+    """
+    held = shared_lists(one_each, percent)
 
     short = held.where(F.col("docs") <= LIST_DOCS)
     star = held.where((F.col("docs") > LIST_DOCS) & (F.col("rep") != F.col("least"))).select(F.col("least").alias("a"), F.col("rep").alias("b"))
@@ -426,14 +456,16 @@ def links(described: DataFrame, percent: int) -> DataFrame:
     compared = routed_lists(pruned(joined.select(*held.columns), percent), percent)
     edges = sure.union(compared.groupBy("list").applyInArrow(_joined(percent), "a long, b long"))
     clusters = components(edges).withColumnsRenamed({"id": "rep", "component": "cluster"})
-    sizes = clusters.join(sets.select("rep", "n"), "rep").groupBy("cluster").agg(F.sum("n").alias("weight"), F.count(F.lit(1)).alias("docs"))
+    sizes = clusters.join(one_each.select("rep", "n"), "rep").groupBy("cluster").agg(F.sum("n").alias("weight"), F.count(F.lit(1)).alias("docs"))
     small = (F.col("weight") <= BUCKET_SHINGLES) & (F.col("docs") <= BUCKET_DOCS)
     clusters = stage(clusters.join(sizes, "cluster").select("rep", "cluster", small.alias("small")), "clusters")
-    whole = sets.join(clusters.where("small"), "rep").withColumn("label", F.col("rep"))
+    sets = sets_of(one_each.select("rep", "n", "digest").join(clusters, "rep"), described)
+    whole = sets.where("small").withColumn("label", F.col("rep"))
     found = _searched(whole.select("cluster", "rep", "label", "n", "shingles"), ["cluster"], percent)
     if clusters.where("NOT small").isEmpty():
         return found
     found = stage(found, "links")
+    sets = sets.where("NOT small").select("rep", "n", "shingles")
 
     # Large clusters: each document goes with its first list, and a few anchors go with all.
     held = stage(held.join(clusters.where("NOT small").select("rep"), "rep", "left_semi"), "lists")
@@ -479,17 +511,16 @@ def similar_groups(docs: DataFrame, id_column: str = "doc_id", text_column: str
     source = docs.select(col(id_column).cast("long").alias("id"), col(text_column).alias("text"))
     eighths = counted_share(percent)
     sent = spark.sparkContext.broadcast(repeated_filters(source.select("text"), words, eighths))
-    described = stage(
-        source.mapInArrow(_describe(words, eighths, percent, sent), "id long, n long, digest binary, tokens array<long>, shingles binary"),
-        "shingles",
-    )
-    classes = described.where("digest IS NOT NULL").groupBy("digest").agg(F.min("id").alias("rep"))
-    members = stage(described.select("id", "n", "digest").join(classes, "digest", "left"), "classes")
-    one_each = (
-        described.where("tokens IS NOT NULL").join(classes, "digest").where(F.col("id") == F.col("rep"))
-        .dropDuplicates(["digest"]).select("rep", "n", "tokens", "shingles")
-    )
-    reached = components(links(stage(one_each, "representatives"), percent))
+    with Scratch(spark) as scratch:
+        described = scratch.stage(
+            source.mapInArrow(_describe(words, eighths, percent, sent), "id long, n long, digest binary, tokens array<long>, shingles binary"),
+            "shingles",
+        )
+        classes = described.where("digest IS NOT NULL").groupBy("digest").agg(F.min("id").alias("rep"))
+        members = stage(described.select("id", "n", "digest").join(classes, "digest", "left"), "classes")
+        rows = described.where("tokens IS NOT NULL").select(F.col("id").alias("rep"), "n", "digest", "tokens")
+        one_each = scratch.stage(rows.join(classes, ["digest", "rep"]).dropDuplicates(["digest", "rep"]), "representatives")
+        reached = components(links(one_each, described, percent))
     reached = reached.select(F.col("id").alias("rep"), "component")
     return members.join(reached, "rep", "left").select(
         "id", F.col("n").alias("n_shingles"),

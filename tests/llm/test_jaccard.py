@@ -152,3 +152,35 @@ def test_large_group_sends_few_lists(spark, monkeypatch):
     df = spark.createDataFrame(rows, "doc_id long, text string")
     found = {r.id: r.component_id for r in jaccard.similar_groups(df, words=3, percent=90).collect()}
     assert set(found.values()) == {0} and sum(sent) < 400
+
+
+def test_few_edges_take_no_rounds_of_their_own(spark, monkeypatch):
+    edges = [(k, k + 1) for k in range(100, 160)] + [(9, k) for k in range(300, 500)] + [(9, 9), (500, 9)]
+    want = {k: 100 for k in range(100, 161)} | {k: 9 for k in [9, *range(300, 501)]}
+    made, plain = [], graph.stage
+    monkeypatch.setattr(graph, "stage", lambda df, label: made.append(label) or plain(df, label))
+    for last, least, most in ((4096, 3, 3), (20, 6, 15), (0, 6, 60)):
+        monkeypatch.setattr(graph, "LAST", last, raising=False)
+        made.clear()
+        assert dict(tuple(r) for r in graph.components(spark.createDataFrame(edges, "a long, b long")).collect()) == want
+        assert least <= len(made) <= most
+
+
+def test_whole_sets_are_fetched_for_clusters_alone(spark, monkeypatch):
+    """Documents that only share a passage with others do not send their shingles; copies do not meet at their digest."""
+    rng = random.Random(3)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(6))
+    passage = " ".join(word() for _ in range(30))
+    docs = [(k, passage + " " + " ".join(word() for _ in range(200))) for k in range(60)]
+    docs += [(100, docs[7][1]), (101, docs[7][1]), (102, docs[9][1] + " end"), (None, docs[9][1])]
+    fetched, plain = [], jaccard.sets_of
+
+    def counted(wanted, described):
+        assert "shingles" not in wanted.columns
+        out = plain(wanted, described)
+        fetched.extend(r.rep for r in out.collect())
+        return out
+
+    monkeypatch.setattr(jaccard, "sets_of", counted)
+    assert result(spark, docs, 3, 90) == brute(docs, 3, 90)
+    assert sorted(fetched) == [9, 102]
