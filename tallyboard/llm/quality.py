@@ -6,7 +6,8 @@ whatever the word. A document's features are damped counts of equal total length
 weighs no more than a short one. Scores are sparse dot products through the logistic function.
 
 Learning takes at most ``most`` labelled rows, those with the smallest hash of their id: a fixed bound, which
-also bounds the one task that learns. Scoring is one pass over whole texts without a shuffle; it sends every
+also bounds the one task that learns. That task gets no texts: grams are counted where the texts are read, and it
+holds the counts packed, unpacking one document at a time. Scoring is one pass over whole texts without a shuffle; it sends every
 task the weights, a fixed size too.
 
 Defined results: a null or empty text has the bias as its only feature; a document with several
@@ -17,13 +18,14 @@ rows are scored each; a caller's column named like an added one is replaced.
 from __future__ import annotations
 
 import re
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyboard.llm.common import chunked, col, rows_of, sequence_hashes, without
@@ -46,19 +48,38 @@ class Settings:
     most: int = 10_000
 
 
-def features(text: str | None, settings: Settings) -> tuple[np.ndarray, np.ndarray]:
-    """Places of the weights and the values there; the bias is last."""
+def grams(text: str | None, settings: Settings) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the weights, ascending, and how often their grams are found."""
     words = [w.encode() for w in WORD.findall(text or "")]
     hashed = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
     again = np.full(int((hashed[1:] == hashed[:-1]).sum()), AGAIN)
-    grams = np.concatenate([again, *(sequence_hashes(hashed, n) for n in range(1, settings.ngrams + 1))])
-    places, number = np.unique(grams >> np.uint64(64 - settings.bits), return_counts=True)
+    found = np.concatenate([again, *(sequence_hashes(hashed, n) for n in range(1, settings.ngrams + 1))])
+    return np.unique(found >> np.uint64(64 - settings.bits), return_counts=True)
+
+
+def valued(places: np.ndarray, number: np.ndarray, settings: Settings) -> tuple[np.ndarray, np.ndarray]:
+    """Places and the values there; the bias is last."""
     values = np.log1p(number)
     if len(values):
         values /= np.sqrt((values**2).sum())
     return np.append(places.astype(np.int64), 1 << settings.bits), np.append(values, 0.3)
 
 
+def features(text: str | None, settings: Settings) -> tuple[np.ndarray, np.ndarray]:
+    return valued(*grams(text, settings), settings)
+
+
+def packed(text: str | None, settings: Settings) -> bytes:
+    """The grams of a text in a byte or two each: steps from place to place, then the numbers."""
+    places, number = grams(text, settings)
+    return zlib.compress(np.concatenate([np.diff(places.astype("<i4"), prepend=np.int32(0)), number.astype("<i4")]).astype("<i4").tobytes(), 1)
+
+
+def unpacked(held: bytes, settings: Settings) -> tuple[np.ndarray, np.ndarray]:
+    steps, number = np.frombuffer(zlib.decompress(held), "<i4").reshape(2, -1).astype(np.int64)
+    return valued(np.cumsum(steps), number, settings)
+
+
 class Leader:
     """Follow the regularised leader, each coordinate with its own rate."""
 
@@ -83,13 +104,28 @@ def logistic(x: float) -> float:
     return float(1 / (1 + np.exp(-np.clip(x, -40, 40))))
 
 
+def _packed(settings: Settings):
+    schema = pa.schema([("id", pa.int64()), ("place", pa.int32()), ("label", pa.int32()), ("grams", pa.binary())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from chunked(
+            (
+                (i, place, label, packed(text.as_py(), settings)) for batch in batches
+                for i, place, label, text in zip(*(batch.column(n).to_pylist() for n in ("id", "place", "label")), batch.column("text"), strict=True)
+            ),
+            schema,
+        )
+
+    return run
+
+
 def _learn(settings: Settings):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        examples = [(*features(text, settings), label) for text, label in rows_of(batches, "text", "label")]
+        examples = list(rows_of(batches, "grams", "label"))
         leader = Leader(settings)
         for _ in range(settings.rounds):
-            for places, values, label in examples:
-                leader.learn(places, values, label)
+            for held, label in examples:
+                leader.learn(*unpacked(held, settings), label)
         yield pa.RecordBatch.from_arrays([pa.array([leader.weights().astype("<f8").tobytes()])], ["weights"])
 
     return run
@@ -103,8 +139,11 @@ def train(docs: DataFrame, labels: DataFrame, id_column="doc_id", text_column="t
     # Rows fixed in number by the limit, so sending them to every task is safe.
     chosen = F.broadcast(known.orderBy(F.xxhash64("id"), "id").limit(settings.most))
     texts = docs.select(col(id_column).cast("long").alias("id"), col(text_column).alias("text"))
-    rows = texts.join(chosen, "id").repartition(1).sortWithinPartitions(F.xxhash64("id", F.lit(1)), "id", "text")
-    found = rows.select("text", "label").mapInArrow(_learn(settings), "weights binary").collect()
+    # Texts that share an id are numbered in their order, as the texts themselves are not sent on.
+    rows = texts.join(chosen, "id").withColumn("place", F.row_number().over(Window.partitionBy("id").orderBy("text")))
+    rows = rows.select("id", "place", "label", "text").mapInArrow(_packed(settings), "id long, place int, label int, grams binary")
+    rows = rows.repartition(1).sortWithinPartitions(F.xxhash64("id", F.lit(1)), "id", "place")
+    found = rows.select("grams", "label").mapInArrow(_learn(settings), "weights binary").collect()
     return np.frombuffer(found[0].weights, "<f8") if found else Leader(settings).weights()
 
 

@@ -1,7 +1,9 @@
 import math
+import tracemalloc
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tallyboard.llm import quality
@@ -77,3 +79,39 @@ def test_odd_rows_without_labels(spark, rows):
     labels = spark.createDataFrame([], "doc_id long, quality int")
     out = quality.score(docs, quality.train(docs, labels)).collect()
     assert [r.score for r in out] == [0.5] * len(rows) and out[0:1] == out[0:1]
+
+
+def test_the_learning_task_holds_packed_counts():
+    s = Settings(rounds=1)
+    rng = np.random.default_rng(5)
+    texts = [" ".join(f"w{x}" for x in rng.integers(0, 3000, 1500)) for _ in range(150)] + ["", None, "same same same"]
+    rows = pa.RecordBatch.from_pydict({"id": range(153), "place": [1] * 153, "label": [k % 2 for k in range(153)], "text": texts})
+    sent = [b.select(["grams", "label"]) for b in quality._packed(s)(iter([rows]))]
+    plain = [quality.features(t, s) for t in texts]
+    assert sum(b.nbytes for b in sent) * 4 < sum(a.nbytes + b.nbytes for a, b in plain)
+    tracemalloc.start()
+    (found,) = quality._learn(s)(iter(sent))
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    leader = quality.Leader(s)
+    assert most < 6 * leader.z.nbytes + sum(a.nbytes + b.nbytes for a, b in plain) / 3
+    for k, (places, values) in enumerate(plain):
+        leader.learn(places, values, k % 2)
+    assert found.column(0)[0].as_py() == leader.weights().astype("<f8").tobytes()
+
+
+def test_texts_of_one_id_are_learnt_in_their_order(spark):
+    s = Settings(bits=8)
+    texts = ["zz good", "aa bad!!", None, "mm mm words", ""]
+    docs = spark.createDataFrame([(7, t) for t in texts] + [(8, "other"), (None, "no id")], "doc_id long, text string").repartition(4)
+    labels = spark.createDataFrame([(7, 1), (7, 0), (8, 0)], "doc_id long, quality int")
+    got = quality.train(docs, labels, settings=s)
+    order = sorted(texts, key=lambda t: (t is not None, t))
+    found = []
+    for rows in ([(t, 1) for t in order] + [("other", 0)], [("other", 0)] + [(t, 1) for t in order]):  # as the ids' hashes stand
+        leader = quality.Leader(s)
+        for _ in range(s.rounds):
+            for t, y in rows:
+                leader.learn(*quality.features(t, s), y)
+        found.append(leader.weights())
+    assert any(np.array_equal(got, w) for w in found)
